@@ -179,3 +179,128 @@ class SampleTables:
                 _pick(CURRENCIES, F.col("l_partkey") % 6).alias("currency"),
             )
         )
+
+    @cached_property
+    def payments(self) -> DataFrame:
+        """Transactions in canonical form, with merchant name and category."""
+        merchants = self.merchants.select(
+            "merchant_id", "merchant_name", F.col("category").alias("merchant_category")
+        )
+        return self.transactions.withColumnRenamed("ip_country", "country").join(
+            merchants, "merchant_id", "left"
+        )
+
+    @cached_property
+    def order_payments(self) -> DataFrame:
+        """Orders as payments; every seventh customer pays in round hundreds."""
+        key = F.col("o_orderkey")
+        amount = F.when(
+            F.col("o_custkey") % 7 == 0, F.floor(F.col("o_totalprice") / 5000) * 100.0
+        ).otherwise(F.floor(F.col("o_totalprice") * 2 + 0.5) / 100.0)
+        return self.table("orders").select(
+            key.cast("string").alias("transaction_id"),
+            F.col("o_custkey").cast("string").alias("customer_id"),
+            (key % 50).cast("string").alias("merchant_id"),
+            F.concat(F.lit("Shop "), key % 50).alias("merchant_name"),
+            _pick(CATEGORIES, key % 10).alias("merchant_category"),
+            amount.alias("amount"),
+            _pick(CURRENCIES, key % 3).alias("currency"),
+            F.timestamp_seconds(
+                F.unix_timestamp(F.col("o_orderdate").cast("timestamp")) + (key * 7919) % 86400
+            ).alias("transaction_at"),
+            F.when(F.col("o_orderstatus") == "O", "declined").otherwise("completed").alias("status"),
+            _pick(["card", "app", "web", "atm"], key % 4).alias("channel"),
+            _pick(COUNTRIES, F.col("o_custkey") % 8).alias("country"),
+            (F.col("o_orderpriority") == "1-URGENT").alias("is_flagged_fraud"),
+        )
+
+    @cached_property
+    def event_payments(self) -> DataFrame:
+        """Events as payments with full time stamps and busy customers."""
+        key = F.col("event_id")
+        return self.table("events").select(
+            key.cast("string").alias("transaction_id"),
+            F.col("user_id").cast("string").alias("customer_id"),
+            (key % 40).cast("string").alias("merchant_id"),
+            F.concat(F.lit("Shop "), key % 40).alias("merchant_name"),
+            _pick(CATEGORIES, key % 10).alias("merchant_category"),
+            F.col("value").alias("amount"),
+            _pick(CURRENCIES, key % 3).alias("currency"),
+            F.col("ts").cast("timestamp").alias("transaction_at"),
+            F.when(F.col("event_type") == "error", "declined").otherwise("completed").alias("status"),
+            _pick(["card", "app", "web", "atm"], key % 4).alias("channel"),
+            _pick(COUNTRIES, F.col("user_id") % 8).alias("country"),
+            ((F.col("event_type") == "error") & (F.col("value") > 60)).alias("is_flagged_fraud"),
+        )
+
+    @cached_property
+    def user_export(self) -> DataFrame:
+        """Orders as a user's file: other column names, odd spellings, bad numbers and dates."""
+        key = F.col("o_orderkey")
+        when = F.col("o_orderdate").cast("timestamp")
+        price = F.format_string("%.2f", F.col("o_totalprice"))
+        return self.table("orders").select(
+            key.cast("string").alias("ref_number"),
+            F.when(key % 11 != 0, F.col("o_custkey").cast("string")).alias("cust_id"),
+            F.when(key % 13 == 0, "n/a").when(key % 17 == 0, F.concat(F.lit("-"), price))
+            .otherwise(price).alias("trans_amt"),
+            F.when(key % 19 == 0, "unknown date").otherwise(F.date_format(when, "yyyy-MM-dd HH:mm:ss"))
+            .alias("date"),
+            F.when(F.col("o_orderstatus") == "F", " SUCCESS ").when(F.col("o_orderstatus") == "O", "failed")
+            .when(key % 2 == 0, "Processing").alias("result"),
+            F.concat(F.lit("Shop "), key % 50).alias("description"),
+            F.concat(F.lit(" "), F.lower(_pick(CURRENCIES, key % 6))).alias("ccy"),
+            F.when(F.col("o_orderpriority") == "1-URGENT", "YES").when(key % 3 == 0, "0").alias("fraud_flag"),
+            F.col("o_orderpriority").alias("remarks"),
+        )
+
+    def messages(self, events: DataFrame) -> DataFrame:
+        """Events as topic messages: some sent twice, some cut off, some without an id.
+
+        A plain projection, so ``events`` may be a batch or a stream.
+        """
+        key = F.col("event_id")
+        k = F.regexp_extract("props", "([0-9]+)", 1).cast("double")
+        rate = F.element_at(F.array(*[F.lit(FX_BASE[c]) for c in CURRENCIES[:3]]), (key % 3 + 1).cast("int"))
+        status = (
+            F.when(F.col("event_type") == "error", "declined").when(F.col("event_type") == "click", "pending")
+            .otherwise("completed")
+        )
+        here, home = _pick(COUNTRIES, key % 8), _pick(COUNTRIES, F.col("user_id") % 8)
+        body = F.to_json(F.struct(
+            F.when(key % 101 != 0, F.concat(F.lit("evt-"), key)).alias("event_id"),
+            F.concat(F.lit("stx-"), key).alias("transaction_id"),
+            F.date_format(F.col("ts").cast("timestamp"), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("event_time"),
+            F.col("user_id").cast("string").alias("customer_id"),
+            (key % 40).cast("string").alias("merchant_id"),
+            F.concat(F.lit("Shop "), key % 40).alias("merchant_name"),
+            _pick(CATEGORIES, key % 10).alias("merchant_category"),
+            _pick(MCC_CODES, key % 10).alias("mcc_code"),
+            F.col("value").alias("amount"),
+            F.when(key % 3 != 0, _pick(CURRENCIES, key % 3)).alias("currency"),
+            (F.floor(F.col("value") / rate * 100 + 0.5) / 100.0).alias("amount_gbp"),
+            status.alias("status"),
+            _pick(["card", "app", "web", "atm"], key % 4).alias("channel"),
+            here.alias("ip_country"),
+            F.when(F.col("user_id") % 5 != 0, "standard").alias("customer_tier"),
+            home.alias("customer_country"),
+            (F.col("user_id") % 10 != 9).alias("is_kyc_verified"),
+            (key % 10 == 9).alias("is_high_risk_merchant"),
+            (here != home).alias("is_cross_border"),
+            ((F.col("event_type") == "error") & (k >= 50)).alias("is_flagged_fraud"),
+            k.alias("risk_score"),
+        ))
+        value = F.when(key % 97 == 0, F.substring(body, 1, 40)).otherwise(body)
+        copies = F.when(key % 50 == 7, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+        return events.select(
+            value.alias("value"), (F.col("user_id") % 3).cast("int").alias("partition"),
+            key, F.explode(copies).alias("copy"),
+        ).select("value", "partition", (key * 2 + F.col("copy")).alias("offset"))
+
+    def event_stream(self) -> DataFrame:
+        """The events table read as a stream."""
+        return (
+            self.spark.readStream.schema(self.table("events").schema)
+            .option("pathGlobFilter", "events.parquet")
+            .parquet(self.folder)
+        )
