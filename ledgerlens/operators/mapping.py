@@ -174,16 +174,16 @@ def normalise(
     order = list(order_by) if order_by else (["transaction_id"] if has_id else [])
     if "transaction_at" not in sources:
         return (
-            with_row_index(out, order, "_place")
-            .withColumn("transaction_at", _synthetic("_place")).drop("_place")
+            with_row_index(out, order, "_nth")
+            .withColumn("transaction_at", _synthetic("_nth")).drop("_nth")
         )
     timed = out.filter(F.col("transaction_at").isNotNull())
     untimed = out.filter(F.col("transaction_at").isNull())
     if untimed.isEmpty():
         return out
     repaired = (
-        with_row_index(untimed, order, "_place")
-        .withColumn("transaction_at", _synthetic("_place")).drop("_place")
+        with_row_index(untimed, order, "_nth")
+        .withColumn("transaction_at", _synthetic("_nth")).drop("_nth")
     )
     return timed.unionByName(repaired)
 

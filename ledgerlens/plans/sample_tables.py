@@ -290,9 +290,9 @@ class SampleTables:
             ((F.col("event_type") == "error") & (k >= 50)).alias("is_flagged_fraud"),
             k.alias("risk_score"),
         ))
-        value = F.when(key % 97 == 0, F.substring(body, 1, 40)).otherwise(body)
+        value = F.when(key % 97 == 0, F.substring("body", 1, 40)).otherwise(F.col("body"))
         copies = F.when(key % 50 == 7, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
-        return events.select(
+        return events.withColumn("body", body).select(
             value.alias("value"), (F.col("user_id") % 3).cast("int").alias("partition"),
             key, F.explode(copies).alias("copy"),
         ).select("value", "partition", (key * 2 + F.col("copy")).alias("offset"))
