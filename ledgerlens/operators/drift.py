@@ -8,15 +8,15 @@ from pyspark.sql import functions as F
 from ledgerlens.functions.columns import percent, ratio, round_to
 from ledgerlens.operators.fraud import category_codes, time_features, with_code
 from ledgerlens.operators.ordering import exact_percentiles
-from ledgerlens.operators.skew import with_running_total
+from ledgerlens.operators.skew import find_hot, with_running_total
 from ledgerlens.storage import stage
 
 DRIFT_FEATURES = [
     "amount", "amount_log", "hour", "day_of_week", "is_weekend", "is_night",
     "customer_txn_count", "merchant_category_enc",
 ]
-# Features with few distinct values; the others may have as many values as rows.
-SMALL_DOMAIN = ["hour", "day_of_week", "is_weekend", "is_night"]
+# Distinct values up to which an exact percentile may buffer them in one task.
+BUFFERED_VALUES = 100_000
 BINS = 10
 EPSILON = 1e-6
 STABLE_BELOW = 0.10
@@ -28,28 +28,53 @@ def _label(payments: DataFrame) -> Column:
     return F.coalesce(F.col(name).cast("int"), F.lit(0))
 
 
-def drift_features(payments: DataFrame, codes: DataFrame, hot_limit: int | None = None) -> DataFrame:
-    at = F.col("transaction_at").cast("timestamp")
-    amount = F.coalesce(F.col("amount").cast("double"), F.lit(0.0))
-    rows = payments.select(
-        "transaction_id", "customer_id", at.alias("transaction_at"), "merchant_category",
-        amount.alias("amount"), _label(payments).alias("label"),
-    )
+def feature_tables(
+    reference: DataFrame, current: DataFrame, hot_limit: int | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """Feature tables of both periods, with one category encoding and counts in time order.
+
+    Both periods go through one job and one stored table.
+    """
+    def side(payments: DataFrame, is_current: bool) -> DataFrame:
+        return payments.select(
+            "transaction_id",
+            F.struct(F.lit(is_current).alias("late"), F.col("customer_id").alias("id")).alias("who"),
+            F.col("transaction_at").cast("timestamp").alias("transaction_at"),
+            F.coalesce(F.col("merchant_category").cast("string"), F.lit("Other")).alias("merchant_category"),
+            F.coalesce(F.col("amount").cast("double"), F.lit(0.0)).alias("amount"),
+            _label(payments).alias("label"),
+        )
+
+    rows = side(reference, False).unionByName(side(current, True))
     counted = with_running_total(
-        rows, "customer_id", "transaction_at", ["transaction_id"], F.lit(1), "customer_txn_count", hot_limit
+        rows, "who", "transaction_at", ["transaction_id"], F.lit(1), "customer_txn_count",
+        find_hot(rows, "who", hot_limit),
+    )
+    stored = stage(
+        counted.withColumns({
+            "is_current": F.col("who.late"),
+            "amount_log": F.log1p("amount"),
+            "customer_txn_count": F.col("customer_txn_count").cast("double"),
+            **time_features(F.col("transaction_at"), no_hour=12),
+        }).drop("who", "transaction_id", "transaction_at"),
+        "drift-features",
+    )
+    codes = category_codes(stored, "merchant_category", "Other")
+    coded = with_code(stored, "merchant_category", "merchant_category_enc", "Other", codes).select(
+        *DRIFT_FEATURES, "label", "is_current"
     )
-    coded = with_code(counted, "merchant_category", "merchant_category_enc", "Other", codes)
-    return coded.withColumns({
-        "amount_log": F.log1p("amount"),
-        "customer_txn_count": F.col("customer_txn_count").cast("double"),
-        **time_features(F.col("transaction_at"), no_hour=12),
-    }).select(*DRIFT_FEATURES, "label")
+    return coded.filter(~F.col("is_current")), coded.filter("is_current")
 
 
 def bin_edges(reference: DataFrame, features: list[str]) -> dict[str, list[float]]:
-    """Distinct decile edges per feature: eleven numbers each, whatever the data size."""
+    """Distinct decile edges per feature: eleven numbers each, whatever the data size.
+
+    Features with few distinct values share one ``percentile`` pass, whose buffer holds one
+    entry per distinct value; the others are narrowed down by counting.
+    """
     points = [i / BINS for i in range(BINS + 1)]
-    small = [f for f in features if f in SMALL_DOMAIN]
+    values = reference.agg(*[F.approx_count_distinct(f).alias(f) for f in features]).first()
+    small = [f for f in features if values[f] <= BUFFERED_VALUES]
     edges: dict[str, list[float]] = {}
     if small:
         row = reference.agg(*[
@@ -59,7 +84,7 @@ def bin_edges(reference: DataFrame, features: list[str]) -> dict[str, list[float
     for f in features:
         if f not in edges:
             edges[f] = exact_percentiles(reference, f, points)
-    return {f: sorted({float(e) for e in values if e is not None}) for f, values in edges.items()}
+    return {f: sorted({float(e) for e in edges[f] if e is not None}) for f in features}
 
 
 def _bin_of(feature: str, edges: list[float]) -> Column:
@@ -122,16 +147,6 @@ def feature_psi(reference: DataFrame, current: DataFrame) -> DataFrame:
     return scores.unionByName(flat).withColumn("status", status_of(F.col("psi")))
 
 
-def feature_tables(reference: DataFrame, current: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Stored feature tables of both periods with one category encoding for both."""
-    categories = reference.select("merchant_category").union(current.select("merchant_category"))
-    codes = stage(category_codes(categories, "merchant_category", "Other"), "drift-codes")
-    return (
-        stage(drift_features(reference, codes), "drift-reference"),
-        stage(drift_features(current, codes), "drift-current"),
-    )
-
-
 def drift_report(reference: DataFrame, current: DataFrame, psi: DataFrame) -> DataFrame:
     """One row: overall PSI, rates, volumes, status, retraining advice and recommendations."""
     def side(df: DataFrame, tag: str) -> DataFrame:

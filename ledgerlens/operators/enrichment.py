@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens.functions.columns import count_where, days_apart, money, ratio, round_to
-from ledgerlens.operators.skew import hot_keys, hot_medians, mark_hot
+from ledgerlens.operators.skew import hot_medians, mark_hot
 
 CUSTOMER_KEYS = ["customer_id", "account_tier", "customer_country", "is_kyc_verified"]
 
@@ -66,19 +66,21 @@ def enrich(
     return joined.withColumns({"amount_gbp": round_to(in_gbp, 2), "risk_tier": tier}).drop("_rate")
 
 
-def customer_summary(enriched: DataFrame, hot_limit: int | None = None) -> DataFrame:
+def customer_summary(enriched: DataFrame, hot: DataFrame | None = None) -> DataFrame:
     """Completed activity per customer.
 
-    The three distinct counts are computed by Spark in two steps, first per (customer,
-    value), so a busy customer is spread out. The exact median would hold a busy
-    customer's values in one task; such customers take ``hot_medians`` instead.
+    Normally the rows move once, by customer, and that one exchange serves the counts, the
+    three distinct counts and the exact median. With customers in ``hot`` (see
+    ``skew.find_hot``) rows are not gathered by customer: Spark counts distinct values per
+    (customer, value) first, which spreads a busy customer, and the median of such a
+    customer is located by ``hot_medians`` instead of buffering its values in one task.
     """
-    done = enriched.filter("is_completed")
-    hot = hot_keys(done, "customer_id", hot_limit)
-    marked = mark_hot(done, "customer_id", hot)
-    normal_amount = F.when(~F.col("_hot"), F.col("amount_gbp"))
+    done = enriched.filter("is_completed").select(
+        *CUSTOMER_KEYS, "transaction_month", "merchant_id", "merchant_category", "amount_gbp",
+        "transaction_date", "is_flagged_fraud", "is_cross_border", "channel",
+    )
     total = money(F.sum("amount_gbp"))
-    summary = marked.groupBy(*CUSTOMER_KEYS).agg(
+    aggregates = [
         F.count("*").alias("total_transactions"),
         F.countDistinct("transaction_month").alias("active_months"),
         F.countDistinct("merchant_id").alias("distinct_merchants"),
@@ -86,7 +88,6 @@ def customer_summary(enriched: DataFrame, hot_limit: int | None = None) -> DataF
         total.alias("total_spend_gbp"),
         ratio(total, F.count("amount_gbp")).alias("avg_transaction_gbp"),
         F.max("amount_gbp").alias("max_transaction_gbp"),
-        F.percentile(normal_amount, F.lit(0.5)).alias("_median"),
         F.min("transaction_date").alias("first_transaction_date"),
         F.max("transaction_date").alias("last_transaction_date"),
         days_apart(F.min("transaction_date"), F.max("transaction_date")).alias("customer_tenure_days"),
@@ -95,21 +96,31 @@ def customer_summary(enriched: DataFrame, hot_limit: int | None = None) -> DataF
         count_where(F.col("channel") == "app").alias("app_txn_count"),
         count_where(F.col("channel") == "card").alias("card_txn_count"),
         count_where(F.col("channel") == "web").alias("web_txn_count"),
-    )
-    medians = hot_medians(marked.filter("_hot"), CUSTOMER_KEYS, "amount_gbp", "_hot_median").select(
-        *[F.col(k).alias(f"_k_{k}") for k in CUSTOMER_KEYS], "_hot_median"
+    ]
+    if hot is None:
+        rows = done.repartition("customer_id")
+        medians = rows.groupBy(*CUSTOMER_KEYS).agg(F.percentile("amount_gbp", F.lit(0.5)).alias("_median"))
+    else:
+        rows = done
+        marked = mark_hot(done, "customer_id", hot)
+        medians = (
+            marked.filter(~F.col("_hot")).groupBy(*CUSTOMER_KEYS)
+            .agg(F.percentile("amount_gbp", F.lit(0.5)).alias("_median"))
+            .unionByName(hot_medians(marked.filter("_hot"), CUSTOMER_KEYS, "amount_gbp", "_median"))
+        )
+    medians = medians.select(
+        *[F.col(k).alias(f"_k_{k}") for k in CUSTOMER_KEYS], F.col("_median").alias("median_transaction_gbp")
     )
     same = F.lit(True)
     for k in CUSTOMER_KEYS:
         same = same & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
+    summary = (
+        rows.groupBy(*CUSTOMER_KEYS).agg(*aggregates)
+        .join(medians, same, "left").drop(*[f"_k_{k}" for k in CUSTOMER_KEYS])
+    )
     engagement = (
         F.col("active_months") * F.lit(3.0).cast("double")
         + F.col("distinct_categories") * F.lit(2.0).cast("double")
         + F.least("total_transactions", F.lit(100)) * F.lit(0.5).cast("double")
     )
-    return (
-        summary.join(medians, same, "left")
-        .withColumn("median_transaction_gbp", F.coalesce("_median", "_hot_median"))
-        .withColumn("engagement_score", round_to(engagement, 1))
-        .drop("_median", "_hot_median", *[f"_k_{k}" for k in CUSTOMER_KEYS])
-    )
+    return summary.withColumn("engagement_score", round_to(engagement, 1))

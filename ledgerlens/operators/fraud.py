@@ -14,7 +14,7 @@ from pyspark.sql.window import Window
 from ledgerlens.functions import fixed
 from ledgerlens.functions.columns import count_where, percent, ratio, round_to
 from ledgerlens.operators.ordering import exact_percentiles
-from ledgerlens.operators.skew import with_running_total
+from ledgerlens.operators.skew import find_hot, with_running_total
 from ledgerlens.storage import stage
 
 # The tree helpers below run inside tasks; send them along rather than import them there.
@@ -72,7 +72,8 @@ def fraud_features(payments: DataFrame, hot_limit: int | None = None) -> DataFra
         F.coalesce(label.cast("int"), F.lit(0)).alias("label"),
     )
     counted = with_running_total(
-        rows, "customer_id", "transaction_at", ["transaction_id"], F.lit(1), "customer_txn_count", hot_limit
+        rows, "customer_id", "transaction_at", ["transaction_id"], F.lit(1), "customer_txn_count",
+        find_hot(payments, "customer_id", hot_limit),
     )
     categories = category_codes(rows, "merchant_category", "Unknown")
     channels = category_codes(rows, "channel", "unknown")

@@ -8,25 +8,44 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ledgerlens.storage import stage
+
 # A key with more rows than this is split; below it one task orders the key's rows.
 # At 10^12 rows at most 10^6 keys can exceed it, so the list of such keys stays small.
 HOT_ROWS = 1_000_000
+# Up to this many hot keys travel with the plan; more are kept in a stored table.
+LISTED_KEYS = 10_000
 
 
-def hot_keys(df: DataFrame, key: str, limit: int | None = None) -> DataFrame:
-    """Keys with more than ``limit`` rows (counted with map-side combining)."""
-    return (
+def find_hot(df: DataFrame, key: str, limit: int | None = None) -> DataFrame | None:
+    """Keys with more than ``limit`` rows, or None when there are none.
+
+    Runs one count per key (map-side combined, only the key column is read) so that the
+    usual case, no such key, gets a plan without any detour. Which keys are found decides
+    how the work is cut up, never the result, so ``df`` may be a slimmer or earlier version
+    of the table that is processed.
+    """
+    hot = (
         df.groupBy(key)
         .agg(F.count("*").alias("_rows"))
         .filter(F.col("_rows") > (HOT_ROWS if limit is None else limit))
         .select(F.col(key).alias("_hot_key"), F.lit(True).alias("_is_hot"))
     )
+    found = hot.limit(LISTED_KEYS + 1).collect()
+    if not found:
+        return None
+    if len(found) > LISTED_KEYS:
+        return stage(hot, "hot-keys")
+    return df.sparkSession.createDataFrame(found, hot.schema)
 
 
 def mark_hot(df: DataFrame, key: str, hot: DataFrame, out: str = "_hot") -> DataFrame:
-    """Add a boolean telling whether the row's key is in ``hot`` (see ``HOT_ROWS`` for its size)."""
+    """Add a boolean telling whether the row's key is in ``hot``.
+
+    Unhinted: a listed or small ``hot`` is broadcast by its size, a large one is not.
+    """
     return (
-        df.join(F.broadcast(hot), F.col(key).eqNullSafe(F.col("_hot_key")), "left")
+        df.join(hot, F.col(key).eqNullSafe(F.col("_hot_key")), "left")
         .withColumn(out, F.coalesce("_is_hot", F.lit(False)))
         .drop("_hot_key", "_is_hot")
     )
@@ -39,21 +58,23 @@ def with_running_total(
     order_by: Sequence[str],
     step: Column,
     out: str,
-    limit: int | None = None,
     hot: DataFrame | None = None,
 ) -> DataFrame:
     """Running sum of ``step`` per ``key`` in the order of ``at`` then ``order_by``.
 
-    A normal key is one window partition. A hot key is cut by hour: the window runs inside
-    each hour, and the total of all earlier hours (one row per hour) is added back.
+    A normal key is one window partition. A hot key (see ``find_hot``) is cut by hour: the
+    window runs inside each hour, and the total of all earlier hours (one row per hour) is
+    added back.
     """
-    hot = hot_keys(df, key, limit) if hot is None else hot
+    order = [F.col(at).asc_nulls_last()] + [F.col(c).asc_nulls_last() for c in order_by]
+    if hot is None:
+        upto = Window.partitionBy(key).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+        return df.withColumn(out, F.sum(step.cast("bigint")).over(upto))
     sliced = (
         mark_hot(df, key, hot)
         .withColumn("_slice", F.when(F.col("_hot"), F.date_trunc("hour", F.col(at))))
         .withColumn("_step", step.cast("bigint"))
     )
-    order = [F.col(at).asc_nulls_last()] + [F.col(c).asc_nulls_last() for c in order_by]
     inside = Window.partitionBy(key, "_slice").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     totals = (
         sliced.filter("_hot")
@@ -74,7 +95,7 @@ def with_running_total(
 
 
 def with_trailing_count(
-    df: DataFrame, key: str, at: str, days: int, out: str, limit: int | None = None
+    df: DataFrame, key: str, at: str, days: int, out: str, hot: DataFrame | None = None
 ) -> DataFrame:
     """Rows of the same key in ``[at - days, at]``, peers at the same instant included.
 
@@ -91,7 +112,7 @@ def with_trailing_count(
             F.struct(F.col(at).alias("t"), F.lit(1).alias("is_row"), F.col("_n").alias("n")),
         )).alias("_m"),
     ).select(key, "_at", "_m.*")
-    running = with_running_total(marks, key, "t", ["is_row"], F.col("n"), "_upto", limit)
+    running = with_running_total(marks, key, "t", ["is_row"], F.col("n"), "_upto", hot)
     signed = F.when(F.col("is_row") == 1, F.col("_upto")).otherwise(-F.col("_upto"))
     counts = running.groupBy(F.col(key).alias("_k"), "_at").agg(F.sum(signed).alias(out))
     return df.join(

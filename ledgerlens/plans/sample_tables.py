@@ -9,23 +9,49 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import cached_property
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlens.functions.fixed import FX_BASE
+from ledgerlens.sources.readers import read_parquet
 
-COUNTRIES = ["GB", "US", "DE", "SG", "AE", "CA", "NG", "RU"]
 CURRENCIES = list(FX_BASE)
-CATEGORIES = [
-    "Groceries", "Dining", "Travel", "Entertainment", "Retail", "Fuel", "Healthcare",
-    "Subscription", "ATM", "Transfer",
-]
-MCC_CODES = ["5411", "5812", "4511", "7832", "5651", "5541", "8011", "7372", "6011", "6012"]
 AS_OF = "2001-12-01"
+SPREAD_BY = {"lineitem": "l_orderkey", "orders": "o_orderkey", "events": "event_id"}
 
 
-def _pick(values: list[str], index: Column) -> Column:
-    return F.element_at(F.array(*[F.lit(v) for v in values]), (index + 1).cast("int"))
+def _pick(values: list[str], index: str) -> str:
+    """SQL text that picks from a list by a 0-based position."""
+    listed = ", ".join(f"'{v}'" for v in values)
+    return f"element_at(array({listed}), cast({index} as int) + 1)"
+
+
+def _country(index: str) -> str:
+    return _pick(["GB", "US", "DE", "SG", "AE", "CA", "NG", "RU"], index)
+
+
+def _currency(index: str) -> str:
+    return _pick(CURRENCIES, index)
+
+
+def _category(index: str) -> str:
+    return _pick([
+        "Groceries", "Dining", "Travel", "Entertainment", "Retail", "Fuel", "Healthcare",
+        "Subscription", "ATM", "Transfer",
+    ], index)
+
+
+def _mcc(index: str) -> str:
+    return _pick(
+        ["5411", "5812", "4511", "7832", "5651", "5541", "8011", "7372", "6011", "6012"], index
+    )
+
+
+def _channel(index: str) -> str:
+    return _pick(["card", "app", "web", "atm"], index)
+
+
+LINE_AMOUNT = "floor(l_extendedprice / 10 + 0.5D) / 100.0D"
 
 
 @dataclass(frozen=True)
@@ -34,224 +60,161 @@ class SampleTables:
     folder: str
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return read_parquet(self.spark, f"{self.folder}/{name}.parquet", SPREAD_BY.get(name))
 
     @cached_property
     def _lines(self) -> DataFrame:
-        lines = self.table("lineitem").select(
-            "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_extendedprice",
-            "l_discount", "l_tax", "l_returnflag", "l_linestatus",
-            F.col("l_shipdate").cast("timestamp").alias("l_shipdate"),
-        )
-        orders = self.table("orders").select("o_orderkey", "o_custkey", "o_orderstatus")
-        pence = F.floor(F.col("l_extendedprice") * 100 + 0.5)
-        return lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).withColumn(
-            "transaction_id",
-            F.concat_ws(
-                "-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
-                F.date_format("l_shipdate", "yyyyMMdd"), pence,
-            ),
-        )
-
-    @staticmethod
-    def _amount() -> Column:
-        return F.floor(F.col("l_extendedprice") / 10 + 0.5) / 100.0
-
-    @staticmethod
-    def _instant() -> Column:
-        seconds = (F.col("l_partkey") * 7919 + F.col("l_linenumber") * 104729) % 86400
-        return F.timestamp_seconds(F.unix_timestamp("l_shipdate") + seconds)
-
-    @staticmethod
-    def _status() -> Column:
-        return (
-            F.when((F.col("o_orderstatus") == "O") & (F.col("l_linestatus") == "O"), "declined")
-            .when((F.col("o_orderstatus") == "P") & (F.col("l_discount") >= 0.09), "pending")
-            .when((F.col("o_orderstatus") == "F") & (F.col("l_tax") >= 0.08), "failed")
-            .otherwise("completed")
+        return self.table("lineitem").join(
+            self.table("orders").select("o_orderkey", "o_custkey", "o_orderstatus"),
+            F.expr("l_orderkey = o_orderkey"),
+        ).selectExpr(
+            "l_partkey", "l_suppkey", "l_linenumber", "l_extendedprice", "l_discount", "l_tax",
+            "l_returnflag", "l_linestatus", "cast(l_shipdate as timestamp) as l_shipdate",
+            "o_custkey", "o_orderstatus",
+            "concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey, "
+            "date_format(l_shipdate, 'yyyyMMdd'), floor(l_extendedprice * 100 + 0.5D)) as transaction_id",
         )
 
-    @staticmethod
-    def _flagged() -> Column:
-        return (F.col("l_returnflag") == "R") & (F.col("l_discount") >= 0.09)
-
-    @staticmethod
-    def _origin() -> Column:
-        key = F.when(F.col("l_partkey") % 5 == 0, F.col("l_partkey")).otherwise(F.col("o_custkey"))
-        return _pick(COUNTRIES, key % 8)
-
     @cached_property
     def transactions(self) -> DataFrame:
-        return self._lines.select(
+        return self._lines.selectExpr(
             "transaction_id",
-            F.col("o_custkey").cast("string").alias("customer_id"),
-            F.col("l_suppkey").cast("string").alias("merchant_id"),
-            self._amount().alias("amount"),
-            _pick(CURRENCIES, F.col("l_partkey") % 6).alias("currency"),
-            self._instant().alias("transaction_at"),
-            self._status().alias("status"),
-            self._flagged().alias("is_flagged_fraud"),
-            _pick(["card", "app", "web", "atm"], F.col("l_linenumber") % 4).alias("channel"),
-            self._origin().alias("ip_country"),
+            "cast(o_custkey as string) as customer_id",
+            "cast(l_suppkey as string) as merchant_id",
+            f"{LINE_AMOUNT} as amount",
+            f"{_currency('l_partkey % 6')} as currency",
+            "timestamp_seconds(unix_timestamp(l_shipdate) + (l_partkey * 7919 + l_linenumber * 104729) % 86400) "
+            "as transaction_at",
+            """case when o_orderstatus = 'O' and l_linestatus = 'O' then 'declined'
+                    when o_orderstatus = 'P' and l_discount >= 0.09D then 'pending'
+                    when o_orderstatus = 'F' and l_tax >= 0.08D then 'failed'
+                    else 'completed' end as status""",
+            "l_returnflag = 'R' and l_discount >= 0.09D as is_flagged_fraud",
+            f"{_channel('l_linenumber % 4')} as channel",
+            f"{_country('if(l_partkey % 5 = 0, l_partkey, o_custkey) % 8')} as ip_country",
         )
 
     @cached_property
     def customers(self) -> DataFrame:
-        key = F.col("c_custkey")
-        nation = self.table("nation").select("n_nationkey", "n_regionkey")
-        return (
-            self.table("customer")
-            .join(nation, F.col("c_nationkey") == F.col("n_nationkey"), "left")
-            .select(
-                key.cast("string").alias("customer_id"),
-                F.col("c_name").alias("full_name"),
-                F.concat(F.lit("  "), F.col("c_name"), F.lit("@Example.COM ")).alias("email"),
-                F.format_string("000-%07d", key).alias("phone"),
-                _pick(COUNTRIES, key % 8).alias("country"),
-                F.col("c_mktsegment").alias("account_tier"),
-                F.date_add(F.lit("1995-01-01").cast("date"), ((key * 37) % 1400).cast("int"))
-                .cast("string").alias("signup_date"),
-                F.when(key % 10 == 8, "pending").when(key % 10 == 9, "failed")
-                .otherwise("verified").alias("kyc_status"),
-                F.date_add(F.lit("1930-01-01").cast("date"), ((key * 101) % 18000).cast("int"))
-                .cast("string").alias("date_of_birth"),
-                _pick(CURRENCIES, F.col("n_regionkey")).alias("currency"),
-            )
+        return self.table("customer").join(
+            self.table("nation"), F.expr("c_nationkey = n_nationkey"), "left"
+        ).selectExpr(
+            "cast(c_custkey as string) as customer_id",
+            "c_name as full_name",
+            "concat('  ', c_name, '@Example.COM ') as email",
+            "format_string('000-%07d', c_custkey) as phone",
+            f"{_country('c_custkey % 8')} as country",
+            "c_mktsegment as account_tier",
+            "cast(date_add(date'1995-01-01', cast(c_custkey * 37 % 1400 as int)) as string) as signup_date",
+            "case c_custkey % 10 when 8 then 'pending' when 9 then 'failed' else 'verified' end as kyc_status",
+            "cast(date_add(date'1930-01-01', cast(c_custkey * 101 % 18000 as int)) as string) as date_of_birth",
+            f"{_currency('n_regionkey')} as currency",
         )
 
     @cached_property
     def merchants(self) -> DataFrame:
-        key = F.col("s_suppkey")
-        return self.table("supplier").select(
-            key.cast("string").alias("merchant_id"),
-            F.col("s_name").alias("merchant_name"),
-            _pick(CATEGORIES, key % 10).alias("category"),
-            _pick(MCC_CODES, key % 10).alias("mcc_code"),
-            _pick(COUNTRIES, F.col("s_nationkey") % 8).alias("country"),
-            (F.col("s_acctbal") < 0).alias("is_high_risk"),
-            F.date_add(F.lit("1992-01-01").cast("date"), ((key * 53) % 1000).cast("int"))
-            .cast("string").alias("onboarded_date"),
+        return self.table("supplier").selectExpr(
+            "cast(s_suppkey as string) as merchant_id",
+            "s_name as merchant_name",
+            f"{_category('s_suppkey % 10')} as category",
+            f"{_mcc('s_suppkey % 10')} as mcc_code",
+            f"{_country('s_nationkey % 8')} as country",
+            "s_acctbal < 0 as is_high_risk",
+            "cast(date_add(date'1992-01-01', cast(s_suppkey * 53 % 1000 as int)) as string) as onboarded_date",
         )
 
     @cached_property
     def fx_rates(self) -> DataFrame:
         """One rate per day of the data and currency; every 17th day is missing."""
-        span = self.table("lineitem").agg(
-            F.min(F.col("l_shipdate").cast("date")).alias("first"),
-            F.max(F.col("l_shipdate").cast("date")).alias("last"),
-        )
-        days = span.select("first", F.explode(F.sequence("first", "last")).alias("rate_date"))
-        day = F.datediff("rate_date", "first")
-        rates = F.explode(F.array(*[
-            F.struct(F.lit(c).alias("currency"), F.lit(i).alias("n"), F.lit(base).alias("base"))
-            for i, (c, base) in enumerate(FX_BASE.items())
-        ]))
-        drift = ((day * 37 + F.col("r.n") * 11) % 101 - 50).cast("double") / 10000.0
+        rates = ", ".join(f"struct('{c}' as currency, {i} as n, {b}D as base)" for i, (c, b) in enumerate(FX_BASE.items()))
         return (
-            days.select("rate_date", "first", rates.alias("r"))
-            .filter(day % 17 != 16)
-            .select(
-                F.col("rate_date").cast("string").alias("rate_date"),
-                F.col("r.currency").alias("currency"),
-                (F.col("r.base") * (1.0 + drift)).alias("rate_to_gbp"),
+            self.table("lineitem")
+            .selectExpr("min(cast(l_shipdate as date)) as first", "max(cast(l_shipdate as date)) as last")
+            .selectExpr("first", "explode(sequence(first, last)) as rate_date")
+            .selectExpr("rate_date", "datediff(rate_date, first) as day", f"explode(array({rates})) as r")
+            .where("day % 17 <> 16")
+            .selectExpr(
+                "cast(rate_date as string) as rate_date", "r.currency",
+                "r.base * (1.0D + cast((day * 37 + r.n * 11) % 101 - 50 as double) / 10000.0D) as rate_to_gbp",
             )
         )
 
     @cached_property
     def disputes(self) -> DataFrame:
         """Returned lines of one tax rate; odd line numbers are disputed twice."""
-        number = F.explode(
-            F.when(F.col("l_linenumber") % 2 == 1, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
-        )
         return (
-            self._lines.filter((F.col("l_returnflag") == "R") & (F.col("l_tax") >= 0.06) & (F.col("l_tax") < 0.07))
-            .select("*", number.alias("n"))
-            .select(
-                F.concat(F.lit("d"), F.col("n"), F.lit("-"), F.col("transaction_id")).alias("dispute_id"),
+            self._lines.where("l_returnflag = 'R' and l_tax >= 0.06D and l_tax < 0.07D")
+            .selectExpr("*", "explode(if(l_linenumber % 2 = 1, array(1, 2), array(1))) as n")
+            .selectExpr(
+                "concat('d', n, '-', transaction_id) as dispute_id",
                 "transaction_id",
-                F.col("o_custkey").cast("string").alias("customer_id"),
-                F.date_add(F.col("l_shipdate").cast("date"), (F.col("n") * 10).cast("int"))
-                .cast("string").alias("opened_at"),
-                _pick(["unauthorised", "duplicate", "item_not_received", "amount_incorrect"],
-                      F.col("l_linenumber") % 4).alias("reason"),
-                _pick(["won", "lost", "pending"], F.col("l_partkey") % 3).alias("status"),
-                self._amount().alias("amount"),
-                _pick(CURRENCIES, F.col("l_partkey") % 6).alias("currency"),
+                "cast(o_custkey as string) as customer_id",
+                "cast(date_add(cast(l_shipdate as date), n * 10) as string) as opened_at",
+                _pick(["unauthorised", "duplicate", "item_not_received", "amount_incorrect"], "l_linenumber % 4") + " as reason",
+                _pick(["won", "lost", "pending"], "l_partkey % 3") + " as status",
+                f"{LINE_AMOUNT} as amount",
+                f"{_currency('l_partkey % 6')} as currency",
             )
         )
 
     @cached_property
     def payments(self) -> DataFrame:
         """Transactions in canonical form, with merchant name and category."""
-        merchants = self.merchants.select(
-            "merchant_id", "merchant_name", F.col("category").alias("merchant_category")
-        )
-        return self.transactions.withColumnRenamed("ip_country", "country").join(
-            merchants, "merchant_id", "left"
-        )
+        merchants = self.merchants.selectExpr("merchant_id", "merchant_name", "category as merchant_category")
+        return self.transactions.withColumnRenamed("ip_country", "country").join(merchants, "merchant_id", "left")
 
     @cached_property
     def order_payments(self) -> DataFrame:
         """Orders as payments; every seventh customer pays in round hundreds."""
-        key = F.col("o_orderkey")
-        amount = F.when(
-            F.col("o_custkey") % 7 == 0, F.floor(F.col("o_totalprice") / 5000) * 100.0
-        ).otherwise(F.floor(F.col("o_totalprice") * 2 + 0.5) / 100.0)
-        return self.table("orders").select(
-            key.cast("string").alias("transaction_id"),
-            F.col("o_custkey").cast("string").alias("customer_id"),
-            (key % 50).cast("string").alias("merchant_id"),
-            F.concat(F.lit("Shop "), key % 50).alias("merchant_name"),
-            _pick(CATEGORIES, key % 10).alias("merchant_category"),
-            amount.alias("amount"),
-            _pick(CURRENCIES, key % 3).alias("currency"),
-            F.timestamp_seconds(
-                F.unix_timestamp(F.col("o_orderdate").cast("timestamp")) + (key * 7919) % 86400
-            ).alias("transaction_at"),
-            F.when(F.col("o_orderstatus") == "O", "declined").otherwise("completed").alias("status"),
-            _pick(["card", "app", "web", "atm"], key % 4).alias("channel"),
-            _pick(COUNTRIES, F.col("o_custkey") % 8).alias("country"),
-            (F.col("o_orderpriority") == "1-URGENT").alias("is_flagged_fraud"),
+        return self.table("orders").selectExpr(
+            "cast(o_orderkey as string) as transaction_id",
+            "cast(o_custkey as string) as customer_id",
+            "cast(o_orderkey % 50 as string) as merchant_id",
+            "concat('Shop ', o_orderkey % 50) as merchant_name",
+            f"{_category('o_orderkey % 10')} as merchant_category",
+            "if(o_custkey % 7 = 0, floor(o_totalprice / 5000) * 100.0D, floor(o_totalprice * 2 + 0.5D) / 100.0D) as amount",
+            f"{_currency('o_orderkey % 3')} as currency",
+            "timestamp_seconds(unix_timestamp(cast(o_orderdate as timestamp)) + o_orderkey * 7919 % 86400) as transaction_at",
+            "if(o_orderstatus = 'O', 'declined', 'completed') as status",
+            f"{_channel('o_orderkey % 4')} as channel",
+            f"{_country('o_custkey % 8')} as country",
+            "o_orderpriority = '1-URGENT' as is_flagged_fraud",
         )
 
     @cached_property
     def event_payments(self) -> DataFrame:
         """Events as payments with full time stamps and busy customers."""
-        key = F.col("event_id")
-        return self.table("events").select(
-            key.cast("string").alias("transaction_id"),
-            F.col("user_id").cast("string").alias("customer_id"),
-            (key % 40).cast("string").alias("merchant_id"),
-            F.concat(F.lit("Shop "), key % 40).alias("merchant_name"),
-            _pick(CATEGORIES, key % 10).alias("merchant_category"),
-            F.col("value").alias("amount"),
-            _pick(CURRENCIES, key % 3).alias("currency"),
-            F.col("ts").cast("timestamp").alias("transaction_at"),
-            F.when(F.col("event_type") == "error", "declined").otherwise("completed").alias("status"),
-            _pick(["card", "app", "web", "atm"], key % 4).alias("channel"),
-            _pick(COUNTRIES, F.col("user_id") % 8).alias("country"),
-            ((F.col("event_type") == "error") & (F.col("value") > 60)).alias("is_flagged_fraud"),
+        return self.table("events").selectExpr(
+            "cast(event_id as string) as transaction_id",
+            "cast(user_id as string) as customer_id",
+            "cast(event_id % 40 as string) as merchant_id",
+            "concat('Shop ', event_id % 40) as merchant_name",
+            f"{_category('event_id % 10')} as merchant_category",
+            "value as amount",
+            f"{_currency('event_id % 3')} as currency",
+            "cast(ts as timestamp) as transaction_at",
+            "if(event_type = 'error', 'declined', 'completed') as status",
+            f"{_channel('event_id % 4')} as channel",
+            f"{_country('user_id % 8')} as country",
+            "event_type = 'error' and value > 60 as is_flagged_fraud",
         )
 
     @cached_property
     def user_export(self) -> DataFrame:
         """Orders as a user's file: other column names, odd spellings, bad numbers and dates."""
-        key = F.col("o_orderkey")
-        when = F.col("o_orderdate").cast("timestamp")
-        price = F.format_string("%.2f", F.col("o_totalprice"))
-        return self.table("orders").select(
-            key.cast("string").alias("ref_number"),
-            F.when(key % 11 != 0, F.col("o_custkey").cast("string")).alias("cust_id"),
-            F.when(key % 13 == 0, "n/a").when(key % 17 == 0, F.concat(F.lit("-"), price))
-            .otherwise(price).alias("trans_amt"),
-            F.when(key % 19 == 0, "unknown date").otherwise(F.date_format(when, "yyyy-MM-dd HH:mm:ss"))
-            .alias("date"),
-            F.when(F.col("o_orderstatus") == "F", " SUCCESS ").when(F.col("o_orderstatus") == "O", "failed")
-            .when(key % 2 == 0, "Processing").alias("result"),
-            F.concat(F.lit("Shop "), key % 50).alias("description"),
-            F.concat(F.lit(" "), F.lower(_pick(CURRENCIES, key % 6))).alias("ccy"),
-            F.when(F.col("o_orderpriority") == "1-URGENT", "YES").when(key % 3 == 0, "0").alias("fraud_flag"),
-            F.col("o_orderpriority").alias("remarks"),
+        return self.table("orders").selectExpr(
+            "cast(o_orderkey as string) as ref_number",
+            "if(o_orderkey % 11 <> 0, cast(o_custkey as string), null) as cust_id",
+            """case when o_orderkey % 13 = 0 then 'n/a'
+                    when o_orderkey % 17 = 0 then concat('-', format_string('%.2f', o_totalprice))
+                    else format_string('%.2f', o_totalprice) end as trans_amt""",
+            "if(o_orderkey % 19 = 0, 'unknown date', date_format(o_orderdate, 'yyyy-MM-dd HH:mm:ss')) as `date`",
+            """case when o_orderstatus = 'F' then ' SUCCESS ' when o_orderstatus = 'O' then 'failed'
+                    when o_orderkey % 2 = 0 then 'Processing' end as result""",
+            "concat('Shop ', o_orderkey % 50) as description",
+            f"concat(' ', lower({_currency('o_orderkey % 6')})) as ccy",
+            "case when o_orderpriority = '1-URGENT' then 'YES' when o_orderkey % 3 = 0 then '0' end as fraud_flag",
+            "o_orderpriority as remarks",
         )
 
     def messages(self, events: DataFrame) -> DataFrame:
@@ -259,43 +222,42 @@ class SampleTables:
 
         A plain projection, so ``events`` may be a batch or a stream.
         """
-        key = F.col("event_id")
-        k = F.regexp_extract("props", "([0-9]+)", 1).cast("double")
-        rate = F.element_at(F.array(*[F.lit(FX_BASE[c]) for c in CURRENCIES[:3]]), (key % 3 + 1).cast("int"))
-        status = (
-            F.when(F.col("event_type") == "error", "declined").when(F.col("event_type") == "click", "pending")
-            .otherwise("completed")
+        rates = ", ".join(f"{FX_BASE[c]}D" for c in CURRENCIES[:3])
+        rate = f"element_at(array({rates}), cast(event_id % 3 as int) + 1)"
+        here, home = _country("event_id % 8"), _country("user_id % 8")
+        k = "cast(regexp_extract(props, '([0-9]+)', 1) as double)"
+        body = f"""to_json(named_struct(
+            'event_id', if(event_id % 101 <> 0, concat('evt-', event_id), null),
+            'transaction_id', concat('stx-', event_id),
+            'event_time', date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"),
+            'customer_id', cast(user_id as string),
+            'merchant_id', cast(event_id % 40 as string),
+            'merchant_name', concat('Shop ', event_id % 40),
+            'merchant_category', {_category('event_id % 10')},
+            'mcc_code', {_mcc('event_id % 10')},
+            'amount', value,
+            'currency', if(event_id % 3 <> 0, {_currency('event_id % 3')}, null),
+            'amount_gbp', floor(value / {rate} * 100 + 0.5D) / 100.0D,
+            'status', case event_type when 'error' then 'declined' when 'click' then 'pending' else 'completed' end,
+            'channel', {_channel('event_id % 4')},
+            'ip_country', {here},
+            'customer_tier', if(user_id % 5 <> 0, 'standard', null),
+            'customer_country', {home},
+            'is_kyc_verified', user_id % 10 <> 9,
+            'is_high_risk_merchant', event_id % 10 = 9,
+            'is_cross_border', {here} <> {home},
+            'is_flagged_fraud', event_type = 'error' and {k} >= 50,
+            'risk_score', {k}))"""
+        return (
+            events.selectExpr(
+                f"{body} as body", "event_id", "cast(user_id % 3 as int) as partition",
+                "explode(if(event_id % 50 = 7, array(0, 1), array(0))) as copy",
+            )
+            .selectExpr(
+                "if(event_id % 97 = 0, substring(body, 1, 40), body) as value", "partition",
+                "event_id * 2 + copy as offset",
+            )
         )
-        here, home = _pick(COUNTRIES, key % 8), _pick(COUNTRIES, F.col("user_id") % 8)
-        body = F.to_json(F.struct(
-            F.when(key % 101 != 0, F.concat(F.lit("evt-"), key)).alias("event_id"),
-            F.concat(F.lit("stx-"), key).alias("transaction_id"),
-            F.date_format(F.col("ts").cast("timestamp"), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("event_time"),
-            F.col("user_id").cast("string").alias("customer_id"),
-            (key % 40).cast("string").alias("merchant_id"),
-            F.concat(F.lit("Shop "), key % 40).alias("merchant_name"),
-            _pick(CATEGORIES, key % 10).alias("merchant_category"),
-            _pick(MCC_CODES, key % 10).alias("mcc_code"),
-            F.col("value").alias("amount"),
-            F.when(key % 3 != 0, _pick(CURRENCIES, key % 3)).alias("currency"),
-            (F.floor(F.col("value") / rate * 100 + 0.5) / 100.0).alias("amount_gbp"),
-            status.alias("status"),
-            _pick(["card", "app", "web", "atm"], key % 4).alias("channel"),
-            here.alias("ip_country"),
-            F.when(F.col("user_id") % 5 != 0, "standard").alias("customer_tier"),
-            home.alias("customer_country"),
-            (F.col("user_id") % 10 != 9).alias("is_kyc_verified"),
-            (key % 10 == 9).alias("is_high_risk_merchant"),
-            (here != home).alias("is_cross_border"),
-            ((F.col("event_type") == "error") & (k >= 50)).alias("is_flagged_fraud"),
-            k.alias("risk_score"),
-        ))
-        value = F.when(key % 97 == 0, F.substring("body", 1, 40)).otherwise(F.col("body"))
-        copies = F.when(key % 50 == 7, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
-        return events.withColumn("body", body).select(
-            value.alias("value"), (F.col("user_id") % 3).cast("int").alias("partition"),
-            key, F.explode(copies).alias("copy"),
-        ).select("value", "partition", (key * 2 + F.col("copy")).alias("offset"))
 
     def event_stream(self) -> DataFrame:
         """The events table read as a stream."""

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ledgerlens.operators import customers as customer_ops
 from ledgerlens.operators import enrichment, payments, risk, staging
+from ledgerlens.operators.skew import find_hot
 
 MARTS = [
     "monthly_payment_performance", "customers_360", "cohort_retention", "rfm_segmentation",
@@ -70,9 +71,13 @@ class Warehouse:
             self.transactions, self.customers, self.merchants, self.fx_rates, self.semantics
         )
 
+    def _hot(self, flag: str) -> DataFrame | None:
+        """Customers with very many of the flagged rows, counted before any join."""
+        return find_hot(self.transactions.filter(flag), "customer_id")
+
     @cached_property
     def customer_summary(self) -> DataFrame:
-        return enrichment.customer_summary(self.enriched)
+        return enrichment.customer_summary(self.enriched, self._hot("is_completed"))
 
     @cached_property
     def monthly_payment_performance(self) -> DataFrame:
@@ -102,7 +107,7 @@ class Warehouse:
 
     @cached_property
     def fraud_events(self) -> DataFrame:
-        return risk.fraud_events(self.enriched, self.disputes)
+        return risk.fraud_events(self.enriched, self.disputes, self._hot("is_flagged_fraud"))
 
     def materialise(self, folder: str) -> dict[str, DataFrame]:
         """Write the marts as parquet tables under ``folder``; fraud events incrementally."""
@@ -110,7 +115,9 @@ class Warehouse:
         for name in MARTS:
             path = f"{folder}/{name}"
             if name == "fraud_events":
-                written[name] = risk.write_fraud_events(path, self.enriched, self.disputes)
+                written[name] = risk.write_fraud_events(
+                    path, self.enriched, self.disputes, self._hot("is_flagged_fraud")
+                )
             else:
                 getattr(self, name).write.mode("overwrite").parquet(path)
                 written[name] = self.spark.read.parquet(path)

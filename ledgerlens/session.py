@@ -30,7 +30,12 @@ def build_session(
     app: str = "ledgerlens", master: str | None = None, **conf: str
 ) -> SparkSession:
     """Create (or fetch) a session; ``conf`` keys use ``__`` in place of dots."""
-    builder = SparkSession.builder.appName(app).config("spark.ui.enabled", "false")
+    builder = (
+        SparkSession.builder.appName(app)
+        .config("spark.ui.enabled", "false")
+        # Recording the caller of every column expression makes building plans slow.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
+    )
     if master:
         builder = builder.master(master)
     for key, value in conf.items():

@@ -16,8 +16,16 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None =
     return (reader.schema(schema) if schema else reader.option("inferSchema", True)).csv(path)
 
 
-def read_parquet(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+def read_parquet(spark: SparkSession, path: str, spread_by: str | None = None) -> DataFrame:
+    """Parquet rows. ``spread_by`` redistributes an input of fewer pieces than there are
+    cores, such as one file with one row group, which would otherwise run as a single task.
+    Larger inputs are left as they lie."""
+    df = spark.read.parquet(path)
+    if spread_by:
+        cores = spark.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() < cores:
+            return df.repartition(cores, spread_by)
+    return df
 
 
 def kafka_messages(
