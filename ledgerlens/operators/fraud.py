@@ -13,13 +13,16 @@ from pyspark.sql.window import Window
 
 from ledgerlens.functions import fixed
 from ledgerlens.functions.columns import count_where, percent, ratio, round_to
-from ledgerlens.operators.ordering import exact_percentiles
+from ledgerlens.operators.ordering import exact_percentiles, with_row_index
 from ledgerlens.operators.skew import find_hot, with_running_total
 from ledgerlens.storage import stage
 
 # The tree helpers below run inside tasks; send them along rather than import them there.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
+# Categories up to this number travel with the plan.
+LISTED_VALUES = 10_000
+
 FEATURES = [
     "amount", "amount_log", "hour", "day_of_week", "is_weekend", "is_night",
     "customer_txn_count", "merchant_category_enc", "channel_enc",
@@ -29,8 +32,7 @@ FEATURES = [
 def with_code(df: DataFrame, column: str, out: str, absent: str, codes: DataFrame) -> DataFrame:
     """Replace a category by its place in the alphabet of the categories that occur.
 
-    The dictionary has one row per distinct category. Unhinted, so a dictionary that should
-    turn out large is joined by key instead of being broadcast.
+    Unhinted: a small dictionary is broadcast by its size, a large one is joined by key.
     """
     value = F.coalesce(F.col(column).cast("string"), F.lit(absent))
     return (
@@ -41,8 +43,17 @@ def with_code(df: DataFrame, column: str, out: str, absent: str, codes: DataFram
 
 
 def category_codes(df: DataFrame, column: str, absent: str) -> DataFrame:
+    """Distinct values of a column with their place in the alphabet.
+
+    A dictionary is small and numbered in one task; a column that turns out to have very
+    many values is numbered by a distributed sort.
+    """
     values = df.select(F.coalesce(F.col(column).cast("string"), F.lit(absent)).alias("value")).distinct()
-    return values.select("value", (F.row_number().over(Window.orderBy("value")) - 1).cast("double").alias("code"))
+    found = values.limit(LISTED_VALUES + 1).collect()
+    if len(found) > LISTED_VALUES:
+        return with_row_index(values, ["value"], "place").select("value", F.col("place").cast("double").alias("code"))
+    places = [(r["value"], float(i)) for i, r in enumerate(sorted(found, key=lambda r: r["value"]))]
+    return df.sparkSession.createDataFrame(places, "value string, code double")
 
 
 def time_features(at: Column, no_hour: int = 0, no_day: int = 0) -> dict[str, Column]:
@@ -177,22 +188,31 @@ def isolation_forest(
 ) -> DataFrame:
     """Nodes of a forest, each tree grown from its own hash-drawn sample of ``sample`` rows.
 
-    A row decides by hash which trees it may enter, with about twice the wanted number per
-    tree; the smallest hashes stay. At most ``trees * sample`` rows are shuffled.
+    A hash of the id draws about twice the wanted rows per tree and the smallest hashes
+    stay, so some ``2 * trees * sample`` rows are shuffled. In a large table one hash sends
+    a row to at most one tree; in a small one a row may enter several.
     """
     n = features.count()
     share = min(1.0, 2.0 * sample / max(n, 1))
-    span = 1 << 30
-    draw = lambda t: F.pmod(F.xxhash64("transaction_id", t, F.lit(seed)), F.lit(span))
-    chosen = F.filter(
-        F.transform(F.sequence(F.lit(0), F.lit(trees - 1)), lambda t: F.struct(t.alias("tree"), draw(t).alias("draw"))),
-        lambda c: c["draw"] < F.lit(int(span * share)),
-    )
+    span = 1 << 50
+    width = int(span * share)
+    if trees * share <= 1.0:
+        draw = F.pmod(F.xxhash64("transaction_id", F.lit(seed)), F.lit(span))
+        drawn = (
+            features.withColumn("draw", draw)
+            .filter(F.col("draw") < trees * width)
+            .withColumn("tree", F.floor(F.col("draw") / width).cast("int"))
+            .withColumn("draw", F.col("draw") % width)
+        )
+    else:
+        drawn = (
+            features.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
+            .withColumn("draw", F.pmod(F.xxhash64("transaction_id", "tree", F.lit(seed)), F.lit(span)))
+            .filter(F.col("draw") < width)
+        )
     first = Window.partitionBy("tree").orderBy("draw", "transaction_id")
     samples = (
-        features.select("transaction_id", *FEATURES, F.explode(chosen).alias("c"))
-        .select("transaction_id", *FEATURES, "c.tree", "c.draw")
-        .withColumn("place", F.row_number().over(first))
+        drawn.select("transaction_id", *FEATURES, "tree", F.row_number().over(first).alias("place"))
         .filter(F.col("place") <= sample)
     )
     depth = int(np.ceil(np.log2(max(min(sample, n), 2))))

@@ -169,7 +169,7 @@ def normalise(
     out = out.withColumns(changes)
     if "merchant_id" not in sources:
         out = out.withColumn("merchant_id", uuid5_dns(F.coalesce(text("merchant_name"), F.lit("None"))))
-    if not has_id or not out.filter(F.col("transaction_id").isNull()).isEmpty():
+    if not has_id or not df.filter(F.col(f"`{sources['transaction_id']}`").isNull()).isEmpty():
         out = stage(out, "normalised")
     order = list(order_by) if order_by else (["transaction_id"] if has_id else [])
     if "transaction_at" not in sources:

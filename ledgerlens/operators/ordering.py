@@ -10,6 +10,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -18,8 +20,9 @@ from pyspark.sql.window import Window
 from ledgerlens.storage import stage
 
 # Rows that may be ordered in one task. Anything larger is split again first.
-ORDERED_ROWS = 200_000
-SPLITS_PER_ROUND = 256
+ORDERED_ROWS = 1_000_000
+# Split points per round. Few, so that the comparisons stay inside generated code.
+SPLITS_PER_ROUND = 32
 SAMPLE_ROWS = 8_000
 
 
@@ -31,9 +34,13 @@ def _after(keys: Sequence[str], bound: tuple) -> Column:
     return result
 
 
+def _equal(keys: Sequence[str], bound: tuple) -> Column:
+    return reduce(and_, [F.col(k) == F.lit(v) for k, v in zip(keys, bound)])
+
+
 @dataclass
 class _Span:
-    """Rows with ``low < key <= high``; ``before`` is the weight that precedes them."""
+    """Rows strictly between two keys; ``before`` rows precede them."""
 
     low: tuple | None
     high: tuple | None
@@ -46,49 +53,55 @@ class _Span:
         if self.low is not None:
             inside = inside & _after(keys, self.low)
         if self.high is not None:
-            inside = inside & ~_after(keys, self.high)
+            inside = inside & ~_after(keys, self.high) & ~_equal(keys, self.high)
         return inside
 
 
-def _split(df: DataFrame, keys: Sequence[str], span: _Span) -> list[_Span]:
+def _split(df: DataFrame, keys: Sequence[str], span: _Span, found: dict[int, tuple]) -> list[_Span]:
+    """Count the rows at and between split points; keep the parts that hold a wanted rank.
+
+    A rank that falls on a split point is found at once, so a value shared by very many
+    rows ends the search instead of prolonging it.
+    """
     inside = df.filter(span.condition(keys))
     fraction = min(1.0, SAMPLE_ROWS / span.rows)
-    seen = sorted({tuple(r) for r in inside.select(*keys).sample(fraction, seed=17).collect()})
-    step = max(1, len(seen) // SPLITS_PER_ROUND)
-    bounds = seen[step::step] if len(seen) > step else seen
+    seen = sorted({tuple(r) for r in inside.sample(fraction, seed=17).collect()})
+    step = max(1, -(-len(seen) // SPLITS_PER_ROUND))
+    bounds = seen[step // 2::step]
     bucket = F.lit(0)
     for bound in bounds:
-        bucket = bucket + _after(keys, bound).cast("int")
+        bucket = bucket + _after(keys, bound).cast("int") * 2 + _equal(keys, bound).cast("int")
     counted = {
-        r["bucket"]: (r["weight"], r["n"])
-        for r in inside.groupBy(bucket.alias("bucket"))
-        .agg(F.sum("_weight").alias("weight"), F.count("*").alias("n"))
-        .collect()
+        r["bucket"]: r["rows"]
+        for r in inside.groupBy(bucket.alias("bucket")).agg(F.count("*").alias("rows")).collect()
     }
     parts, before = [], span.before
-    for b in range(len(bounds) + 1):
-        weight, n = counted.get(b, (0, 0))
-        ranks = [r for r in span.ranks if before < r <= before + weight]
-        if ranks:
-            low = bounds[b - 1] if b > 0 else span.low
-            high = bounds[b] if b < len(bounds) else span.high
-            parts.append(_Span(low, high, before, n, ranks))
-        before += weight
+    for b in range(2 * len(bounds) + 1):
+        rows = counted.get(b, 0)
+        ranks = [r for r in span.ranks if before < r <= before + rows]
+        if b % 2:
+            found.update(dict.fromkeys(ranks, bounds[b // 2]))
+        elif ranks:
+            low = bounds[b // 2 - 1] if b > 0 else span.low
+            high = bounds[b // 2] if b // 2 < len(bounds) else span.high
+            parts.append(_Span(low, high, before, rows, ranks))
+        before += rows
     return parts
 
 
 def rows_at_ranks(
-    df: DataFrame, keys: Sequence[str], ranks: Sequence[int], rows: int, weight: str | None = None
+    df: DataFrame, keys: Sequence[str], ranks: Sequence[int], rows: int
 ) -> dict[int, tuple]:
-    """The key values at the given 1-based ranks.
+    """The key values at the given 1-based ranks in the order of ``keys``, which must not be null.
 
-    ``keys`` must be non-null and together unique per row; with ``weight`` a row stands for
-    that many equal rows. Only the wanted rows reach the driver.
+    Each round reads the table twice and shuffles nothing but counts; only sample rows and
+    the wanted keys reach the driver.
     """
-    wanted = sorted({r for r in ranks if r > 0})
-    if not wanted or rows == 0:
-        return {}
-    df = df.select(*keys, (F.col(weight) if weight else F.lit(1)).cast("bigint").alias("_weight"))
+    found: dict[int, tuple] = {}
+    wanted = sorted({r for r in ranks if 0 < r <= rows})
+    if not wanted:
+        return found
+    df = df.select(*keys)
     pending = [_Span(None, None, 0, rows, wanted)]
     ready: list[_Span] = []
     while pending:
@@ -96,34 +109,24 @@ def rows_at_ranks(
         if span.rows <= ORDERED_ROWS:
             ready.append(span)
         else:
-            pending.extend(_split(df, keys, span))
+            pending.extend(_split(df, keys, span, found))
+    if not ready:
+        return found
     tag = F.lit(None).cast("int")
-    for i, span in enumerate(ready):
-        tag = F.when(span.condition(keys), F.lit(i)).otherwise(tag)
-    order = Window.partitionBy("_span").orderBy(*keys).rowsBetween(Window.unboundedPreceding, 0)
-    upto = F.sum("_weight").over(order)
     hit = F.lit(False)
     for i, span in enumerate(ready):
-        for r in span.ranks:
-            local = r - span.before
-            hit = hit | (
-                (F.col("_span") == i) & (F.col("_upto") >= local)
-                & (F.col("_upto") - F.col("_weight") < local)
-            )
-    found = (
+        tag = F.when(span.condition(keys), F.lit(i)).otherwise(tag)
+        hit = hit | ((F.col("_span") == i) & F.col("_nth").isin([r - span.before for r in span.ranks]))
+    order = Window.partitionBy("_span").orderBy(*keys)
+    placed = (
         df.withColumn("_span", tag)
         .filter(F.col("_span").isNotNull())
-        .withColumn("_upto", upto)
+        .withColumn("_nth", F.row_number().over(order))
         .filter(hit)
-        .collect()
     )
-    result = {}
-    for row in found:
-        span = ready[row["_span"]]
-        for r in span.ranks:
-            if row["_upto"] - row["_weight"] < r - span.before <= row["_upto"]:
-                result[r] = tuple(row[k] for k in keys)
-    return result
+    for row in placed.collect():
+        found[ready[row["_span"]].before + row["_nth"]] = tuple(row[k] for k in keys)
+    return found
 
 
 def tile_ends(rows: int, tiles: int) -> list[int]:
@@ -162,19 +165,13 @@ def with_ntiles(
 
 def exact_percentiles(df: DataFrame, column: str, points: Sequence[float]) -> list[float | None]:
     """Interpolated percentiles of a numeric column, exact for any number of rows."""
-    counts = (
-        df.select(F.col(column).cast("double").alias("_value"))
-        .filter(F.col("_value").isNotNull())
-        .groupBy("_value")
-        .agg(F.count("*").alias("_rows"))
-    )
-    total = counts.agg(F.sum("_rows").alias("rows"), F.count("*").alias("values")).first()
-    rows = total["rows"]
+    values = df.select(F.col(column).cast("double").alias("_value")).filter(F.col("_value").isNotNull())
+    rows = values.count()
     if not rows:
         return [None for _ in points]
     places = [(rows - 1) * p for p in points]
     ranks = {int(p) + 1 for p in places} | {min(int(p) + 2, rows) for p in places}
-    found = rows_at_ranks(counts, ["_value"], sorted(ranks), total["values"], weight="_rows")
+    found = rows_at_ranks(values, ["_value"], sorted(ranks), rows)
     result = []
     for place in places:
         low = found[int(place) + 1][0]

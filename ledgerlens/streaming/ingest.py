@@ -11,50 +11,49 @@ from pyspark.sql.streaming import StreamingQuery
 from ledgerlens.functions.columns import count_where
 from ledgerlens.storage import table_exists
 from ledgerlens.streaming import events
-
-# Ids of a micro-batch are broadcast to find those already stored while there are no more
-# than this (a few tens of MB); larger batches are joined by key.
-BROADCAST_IDS = 1_000_000
-
+from ledgerlens.streaming.lookup import unseen
 
 @dataclass(frozen=True)
 class StreamTables:
     """The stream's tables under one folder. Every micro-batch owns one partition, which a
-    replay of the batch overwrites."""
+    replay of the batch overwrites; rows are also partitioned by event date.
+
+    A new row is compared with all stored ids. With ``same_day`` it is compared with those
+    of its own event date only, which keeps the look-up as small as the days a batch
+    touches; this finds every redelivery, as those carry the same event time.
+    """
 
     spark: SparkSession
     folder: str
+    same_day: bool = False
 
     def path(self, name: str) -> str:
         return f"{self.folder}/{name}"
 
     def read(self, name: str) -> DataFrame:
         """``transactions``, ``dlq``, ``fraud_alerts`` or ``batches``."""
-        return self.spark.read.parquet(self.path(name)).drop("batch_id")
+        return self.spark.read.parquet(self.path(name)).drop("batch_id", "event_date")
 
     def exists(self, name: str) -> bool:
         return table_exists(self.spark, self.path(name))
 
-    def _write(self, df: DataFrame, name: str, batch_id: int) -> None:
-        df.write.mode("overwrite").parquet(f"{self.path(name)}/batch_id={batch_id}")
-
-    def _unseen(self, rows: DataFrame, count: int, batch_id: int) -> DataFrame:
-        """Rows whose event id no other batch has stored.
+    def _write(self, df: DataFrame, name: str, batch_id: int, by: str | None = None) -> None:
+        writer = df.write.mode("overwrite")
+        if by:
+            writer = writer.partitionBy(by)
+        writer.parquet(f"{self.path(name)}/batch_id={batch_id}")
 
-        Only the id column of the table is read. It is filtered against the batch's ids
-        where it lies; what is left is no larger than the batch.
-        """
+    def _unseen(self, rows: DataFrame, batch_id: int) -> DataFrame:
+        """Rows whose event id no other batch has stored. Only the id column is read."""
         if not self.exists("transactions"):
             return rows
-        stored = (
-            self.spark.read.parquet(self.path("transactions"))
-            .filter(F.col("batch_id") != batch_id)
-            .select("event_id")
-        )
-        ids = rows.select("event_id")
-        if count <= BROADCAST_IDS:
-            ids = F.broadcast(ids)
-        return rows.join(stored.join(ids, "event_id", "left_semi"), "event_id", "left_anti")
+        stored = self.spark.read.parquet(self.path("transactions")).filter(F.col("batch_id") != batch_id)
+        if self.same_day:
+            days = [r[0] for r in rows.select(F.to_date("event_time")).distinct().collect()]
+            known = [d for d in days if d is not None]
+            near = F.col("event_date").isin(known)
+            stored = stored.filter(near | F.col("event_date").isNull() if None in days else near)
+        return unseen(rows, stored, "event_id", rows.count())
 
     def write_batch(self, messages: DataFrame, batch_id: int) -> None:
         """Store one micro-batch. Rows go last: a batch is complete when they are there."""
@@ -62,7 +61,7 @@ class StreamTables:
         try:
             rows = events.first_per_event(events.sink_rows(decoded)).persist()
             try:
-                fresh = self._unseen(rows, rows.count(), batch_id).select(*events.SINK_COLUMNS).persist()
+                fresh = self._unseen(rows, batch_id).select(*events.SINK_COLUMNS).persist()
                 try:
                     self._write(events.dead_letters(decoded), "dlq", batch_id)
                     self._write(events.fraud_alerts(fresh), "fraud_alerts", batch_id)
@@ -72,7 +71,8 @@ class StreamTables:
                         F.max("event_time").alias("last_event_time"),
                     )
                     self._write(statistics, "batches", batch_id)
-                    self._write(fresh, "transactions", batch_id)
+                    dated = fresh.withColumn("event_date", F.to_date("event_time"))
+                    self._write(dated, "transactions", batch_id, by="event_date")
                 finally:
                     fresh.unpersist()
             finally:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens.storage import stage, table_exists
+from ledgerlens.streaming.lookup import unseen
 
 LOG_SCHEMA = "merged_at timestamp, last_event_time timestamp, rows_merged int"
 
@@ -20,13 +21,11 @@ def last_mark(log: DataFrame) -> DataFrame:
     return log.agg(F.max("last_event_time").alias("_mark"))
 
 
-def new_transactions(
-    stream: DataFrame, stored: DataFrame, mark: DataFrame | None = None
-) -> DataFrame:
-    """Stream rows the warehouse does not hold yet, in its ten columns, one per transaction.
+def candidates(stream: DataFrame, mark: DataFrame | None = None) -> DataFrame:
+    """Stream rows in the warehouse's ten columns, the earliest copy of each transaction.
 
-    Without ``mark`` late rows are found too. With ``mark`` (a one-row table) only events
-    after it are considered, which reads less and loses late rows.
+    With ``mark`` (a one-row table) only events after it are considered, which reads less
+    and loses late rows.
     """
     if mark is not None:
         stream = (
@@ -34,19 +33,18 @@ def new_transactions(
             .filter(F.col("_mark").isNull() | (F.col("event_time") > F.col("_mark")))
             .drop("_mark")
         )
-    mapped = stream.select(
-        "transaction_id", "customer_id", "merchant_id", "amount", "currency",
-        F.col("event_time").alias("transaction_at"), "status", "is_flagged_fraud", "channel",
-        "ip_country", "event_id",
-    )
-    # min_by over a plain column list keeps the earliest copy with map-side combining
-    whole = F.struct(*MERGED_COLUMNS)
-    single = (
+    mapped = stream.withColumnRenamed("event_time", "transaction_at").select(*MERGED_COLUMNS, "event_id")
+    order = F.struct("transaction_at", "event_id")
+    return (
         mapped.groupBy(F.col("transaction_id").alias("_id"))
-        .agg(F.min_by(whole, F.struct("transaction_at", "event_id")).alias("row"))
+        .agg(F.min_by(F.struct(*MERGED_COLUMNS), order).alias("row"))
         .select("row.*")
     )
-    return single.join(stored.select("transaction_id"), "transaction_id", "left_anti")
+
+
+def new_transactions(stream: DataFrame, stored: DataFrame, mark: DataFrame | None = None) -> DataFrame:
+    """Candidates the warehouse does not hold yet."""
+    return unseen(candidates(stream, mark), stored, "transaction_id")
 
 
 def merge_into_warehouse(
@@ -64,7 +62,8 @@ def merge_into_warehouse(
         spark.read.schema(LOG_SCHEMA).parquet(log_path) if table_exists(spark, log_path)
         else spark.createDataFrame([], LOG_SCHEMA)
     )
-    fresh = stage(new_transactions(stream, stored, None if late_rows else last_mark(log)), "stream-merge")
+    found = stage(candidates(stream, None if late_rows else last_mark(log)), "stream-candidates")
+    fresh = stage(unseen(found, stored, "transaction_id", found.count()), "stream-merge")
     added = fresh.count()
     if added:
         fresh.select(*[F.col(f.name).cast(f.dataType) for f in stored.schema.fields if f.name in fresh.columns]) \

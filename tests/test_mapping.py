@@ -54,6 +54,12 @@ def test_amounts_and_defaults(spark):
     assert len(generated) == 1 and uuid.UUID(generated[0])
 
 
+def test_filled_ids_stay_the_same(spark):
+    df = normalised(spark, [("a", 1.0), (None, 2.0), (None, 3.0)], "ref string, amount double")
+    first = sorted(r["transaction_id"] for r in df.collect())
+    assert first == sorted(r["transaction_id"] for r in df.collect()) and len(set(first)) == 3
+
+
 def test_generated_ids_stay_the_same(spark):
     df = normalised(spark, [(1.0,), (2.0,), (2.0,)], "amount double")
     first = sorted(r["transaction_id"] for r in df.collect())

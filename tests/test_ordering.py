@@ -6,7 +6,7 @@ import pytest
 from ledgerlens.operators import ordering
 
 
-@pytest.fixture(params=[200_000, 40])
+@pytest.fixture(params=[1_000_000, 40])
 def limit(request, monkeypatch):
     """Once in one go, once with many rounds of splitting."""
     monkeypatch.setattr(ordering, "ORDERED_ROWS", request.param)

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerlens.sources.readers import file_messages
-from ledgerlens.streaming import events, ingest, merge, monitor
+from ledgerlens.streaming import events, ingest, lookup, merge, monitor
 
 T0 = dt.datetime(2024, 1, 1)
 
@@ -62,13 +62,22 @@ def test_batches_store_each_event_once_and_replay(spark, batch, tmp_path):
 
 
 def test_large_batches_join_by_key(spark, batch, tmp_path, monkeypatch):
-    monkeypatch.setattr(ingest, "BROADCAST_IDS", 0)
+    monkeypatch.setattr(lookup, "BROADCAST_KEYS", 0)
     tables = ingest.StreamTables(spark, str(tmp_path))
     for number in range(2):
         tables.write_batch(batch([message(i) for i in range(5 + number)]), number)
     assert tables.read("transactions").count() == 6
 
 
+def test_same_day_lookup(spark, batch, tmp_path):
+    tables = ingest.StreamTables(spark, str(tmp_path), same_day=True)
+    tables.write_batch(batch([message(i * 700) for i in range(6)]), 0)
+    tables.write_batch(batch([message(i * 700) for i in range(3, 9)] + [message(1, event_time="bad")]), 1)
+    tables.write_batch(batch([message(1, event_time="bad"), message(0)]), 2)
+    assert tables.read("transactions").count() == 10
+    assert tables.read("transactions").select("event_id").distinct().count() == 10
+
+
 def test_stream_from_files(spark, batch, tmp_path):
     inbox, folder = f"{tmp_path}/in", f"{tmp_path}/out"
     batch([message(i) for i in range(6)]).coalesce(1).write.parquet(inbox)
