@@ -178,7 +178,7 @@ FROM scorecard WHERE total_transactions >= 10 ORDER BY risk_score DESC, merchant
 )
 register(
     "executive_repeat_fraud_customers",
-    lambda c: reports.repeat_fraud_customers(c.warehouse.fraud_events, c.warehouse.customers_360),
+    lambda c: reports.repeat_fraud_customers(c.warehouse.fraud_events, c.warehouse.customers),
     select("""SELECT customer_id, any_value(c.account_tier) AS account_tier, any_value(c.country_code) AS country_code,
   any_value(c.is_kyc_verified) AS is_kyc_verified, count(*) AS fraud_events, max(customer_fraud_velocity_30d) AS max_30d_velocity,
   round(sum(amount_gbp), 2) AS total_fraud_amount_gbp, count(*) FILTER (has_dispute) AS disputed_count,

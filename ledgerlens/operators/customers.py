@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ledgerlens.functions import fixed
 from ledgerlens.functions.columns import (
@@ -55,50 +56,55 @@ def customers_360(
     )
 
 
-def _retention(members: DataFrame, active_months: DataFrame) -> DataFrame:
-    """Active members per cohort and month offset.
+def cohort_retention(transactions: DataFrame, customers: DataFrame) -> DataFrame:
+    """Share of each signup cohort that transacted N months after signup.
 
-    Both inputs are distinct, (customer, cohort) and (customer, month), so the distinct
-    customers of the report are plain counts and no customer brings more rows to the join
-    than there are months.
+    Both sides are made distinct first, (customer, cohort) and (customer, month), so the
+    distinct customers of the report are plain counts and no customer brings more rows to
+    the join than there are months.
     """
+    members = customers.select("customer_id", month_of(F.col("signup_date")).alias("cohort_month")).distinct()
+    months = (
+        transactions.filter("is_completed")
+        .select("customer_id", F.col("transaction_month").alias("active_month"))
+        .distinct()
+    )
     sizes = members.groupBy("cohort_month").agg(F.count("customer_id").alias("cohort_size"))
     active = (
-        members.join(active_months, "customer_id")
+        members.join(months, "customer_id")
         .withColumn("months_since_signup", months_apart(F.col("cohort_month"), F.col("active_month")))
         .filter(F.col("months_since_signup") >= 0)
         .groupBy("cohort_month", "months_since_signup")
         .agg(F.count("*").alias("active_customers"))
     )
     return active.join(sizes, "cohort_month").select(
-        "cohort_month", "months_since_signup", "active_customers", "cohort_size"
-    )
-
-
-def cohort_retention(enriched: DataFrame, customers: DataFrame) -> DataFrame:
-    """Share of each signup cohort that transacted N months after signup."""
-    members = customers.select("customer_id", month_of(F.col("signup_date")).alias("cohort_month")).distinct()
-    months = (
-        enriched.filter("is_completed")
-        .select("customer_id", F.col("transaction_month").alias("active_month"))
-        .distinct()
-    )
-    return _retention(members, months).withColumn(
-        "retention_rate", ratio(F.col("active_customers"), F.col("cohort_size"))
+        "cohort_month", "months_since_signup", "active_customers", "cohort_size",
+        ratio(F.col("active_customers"), F.col("cohort_size")).alias("retention_rate"),
     )
 
 
 def first_purchase_retention(payments: DataFrame) -> DataFrame:
-    """Retention of cohorts defined by the month of the first completed transaction."""
+    """Retention of cohorts defined by the month of the first completed transaction.
+
+    One pass: rows become distinct (customer, month) pairs, whose first month per customer
+    is the cohort. Every member is active in month 0, so that count is the cohort's size.
+    """
     months = (
-        payments.filter(F.col("status") == "completed")
+        payments.filter((F.col("status") == "completed") & F.col("transaction_at").isNotNull())
         .select("customer_id", month_of(F.col("transaction_at").cast("date")).alias("active_month"))
         .distinct()
     )
-    members = months.groupBy("customer_id").agg(F.min("active_month").alias("cohort_month"))
-    return _retention(members, months).withColumn(
+    first = F.min("active_month").over(Window.partitionBy("customer_id"))
+    active = (
+        months.withColumn("cohort_month", first)
+        .groupBy("cohort_month", months_apart(F.col("cohort_month"), F.col("active_month")).alias("months_since_signup"))
+        .agg(F.count("*").alias("active_customers"))
+    )
+    at_start = F.when(F.col("months_since_signup") == 0, F.col("active_customers"))
+    size = F.max(at_start).over(Window.partitionBy("cohort_month"))
+    return active.withColumn("cohort_size", size).withColumn(
         "retention_pct", percent(F.col("active_customers"), F.col("cohort_size"), 1)
-    ).filter(F.col("cohort_month").isNotNull())
+    )
 
 
 def segment_of(r: Column, f: Column, m: Column) -> Column:
@@ -177,12 +183,15 @@ def _activity(completed: DataFrame, day: Column, amount: str, today: DataFrame,
 
 
 def rfm_segmentation(
-    transactions: DataFrame, enriched: DataFrame, customers: DataFrame, semantics: str = "corrected"
+    transactions: DataFrame, priced: DataFrame, customers: DataFrame, semantics: str = "corrected"
 ) -> DataFrame:
-    """RFM segments of customers with completed transactions, in GBP, with customer context."""
+    """RFM segments of customers with completed transactions, in GBP, with customer context.
+
+    The reference date is the last day of all ``transactions``, completed or not.
+    """
     today = transactions.agg(F.max("transaction_date").alias("_today"))
     activity = _activity(
-        enriched.filter("is_completed"), F.col("transaction_date"), "amount_gbp", today,
+        priced.filter("is_completed"), F.col("transaction_date"), "amount_gbp", today,
         {"last": "last_transaction_date", "monetary": "monetary_gbp"},
     )
     scored = _score(activity, "monetary_gbp", semantics)

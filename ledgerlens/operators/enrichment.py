@@ -11,6 +11,19 @@ from ledgerlens.operators.skew import hot_medians, mark_hot
 CUSTOMER_KEYS = ["customer_id", "account_tier", "customer_country", "is_kyc_verified"]
 
 
+def price(transactions: DataFrame, fx: DataFrame) -> DataFrame:
+    """Add ``amount_gbp`` at the rate of the day; a day without a rate counts as 1."""
+    rates = fx.select(
+        F.col("rate_date").alias("transaction_date"), "currency", F.col("rate_to_gbp").alias("_rate")
+    )
+    in_gbp = F.try_divide(F.col("amount"), F.coalesce(F.col("_rate"), F.lit(1.0)))
+    return (
+        transactions.join(rates, ["transaction_date", "currency"], "left")
+        .withColumn("amount_gbp", round_to(in_gbp, 2))
+        .drop("_rate")
+    )
+
+
 def enrich(
     transactions: DataFrame,
     customers: DataFrame,
@@ -42,14 +55,7 @@ def enrich(
         "merchant_country",
         F.col("is_high_risk").alias("is_high_risk_merchant"),
     )
-    r = fx.select(
-        F.col("rate_date").alias("transaction_date"), "currency", F.col("rate_to_gbp").alias("_rate")
-    )
-    joined = (
-        transactions.join(r, ["transaction_date", "currency"], "left")
-        .join(m, "merchant_id", "left")
-        .join(c, "customer_id", "left")
-    )
+    joined = price(transactions, fx).join(m, "merchant_id", "left").join(c, "customer_id", "left")
     if semantics == "corrected":
         joined = joined.withColumn(
             "is_cross_border", F.col("ip_country") != F.col("customer_country")
@@ -62,29 +68,22 @@ def enrich(
         .when(abroad, "cross_border")
         .otherwise("standard")
     )
-    in_gbp = F.try_divide(F.col("amount"), F.coalesce(F.col("_rate"), F.lit(1.0)))
-    return joined.withColumns({"amount_gbp": round_to(in_gbp, 2), "risk_tier": tier}).drop("_rate")
+    return joined.withColumn("risk_tier", tier)
 
 
 def customer_summary(enriched: DataFrame, hot: DataFrame | None = None) -> DataFrame:
     """Completed activity per customer.
 
-    Normally the rows move once, by customer, and that one exchange serves the counts, the
-    three distinct counts and the exact median. With customers in ``hot`` (see
-    ``skew.find_hot``) rows are not gathered by customer: Spark counts distinct values per
-    (customer, value) first, which spreads a busy customer, and the median of such a
-    customer is located by ``hot_medians`` instead of buffering its values in one task.
+    Normally one aggregate does it all: the rows already lie by customer after the customer
+    join, and the sets behind the distinct counts are as small as a customer's activity.
+    With customers in ``hot`` (see ``skew.find_hot``) nothing is gathered by customer:
+    distinct values are counted per (customer, value) first, which spreads a busy customer,
+    and the median of such a customer is located by ``hot_medians``.
     """
-    done = enriched.filter("is_completed").select(
-        *CUSTOMER_KEYS, "transaction_month", "merchant_id", "merchant_category", "amount_gbp",
-        "transaction_date", "is_flagged_fraud", "is_cross_border", "channel",
-    )
+    done = enriched.filter("is_completed")
     total = money(F.sum("amount_gbp"))
-    aggregates = [
+    plain = [
         F.count("*").alias("total_transactions"),
-        F.countDistinct("transaction_month").alias("active_months"),
-        F.countDistinct("merchant_id").alias("distinct_merchants"),
-        F.countDistinct("merchant_category").alias("distinct_categories"),
         total.alias("total_spend_gbp"),
         ratio(total, F.count("amount_gbp")).alias("avg_transaction_gbp"),
         F.max("amount_gbp").alias("max_transaction_gbp"),
@@ -97,27 +96,30 @@ def customer_summary(enriched: DataFrame, hot: DataFrame | None = None) -> DataF
         count_where(F.col("channel") == "card").alias("card_txn_count"),
         count_where(F.col("channel") == "web").alias("web_txn_count"),
     ]
+    distinct = {
+        "active_months": "transaction_month",
+        "distinct_merchants": "merchant_id",
+        "distinct_categories": "merchant_category",
+    }
+    median = F.percentile("amount_gbp", F.lit(0.5)).alias("median_transaction_gbp")
     if hot is None:
-        rows = done.repartition("customer_id")
-        medians = rows.groupBy(*CUSTOMER_KEYS).agg(F.percentile("amount_gbp", F.lit(0.5)).alias("_median"))
+        sets = [F.size(F.collect_set(c)).cast("bigint").alias(n) for n, c in distinct.items()]
+        summary = done.groupBy(*CUSTOMER_KEYS).agg(*plain, *sets, median)
     else:
-        rows = done
         marked = mark_hot(done, "customer_id", hot)
         medians = (
-            marked.filter(~F.col("_hot")).groupBy(*CUSTOMER_KEYS)
-            .agg(F.percentile("amount_gbp", F.lit(0.5)).alias("_median"))
-            .unionByName(hot_medians(marked.filter("_hot"), CUSTOMER_KEYS, "amount_gbp", "_median"))
+            marked.filter(~F.col("_hot")).groupBy(*CUSTOMER_KEYS).agg(median)
+            .unionByName(hot_medians(marked.filter("_hot"), CUSTOMER_KEYS, "amount_gbp", "median_transaction_gbp"))
+            .select(*[F.col(k).alias(f"_k_{k}") for k in CUSTOMER_KEYS], "median_transaction_gbp")
+        )
+        same = F.lit(True)
+        for k in CUSTOMER_KEYS:
+            same = same & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
+        counts = [F.countDistinct(c).alias(n) for n, c in distinct.items()]
+        summary = (
+            done.groupBy(*CUSTOMER_KEYS).agg(*plain, *counts)
+            .join(medians, same, "left").drop(*[f"_k_{k}" for k in CUSTOMER_KEYS])
         )
-    medians = medians.select(
-        *[F.col(k).alias(f"_k_{k}") for k in CUSTOMER_KEYS], F.col("_median").alias("median_transaction_gbp")
-    )
-    same = F.lit(True)
-    for k in CUSTOMER_KEYS:
-        same = same & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
-    summary = (
-        rows.groupBy(*CUSTOMER_KEYS).agg(*aggregates)
-        .join(medians, same, "left").drop(*[f"_k_{k}" for k in CUSTOMER_KEYS])
-    )
     engagement = (
         F.col("active_months") * F.lit(3.0).cast("double")
         + F.col("distinct_categories") * F.lit(2.0).cast("double")

@@ -143,7 +143,7 @@ def read_fraud_events(spark: SparkSession, path: str) -> DataFrame:
 
 
 def merchant_risk_scorecard(
-    merchants: DataFrame, enriched: DataFrame, transactions: DataFrame, disputes: DataFrame
+    merchants: DataFrame, priced: DataFrame, transactions: DataFrame, disputes: DataFrame
 ) -> DataFrame:
     """One row per merchant with volumes, rates, a 0-100 risk score and a band.
 
@@ -152,7 +152,7 @@ def merchant_risk_scorecard(
     """
     done = F.col("is_completed")
     volume = money(sum_where(done, F.col("amount_gbp")))
-    stats = enriched.groupBy("merchant_id").agg(
+    stats = priced.groupBy("merchant_id").agg(
         F.count("*").alias("total_transactions"),
         count_where(done).alias("completed_transactions"),
         count_where(F.col("is_flagged_fraud")).alias("fraud_flagged_count"),

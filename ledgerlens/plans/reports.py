@@ -82,8 +82,10 @@ def riskiest_merchants(scorecard: DataFrame, n: int = 10, at_least: int = 10) ->
     )
 
 
-def repeat_fraud_customers(fraud_events: DataFrame, customers_360: DataFrame, at_least: int = 3) -> DataFrame:
-    """Customers with several fraud events. Events are reduced per customer before the join."""
+def repeat_fraud_customers(fraud_events: DataFrame, customers: DataFrame, at_least: int = 3) -> DataFrame:
+    """Customers with several fraud events; ``customers`` is the 360 mart or the staged table.
+
+    Events are reduced per customer before the join."""
     per_customer = fraud_events.groupBy("customer_id").agg(
         F.count("*").alias("fraud_events"),
         F.max("customer_fraud_velocity_30d").alias("max_30d_velocity"),
@@ -91,7 +93,7 @@ def repeat_fraud_customers(fraud_events: DataFrame, customers_360: DataFrame, at
         count_where(F.col("has_dispute")).alias("disputed_count"),
         F.countDistinct("merchant_category").alias("merchant_categories_hit"),
     ).filter(F.col("fraud_events") >= at_least)
-    who = customers_360.select("customer_id", "account_tier", "country_code", "is_kyc_verified")
+    who = customers.select("customer_id", "account_tier", "country_code", "is_kyc_verified")
     return per_customer.join(who, "customer_id").orderBy(
         F.col("fraud_events").desc(), F.col("total_fraud_amount_gbp").desc_nulls_last(), "customer_id"
     )

@@ -65,6 +65,15 @@ class Warehouse:
     def disputes(self) -> DataFrame:
         return staging.stage_disputes(self.raw_disputes)
 
+    @cached_property
+    def priced(self) -> DataFrame:
+        """Transactions in GBP, for marts that need no customer or merchant attribute.
+
+        Catalyst cannot know that customer and merchant ids are unique (the quality checks
+        test it), so it would keep those joins, and with them a shuffle of all transactions.
+        """
+        return enrichment.price(self.transactions, self.fx_rates)
+
     @cached_property
     def enriched(self) -> DataFrame:
         return enrichment.enrich(
@@ -91,18 +100,18 @@ class Warehouse:
 
     @cached_property
     def cohort_retention(self) -> DataFrame:
-        return customer_ops.cohort_retention(self.enriched, self.customers)
+        return customer_ops.cohort_retention(self.transactions, self.customers)
 
     @cached_property
     def rfm_segmentation(self) -> DataFrame:
         return customer_ops.rfm_segmentation(
-            self.transactions, self.enriched, self.customers, self.semantics
+            self.transactions, self.priced, self.customers, self.semantics
         )
 
     @cached_property
     def merchant_risk_scorecard(self) -> DataFrame:
         return risk.merchant_risk_scorecard(
-            self.merchants, self.enriched, self.transactions, self.disputes
+            self.merchants, self.priced, self.transactions, self.disputes
         )
 
     @cached_property

@@ -15,6 +15,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _local_dir: str | None = None
+_staged: list[str] = []
 
 
 def scratch_root(spark: SparkSession) -> str:
@@ -38,6 +39,7 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once and return a DataFrame that reads it back."""
     path = scratch_path(df.sparkSession, name)
+    _staged.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
@@ -47,3 +49,15 @@ def table_exists(spark: SparkSession, path: str) -> bool:
     jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     fs = jvm_path.getFileSystem(spark._jsc.hadoopConfiguration())
     return fs.exists(jvm_path)
+
+
+def release(spark: SparkSession) -> int:
+    """Delete the intermediate tables this process has written; returns how many there were.
+
+    Results that still read them must have been written or collected before.
+    """
+    count = len(_staged)
+    while _staged:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_staged.pop())
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    return count

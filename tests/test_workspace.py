@@ -85,3 +85,15 @@ def test_csv_with_other_names(spark, tmp_path):
     assert w.segment.rfm().count() == 5
     with pytest.raises(FileNotFoundError):
         Workspace.from_csv(spark, f"{tmp_path}/none.csv")
+
+
+def test_release_deletes_staged_tables(spark):
+    from ledgerlens import storage
+
+    staged = storage.stage(spark.range(3), "probe")
+    path = storage._staged[-1]
+    assert staged.count() == 3 and storage.table_exists(spark, path)
+    keep = storage._staged[:-1]
+    storage._staged[:] = [path]
+    assert storage.release(spark) == 1 and not storage.table_exists(spark, path)
+    storage._staged[:] = keep
