@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlens.functions.columns import count_where, money, percent, ratio, round_to, sum_where
-from ledgerlens.operators.skew import with_trailing_count
+from ledgerlens.operators.skew import KeyLoad, with_trailing_count
 from ledgerlens.storage import table_exists
 
 VELOCITY_DAYS = 30
@@ -35,17 +35,17 @@ def _with_disputes(flagged: DataFrame, disputes: DataFrame) -> DataFrame:
 
 
 def fraud_events(
-    enriched: DataFrame, disputes: DataFrame, hot: DataFrame | None = None
+    enriched: DataFrame, disputes: DataFrame, load: KeyLoad | None = None
 ) -> DataFrame:
     """Flagged transactions with their disputes and the customer's 30-day velocity.
 
     A transaction with several disputes yields several rows, and each counts towards the
-    velocity. ``hot`` lists customers with very many flagged rows (see ``skew.find_hot``).
+    velocity. ``load`` tells how the flagged rows lie over the customers (see ``skew.key_load``).
     """
     flagged = enriched.filter("is_flagged_fraud").select(*FRAUD_EVENT_COLUMNS)
     return with_trailing_count(
         _with_disputes(flagged, disputes), "customer_id", "transaction_at", VELOCITY_DAYS,
-        VELOCITY, hot,
+        VELOCITY, load,
     )
 
 
@@ -92,7 +92,7 @@ def stale_months(stored: DataFrame, enriched: DataFrame, disputes: DataFrame) ->
 
 
 def fraud_events_of(
-    months: list[date], enriched: DataFrame, disputes: DataFrame, hot: DataFrame | None = None
+    months: list[date], enriched: DataFrame, disputes: DataFrame, load: KeyLoad | None = None
 ) -> DataFrame:
     """Fraud events of the given months; 30 days of history are read for the velocity."""
     month = F.trunc("transaction_date", "month")
@@ -100,20 +100,20 @@ def fraud_events_of(
     for m in months:
         first = F.date_sub(F.lit(m), VELOCITY_DAYS)
         needed = needed | F.col("transaction_date").between(first, F.last_day(F.lit(m)))
-    return fraud_events(enriched.filter(needed), disputes, hot).filter(month.isin(months))
+    return fraud_events(enriched.filter(needed), disputes, load).filter(month.isin(months))
 
 
 def refresh_fraud_events(
-    stored: DataFrame, enriched: DataFrame, disputes: DataFrame, hot: DataFrame | None = None
+    stored: DataFrame, enriched: DataFrame, disputes: DataFrame, load: KeyLoad | None = None
 ) -> DataFrame:
     """The table after new, late or newly disputed rows have arrived; equal to a full rebuild."""
     months = stale_months(stored, enriched, disputes)
     kept = stored.filter(~F.trunc("transaction_date", "month").isin(months))
-    return kept.unionByName(fraud_events_of(months, enriched, disputes, hot), allowMissingColumns=True)
+    return kept.unionByName(fraud_events_of(months, enriched, disputes, load), allowMissingColumns=True)
 
 
 def write_fraud_events(
-    path: str, enriched: DataFrame, disputes: DataFrame, hot: DataFrame | None = None
+    path: str, enriched: DataFrame, disputes: DataFrame, load: KeyLoad | None = None
 ) -> DataFrame:
     """Bring the table at ``path``, partitioned by month, up to date and return it.
 
@@ -124,9 +124,9 @@ def write_fraud_events(
     if table_exists(spark, path):
         stored = read_fraud_events(spark, path)
         months = stale_months(stored, enriched, disputes)
-        rows = fraud_events_of(months, enriched, disputes, hot)
+        rows = fraud_events_of(months, enriched, disputes, load)
     else:
-        rows = fraud_events(enriched, disputes, hot)
+        rows = fraud_events(enriched, disputes, load)
     (
         rows.withColumn("event_month", month)
         .write.mode("overwrite")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -13,6 +14,8 @@ from ledgerlens.storage import stage
 # A key with more rows than this is split; below it one task orders the key's rows.
 # At 10^12 rows at most 10^6 keys can exceed it, so the list of such keys stays small.
 HOT_ROWS = 1_000_000
+# A sliding frame re-adds its rows for each row; keys up to this size may use one.
+FRAME_ROWS = 10_000
 # Up to this many hot keys travel with the plan; more are kept in a stored table.
 LISTED_KEYS = 10_000
 
@@ -39,6 +42,21 @@ def find_hot(df: DataFrame, key: str, limit: int | None = None) -> DataFrame | N
     return df.sparkSession.createDataFrame(found, hot.schema)
 
 
+@dataclass(frozen=True)
+class KeyLoad:
+    """How the rows lie over the keys: the hot ones, and whether any key exceeds ``FRAME_ROWS``."""
+
+    hot: DataFrame | None = None
+    crowded: bool = True
+
+
+def key_load(df: DataFrame, key: str) -> KeyLoad:
+    """Count once in the usual case, a second time when some key is crowded."""
+    if find_hot(df, key, FRAME_ROWS) is None:
+        return KeyLoad(None, False)
+    return KeyLoad(find_hot(df, key), True)
+
+
 def mark_hot(df: DataFrame, key: str, hot: DataFrame, out: str = "_hot") -> DataFrame:
     """Add a boolean telling whether the row's key is in ``hot``.
 
@@ -95,14 +113,21 @@ def with_running_total(
 
 
 def with_trailing_count(
-    df: DataFrame, key: str, at: str, days: int, out: str, hot: DataFrame | None = None
+    df: DataFrame, key: str, at: str, days: int, out: str, load: KeyLoad | None = None
 ) -> DataFrame:
     """Rows of the same key in ``[at - days, at]``, peers at the same instant included.
 
-    Computed as a difference of two running totals, the second one probed just before
-    ``at - days``. A sliding frame would re-add the whole frame for every row, which is
-    quadratic for a busy key.
+    Where ``load`` shows that no key is crowded, a sliding range frame. It re-adds the whole
+    frame for every row, which is quadratic for a busy key; otherwise, and by default, the
+    count is a difference of two running totals, the second one probed just before
+    ``at - days``.
     """
+    load = load or KeyLoad()
+    if not load.crowded:
+        return df.withColumn(out, F.expr(
+            f"count(*) over (partition by {key} order by {at} "
+            f"range between interval {days} days preceding and current row)"
+        ))
     instants = df.groupBy(key, at).agg(F.count("*").alias("_n")).filter(F.col(at).isNotNull())
     shifted = F.col(at) - F.make_dt_interval(F.lit(days))
     marks = instants.select(
@@ -112,7 +137,7 @@ def with_trailing_count(
             F.struct(F.col(at).alias("t"), F.lit(1).alias("is_row"), F.col("_n").alias("n")),
         )).alias("_m"),
     ).select(key, "_at", "_m.*")
-    running = with_running_total(marks, key, "t", ["is_row"], F.col("n"), "_upto", hot)
+    running = with_running_total(marks, key, "t", ["is_row"], F.col("n"), "_upto", load.hot)
     signed = F.when(F.col("is_row") == 1, F.col("_upto")).otherwise(-F.col("_upto"))
     counts = running.groupBy(F.col(key).alias("_k"), "_at").agg(F.sum(signed).alias(out))
     return df.join(

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ledgerlens.operators import customers as customer_ops
 from ledgerlens.operators import enrichment, payments, risk, staging
-from ledgerlens.operators.skew import find_hot
+from ledgerlens.operators.skew import KeyLoad, find_hot, key_load
 
 MARTS = [
     "monthly_payment_performance", "customers_360", "cohort_retention", "rfm_segmentation",
@@ -80,13 +80,18 @@ class Warehouse:
             self.transactions, self.customers, self.merchants, self.fx_rates, self.semantics
         )
 
-    def _hot(self, flag: str) -> DataFrame | None:
-        """Customers with very many of the flagged rows, counted before any join."""
-        return find_hot(self.transactions.filter(flag), "customer_id")
+    @cached_property
+    def _busy_customers(self) -> DataFrame | None:
+        """Customers with very many completed transactions, counted before any join."""
+        return find_hot(self.transactions.filter("is_completed"), "customer_id")
+
+    @cached_property
+    def _flagged_load(self) -> KeyLoad:
+        return key_load(self.transactions.filter("is_flagged_fraud"), "customer_id")
 
     @cached_property
     def customer_summary(self) -> DataFrame:
-        return enrichment.customer_summary(self.enriched, self._hot("is_completed"))
+        return enrichment.customer_summary(self.enriched, self._busy_customers)
 
     @cached_property
     def monthly_payment_performance(self) -> DataFrame:
@@ -116,7 +121,7 @@ class Warehouse:
 
     @cached_property
     def fraud_events(self) -> DataFrame:
-        return risk.fraud_events(self.enriched, self.disputes, self._hot("is_flagged_fraud"))
+        return risk.fraud_events(self.enriched, self.disputes, self._flagged_load)
 
     def materialise(self, folder: str) -> dict[str, DataFrame]:
         """Write the marts as parquet tables under ``folder``; fraud events incrementally."""
@@ -125,7 +130,7 @@ class Warehouse:
             path = f"{folder}/{name}"
             if name == "fraud_events":
                 written[name] = risk.write_fraud_events(
-                    path, self.enriched, self.disputes, self._hot("is_flagged_fraud")
+                    path, self.enriched, self.disputes, self._flagged_load
                 )
             else:
                 getattr(self, name).write.mode("overwrite").parquet(path)

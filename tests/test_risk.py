@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerlens.operators import mapping, quality, risk
+from ledgerlens.operators.skew import KeyLoad
 from ledgerlens.plans.warehouse import Warehouse, read_marts
 
 START = dt.datetime(2023, 1, 10)
@@ -60,7 +61,7 @@ def test_velocity_and_fan_out(rows, disputes):
 def test_velocity_of_hot_customers(rows, disputes, spark):
     w = warehouse(rows, disputes)
     hot = spark.createDataFrame([("a", True)], "_hot_key string, _is_hot boolean")
-    assert table(risk.fraud_events(w.enriched, w.disputes, hot)) == table(w.fraud_events)
+    assert table(risk.fraud_events(w.enriched, w.disputes, KeyLoad(hot))) == table(w.fraud_events)
 
 
 @pytest.mark.parametrize("stored_ids", [

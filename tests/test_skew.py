@@ -37,6 +37,14 @@ def test_find_hot(table):
     assert skew.find_hot(table, "key", 9).filter("_hot_key is null").count() == 1
 
 
+def test_key_load(table, monkeypatch):
+    assert skew.key_load(table, "key") == skew.KeyLoad(None, False)
+    monkeypatch.setattr(skew, "FRAME_ROWS", 50)
+    assert skew.key_load(table, "key") == skew.KeyLoad(None, True)
+    monkeypatch.setattr(skew, "HOT_ROWS", 60)
+    assert skew.key_load(table, "key").hot.count() == 1
+
+
 @pytest.mark.parametrize("limit", [None, 50, 5])
 def test_running_total(table, rows, limit):
     got = skew.with_running_total(table, "key", "at", ["id"], F.lit(2), "n", hot_of(table, limit))
@@ -46,9 +54,10 @@ def test_running_total(table, rows, limit):
         assert r["n"] == want
 
 
-@pytest.mark.parametrize("limit", [None, 50, 5])
+@pytest.mark.parametrize("limit", [None, 50, 5, "frame"])
 def test_trailing_count(table, rows, limit):
-    got = skew.with_trailing_count(table, "key", "at", 30, "n", hot_of(table, limit)).collect()
+    load = skew.KeyLoad(None, False) if limit == "frame" else skew.KeyLoad(hot_of(table, limit))
+    got = skew.with_trailing_count(table, "key", "at", 30, "n", load).collect()
     assert len(got) == len(rows)
     for r in got:
         since = r["at"] - dt.timedelta(days=30)
