@@ -44,6 +44,30 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+class Scratch:
+    """The intermediate tables of one job, in a folder of their own, so that each can go as soon as nothing reads it."""
+
+    def __init__(self, spark: SparkSession, name: str):
+        self.spark = spark
+        self.folder = scratch_path(spark, name)
+        self._count = 0
+        self._paths: dict[str, str] = {}
+        _staged.append(self.folder)
+
+    def keep(self, df: DataFrame, name: str) -> DataFrame:
+        """Write ``df`` once and return a DataFrame that reads it back."""
+        self._count += 1
+        path = self._paths[name] = f"{self.folder}/{self._count}-{name}"
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def drop(self, *names: str) -> None:
+        """Delete tables by the names they were last kept under."""
+        for name in names:
+            path = self.spark._jvm.org.apache.hadoop.fs.Path(self._paths.pop(name))
+            path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def table_exists(spark: SparkSession, path: str) -> bool:
     """True when ``path`` holds a finished write."""
     jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
