@@ -15,6 +15,9 @@ RUNTIME_CONF = {
     # Split a hot join partition even when that costs one more shuffle afterwards.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Whole texts go through Arrow: bound a batch by its bytes, not only by its rows.
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
+    "spark.sql.execution.arrow.maxBytesPerBatch": "8m",
 }
 
 
