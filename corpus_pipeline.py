@@ -1,12 +1,66 @@
-"""The corpus pipeline: raw documents to a weighted training mix."""
+"""The corpus pipeline: raw documents to a weighted training mix.
+
+Each stage takes (spark, docs, sf_dir) and returns a DataFrame that is written as Parquet and read again
+as the next stage's ``docs``. All stages but the last return the columns of ``docs``.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-STAGES: list = []
+from ledgerlens.llm import contamination, line_dedup, mixing, near_duplicates, quality
+from ledgerlens.session import configure
+from ledgerlens.storage import Scratch
+
+
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return configure(spark).read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier accepts."""
+    return quality.kept(docs, _table(spark, sf_dir, "labels"))
+
+
+def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without later copies of long repeated runs of lines."""
+    configure(spark)
+    return line_dedup.cleaned(docs)
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates."""
+    configure(spark)
+    return near_duplicates.one_of_each(docs)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without benchmark passages."""
+    return contamination.decontaminated(docs, _table(spark, sf_dir, "benchmark"))
+
+
+def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """What each document contributes to the training mix."""
+    configure(spark)
+    return mixing.mixed(docs)
+
+
+STAGES = [
+    ("quality_classifier", quality_classifier),
+    ("line_dedup", line_dedup_stage),
+    ("near_dedup", near_dedup),
+    ("decontamination", decontamination),
+    ("source_mixing", source_mixing),
+]
+
+#: SQL cannot train the classifier's model; the pipeline is tested against brute-force stages.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raise ValueError("no stages yet")
+    """All stages over ``documents``."""
+    scratch = Scratch(spark, "pipeline")
+    docs = _table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = scratch.keep(stage(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -40,3 +40,29 @@ def by_text(
             yield pd.concat(parts, ignore_index=True) if parts else make([])
 
     return run
+
+
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often and in whatever lambda ``body`` uses it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def running_totals(values: Column, block: int = 256) -> Column:
+    """The running totals of an array of whole numbers, by blocks: n * (block + n / block) steps, not n * n."""
+    def total(x: Column) -> Column:
+        return F.aggregate(x, F.lit(0).cast("long"), lambda a, b: a + b)
+
+    def blocks(v: Column) -> Column:
+        return F.transform(
+            F.sequence(F.lit(0), F.floor((F.size(v) - 1) / block).cast("int")), lambda b: F.slice(v, b * block + 1, F.lit(block))
+        )
+
+    def within(parts: Column, sums: Column) -> Column:
+        return F.flatten(F.transform(parts, lambda part, b: let(
+            total(F.slice(sums, F.lit(1), b)),
+            lambda base: F.transform(part, lambda _, i: base + total(F.slice(part, F.lit(1), i + 1))),
+        )))
+
+    return let(values, lambda v: F.when(F.size(v) == 0, F.array().cast("array<bigint>")).otherwise(
+        let(blocks(v), lambda parts: let(F.transform(parts, total), lambda sums: within(parts, sums)))
+    ))

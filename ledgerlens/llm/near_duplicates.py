@@ -219,3 +219,13 @@ def near_duplicates(
         "doc_id", "n_shingles",
         F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
     ).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+
+
+def one_of_each(docs: DataFrame, percent: int = 75, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """The rows of ``docs`` whose id is the smallest of their component, columns as they were.
+
+    Repeated rows of a kept id stay, as they are one document.
+    """
+    found = near_duplicates(docs, percent, id_column, text_column)
+    dropped = found.filter(~F.col("kept")).select(F.col("doc_id").alias("_dropped_id"), F.col("component_id").isNotNull().alias("_dropped")).distinct()
+    return docs.join(dropped, q(id_column).eqNullSafe(F.col("_dropped_id")), "left_anti")
