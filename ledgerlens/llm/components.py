@@ -8,6 +8,10 @@ from pyspark.sql import functions as F
 from ledgerlens.storage import Scratch
 
 
+#: Edges that one task may hold; below this a round needs no shuffle.
+ONE_TASK_EDGES = 100_000
+
+
 def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
     """(node, root) for every node of ``edges`` (columns a, b of one type); root is the component's smallest node.
 
@@ -22,9 +26,13 @@ def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
     ).distinct()
     edges = scratch.keep(edges, "edges-0")
     turn = 0
+    # Rounds never add edges, so a small table stays small.
+    few = edges.count() <= ONE_TASK_EDGES
     while True:
         turn += 1
-        both = edges.select("u", "v").unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        edges = edges.coalesce(1) if few else edges
+        ends = F.array(F.struct("u", "v"), F.struct(F.col("v").alias("u"), F.col("u").alias("v")))
+        both = edges.select(F.explode(ends).alias("e")).select("e.*")
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = (
             both.filter(F.col("v") > F.col("u")).join(low, "u")

@@ -6,9 +6,9 @@
 2. Band keys shared by several classes are candidate buckets. In each bucket the class with the
    most bucket mates (the likely original) is the hub; the others are compared with it only.
 3. Links to hubs join most of a bucket into one component. What a bucket still holds in
-   different components is compared pair by pair, if the collision-corrected similarity
-   estimated from the packed bits is not clearly below the threshold. Pairs whose ends are already
-   connected cannot change a component and are never built.
+   different components is compared pair by pair, if its sets can have enough in common and the
+   collision-corrected similarity estimated from the packed bits is not clearly below the threshold.
+   Pairs whose ends are already connected cannot change a component and are never built.
 4. Every candidate is confirmed on whole sets; components of confirmed links are the result.
 
 A pair at similarity 0.75 shares no band with probability (1 - 0.75**4)**32 = 5e-6, and is
@@ -36,6 +36,8 @@ ROWS = 4
 BANDS = PERMUTATIONS // ROWS
 MARGIN = 0.17
 PACKED = PERMUTATIONS * BITS // 64
+#: Ids (some 30 bytes each in memory) that may be sent to every task; more are joined by a shuffle.
+BROADCAST_IDS = 1_000_000
 
 _RNG = np.random.Generator(np.random.PCG64(11))
 _FACTORS = _RNG.integers(0, 2**31, PERMUTATIONS, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
@@ -126,8 +128,8 @@ def estimate(a: str, b: str) -> Column:
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose whole sets have 100 * intersection >= percent * union."""
-    left = sets.select(F.col("digest").alias("a"), F.col("hashes").alias("ha"))
-    right = sets.select(F.col("digest").alias("b"), F.col("hashes").alias("hb"))
+    left = sets.select(F.col("id").alias("a"), F.col("hashes").alias("ha"))
+    right = sets.select(F.col("id").alias("b"), F.col("hashes").alias("hb"))
     both = F.size(F.array_intersect("ha", "hb"))
     # The sizes bound the similarity; most failing pairs need no look at the sets.
     return (
@@ -139,10 +141,53 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     )
 
 
+def _sets_of(base: DataFrame, likely: DataFrame) -> DataFrame:
+    """(id, hashes): the whole set of each class, from the text of its smallest id."""
+    ids = likely.select("smallest").distinct()
+    if ids.count() <= BROADCAST_IDS:
+        ids = F.broadcast(ids)
+    texts = base.join(ids, F.col("doc_id").eqNullSafe(F.col("smallest")), "left_semi")
+    again = by_text(_sets, "digest binary, hashes array<long>")
+    made = texts.select(again("text").alias("s")).select("s.*")
+    return made.join(likely.select("id", "digest"), "digest").dropDuplicates(["id"]).select("id", "hashes")
+
+
+def _across(members: DataFrame, likely: DataFrame, label: DataFrame, sets: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
+    """Candidate pairs (a, b) of different components within a bucket.
+
+    What two sets have in common is at most what either shares with any set still open here. That bound rules out
+    most of a group whose members differ in too many places of their own, before any pair is built. Members of a bucket's
+    largest component meet only the bucket's other members.
+    """
+    labelled = members.join(label, members["id"] == label["node"], "left").select("key", "id", F.coalesce("root", "id").alias("root"))
+    several = labelled.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low != high")
+    opened = scratch.keep(labelled.join(several, "key", "left_semi"), "open")
+    shingles = sets.join(opened.select("id").distinct(), "id", "left_semi").select("id", F.explode("hashes").alias("shingle"))
+    common = shingles.groupBy("shingle").agg(F.min("id").alias("low"), F.max("id").alias("high")).filter("low != high")
+    sizes = shingles.join(common, "shingle", "left_semi").groupBy("id").agg(F.count("*").alias("common"))
+    sizes = scratch.keep(
+        sizes.join(likely, "id").filter(100 * F.col("common") >= percent * F.col("n")).select("id", "n", "common", "packed"), "open-sizes"
+    )
+    rows = opened.join(sizes, "id")
+    main = rows.groupBy("key", "root").agg(F.count("*").alias("size")).groupBy("key").agg(
+        F.max(F.struct("size", "root")).alias("m")
+    ).select("key", F.col("m.root").alias("main"))
+    columns = ["id", "root", "n", "common", "packed"]
+    x = rows.join(main, "key").filter("root != main").select("key", "main", *[F.col(c).alias(f"{c}_a") for c in columns])
+    y = rows.select(F.col("key").alias("key_b"), *[F.col(c).alias(f"{c}_b") for c in columns])
+    enough = (100 + percent) * F.least("common_a", "common_b") >= percent * (F.col("n_a") + F.col("n_b"))
+    once = (F.col("root_b") == F.col("main")) | (F.col("id_a") < F.col("id_b"))
+    pairs = x.join(
+        y, (F.col("key") == F.col("key_b")) & (F.col("root_a") != F.col("root_b")) & once & enough
+        & (estimate("packed_a", "packed_b") >= percent / 100 - MARGIN),
+    )
+    return pairs.select(F.least("id_a", "id_b").alias("a"), F.greatest("id_a", "id_b").alias("b")).distinct()
+
+
 def near_duplicates(
     docs: DataFrame, percent: int = 75, id_column: str = "doc_id", text_column: str = "text"
 ) -> DataFrame:
-    """One row per row of ``docs``: doc_id, n_shingles, component_id, kept.
+    """One row per row of ``docs``: doc_id, n_shingles, component_id, kept, and text_key (a hash of the text).
 
     ``component_id`` is the smallest id reachable by links of at least ``percent`` similarity, itself
     included. Null, empty and blank texts have no shingles and are linked with nothing. A null id
@@ -153,79 +198,60 @@ def near_duplicates(
     scratch = Scratch(docs.sparkSession, "near-duplicates")
     make = by_text(_signatures, "n long, digest binary, packed array<long>, bands array<long>")
     base = docs.select(q(id_column).alias("doc_id"), q(text_column).alias("text"))
-    signed = scratch.keep(base.select("doc_id", make("text").alias("s")).select("doc_id", "s.*"), "signatures")
+    signed = scratch.keep(
+        base.select("doc_id", F.xxhash64("text").alias("text_key"), make("text").alias("s")).select("doc_id", "text_key", "s.*"),
+        "signatures",
+    )
 
     classes = scratch.keep(
         signed.filter("n > 0").groupBy("digest").agg(
-            F.min("doc_id").alias("smallest"), F.first("packed").alias("packed"), F.first("bands").alias("bands")
-        ), "classes",
+            F.min("doc_id").alias("smallest"), F.first("n").alias("n"), F.first("packed").alias("packed"), F.first("bands").alias("bands")
+        ).withColumn("id", F.monotonically_increasing_id()), "classes",
     )
-    rows = classes.select("digest", F.explode("bands").alias("key"))
+    rows = classes.select("id", F.explode("bands").alias("key"))
     shared = rows.groupBy("key").agg(F.count("*").alias("mates")).filter("mates > 1")
     members = scratch.keep(rows.join(shared, "key"), "buckets")
-    degree = members.groupBy("digest").agg(F.sum("mates").alias("degree"))
-    likely = scratch.keep(classes.join(degree, "digest").select("digest", "smallest", "packed", "degree"), "likely")
-
-    # The whole sets of all members, from one text of each class.
-    texts = base.join(likely.select("smallest").distinct(), F.col("doc_id").eqNullSafe(F.col("smallest")), "left_semi")
-    again = by_text(_sets, "digest binary, hashes array<long>")
-    sets = scratch.keep(
-        texts.select(again("text").alias("s")).select("s.*").join(likely, "digest", "left_semi").dropDuplicates(["digest"]),
-        "sets",
-    )
+    degree = members.groupBy("id").agg(F.sum("mates").alias("degree"))
+    likely = scratch.keep(classes.join(degree, "id").select("id", "digest", "smallest", "n", "packed", "degree"), "likely")
+    sets = scratch.keep(_sets_of(base, likely), "sets")
 
     hubs = (
-        members.join(likely.select("digest", "degree"), "digest")
-        .groupBy("key").agg(F.max(F.struct("degree", "digest")).alias("hub"))
-        .select("key", F.col("hub.digest").alias("hub"))
+        members.join(likely.select("id", "degree"), "id").groupBy("key").agg(F.max(F.struct("degree", "id")).alias("hub"))
+        .select("key", F.col("hub.id").alias("hub"))
     )
-    to_hubs = members.join(hubs, "key").filter("digest != hub").select(
-        F.least("digest", "hub").alias("a"), F.greatest("digest", "hub").alias("b")
+    to_hubs = members.join(hubs, "key").filter("id != hub").select(
+        F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b")
     ).distinct()
     floor = percent / 100 - MARGIN
-    left = likely.select(F.col("digest").alias("a"), F.col("packed").alias("pa"))
-    right = likely.select(F.col("digest").alias("b"), F.col("packed").alias("pb"))
+    left = likely.select(F.col("id").alias("a"), F.col("packed").alias("pa"))
+    right = likely.select(F.col("id").alias("b"), F.col("packed").alias("pb"))
     tried = scratch.keep(to_hubs.join(left, "a").join(right, "b").filter(estimate("pa", "pb") >= floor).select("a", "b"), "to-hubs")
     links = scratch.keep(_confirmed(tried, sets, percent), "links")
-
-    # Buckets that still hold several components.
-    label = components(links, scratch)
-    labelled = members.join(label, members["digest"] == label["node"], "left").select(
-        "key", "digest", F.coalesce("root", "digest").alias("root")
-    )
-    open_keys = labelled.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low != high")
-    open_rows = scratch.keep(
-        labelled.join(open_keys, "key", "left_semi").join(likely.select("digest", "packed"), "digest"), "open"
-    )
-    x, y = open_rows.select("key", *[F.col(c).alias(f"{c}_a") for c in ("digest", "root", "packed")]), open_rows.select(
-        "key", *[F.col(c).alias(f"{c}_b") for c in ("digest", "root", "packed")]
-    )
-    across = x.join(
-        y,
-        (x["key"] == y["key"]) & (F.col("digest_a") < F.col("digest_b")) & (F.col("root_a") != F.col("root_b"))
-        & (estimate("packed_a", "packed_b") >= floor),
-    ).select(F.col("digest_a").alias("a"), F.col("digest_b").alias("b")).distinct()
+    across = _across(members, likely, components(links, scratch), sets, percent, scratch)
     more = _confirmed(across.join(tried, ["a", "b"], "left_anti"), sets, percent)
     links = scratch.keep(links.unionByName(more), "all-links")
 
     label = components(links, scratch)
-    placed = classes.select("digest", "smallest").join(label, classes["digest"] == label["node"], "left").select(
-        "digest", "smallest", F.coalesce("root", "digest").alias("root")
+    placed = classes.select("digest", "id", "smallest").join(label, classes["id"] == label["node"], "left").select(
+        "digest", "smallest", F.coalesce("root", "id").alias("root")
     )
     component = placed.groupBy("root").agg(F.min("smallest").alias("component_id"))
     by_class = scratch.keep(placed.join(component, "root").select("digest", "component_id"), "by-class")
-    scratch.drop("classes", "buckets", "likely", "sets", "to-hubs", "links", "open", "all-links")
-    return signed.select("doc_id", F.col("n").alias("n_shingles"), "digest").join(by_class, "digest", "left").select(
-        "doc_id", "n_shingles",
+    scratch.drop("classes", "buckets", "likely", "sets", "to-hubs", "links", "open", "open-sizes", "all-links")
+    return signed.select("doc_id", "text_key", F.col("n").alias("n_shingles"), "digest").join(by_class, "digest", "left").select(
+        "doc_id", "text_key", "n_shingles",
         F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
-    ).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+    ).select(
+        "doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"), "text_key"
+    )
 
 
 def one_of_each(docs: DataFrame, percent: int = 75, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """The rows of ``docs`` whose id is the smallest of their component, columns as they were.
 
-    Repeated rows of a kept id stay, as they are one document.
+    Repeated rows of a kept id and text stay, as they are one document.
     """
     found = near_duplicates(docs, percent, id_column, text_column)
-    dropped = found.filter(~F.col("kept")).select(F.col("doc_id").alias("_dropped_id"), F.col("component_id").isNotNull().alias("_dropped")).distinct()
-    return docs.join(dropped, q(id_column).eqNullSafe(F.col("_dropped_id")), "left_anti")
+    dropped = found.filter(~F.col("kept")).select(F.col("doc_id").alias("_dropped_id"), F.col("text_key").alias("_dropped_key")).distinct()
+    same = q(id_column).eqNullSafe(F.col("_dropped_id")) & (F.xxhash64(q(text_column)) == F.col("_dropped_key"))
+    return docs.join(dropped, same, "left_anti")
