@@ -12,7 +12,7 @@
 4. Every candidate is confirmed on whole sets; components of confirmed links are the result.
 
 A pair at similarity 0.75 shares no band with probability (1 - 0.75**4)**32 = 5e-6, and is
-discarded by the estimate (MARGIN is more than four standard deviations) with about 1e-5.
+discarded by an estimate (MARGIN and FINE_MARGIN are more than four standard deviations) with about 1e-5.
 """
 
 from __future__ import annotations
@@ -35,13 +35,16 @@ BITS = 4
 ROWS = 4
 BANDS = PERMUTATIONS // ROWS
 MARGIN = 0.17
-PACKED = PERMUTATIONS * BITS // 64
 #: Ids (some 30 bytes each in memory) that may be sent to every task; more are joined by a shuffle.
 BROADCAST_IDS = 1_000_000
 
+#: Permutations and margin of the finer signatures of classes in buckets that hold several components.
+FINE = 512
+FINE_MARGIN = 0.09
+
 _RNG = np.random.Generator(np.random.PCG64(11))
-_FACTORS = _RNG.integers(0, 2**31, PERMUTATIONS, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
-_TERMS = _RNG.integers(0, 2**32, PERMUTATIONS, dtype=np.uint32)
+_FACTORS = _RNG.integers(0, 2**31, FINE, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
+_TERMS = _RNG.integers(0, 2**32, FINE, dtype=np.uint32)
 _ROWS_AT_ONCE = 1024
 
 
@@ -63,13 +66,14 @@ def shingle_sets(texts: Sequence[str | None], size: int = SHINGLE) -> list[np.nd
     return out
 
 
-def minima(hashes: np.ndarray) -> np.ndarray:
+def minima(hashes: np.ndarray, permutations: int = PERMUTATIONS) -> np.ndarray:
     """The smallest value of each of the permutations over one set."""
-    low = np.full(PERMUTATIONS, 0xFFFFFFFF, np.uint32)
+    low = np.full(permutations, 0xFFFFFFFF, np.uint32)
+    factors, terms = _FACTORS[:permutations], _TERMS[:permutations]
     values = (hashes >> np.uint64(32)).astype(np.uint32)
     for at in range(0, len(values), _ROWS_AT_ONCE):
-        part = values[at:at + _ROWS_AT_ONCE, None] * _FACTORS
-        part += _TERMS
+        part = values[at:at + _ROWS_AT_ONCE, None] * factors
+        part += terms
         part ^= part >> np.uint32(15)
         part *= np.uint32(0x2C1B3C6D)
         np.minimum(low, part.min(axis=0), out=low)
@@ -79,7 +83,7 @@ def minima(hashes: np.ndarray) -> np.ndarray:
 def _packed(low: np.ndarray) -> np.ndarray:
     """The low BITS of each minimum, several to a 64-bit number."""
     per = 64 // BITS
-    bits = ((low >> np.uint32(3)) & np.uint32((1 << BITS) - 1)).astype(np.uint64).reshape(PACKED, per)
+    bits = ((low >> np.uint32(3)) & np.uint32((1 << BITS) - 1)).astype(np.uint64).reshape(-1, per)
     return np.bitwise_or.reduce(bits << (np.arange(per, dtype=np.uint64) * np.uint64(BITS)), axis=1)
 
 
@@ -112,18 +116,22 @@ def _sets(texts: Sequence[str | None]) -> pd.DataFrame:
     return pd.DataFrame({"digest": [_digest(h) for h in found], "hashes": [h.astype(np.int64) for h in found]})
 
 
-def estimate(a: str, b: str) -> Column:
+def _fine(sets: pd.Series) -> pd.Series:
+    return pd.Series([_packed(minima(np.asarray(h, np.int64).view(np.uint64), FINE)).astype(np.int64) for h in sets])
+
+
+def estimate(a: str, b: str, permutations: int = PERMUTATIONS) -> Column:
     """Similarity estimated from two packed signatures: the share of equal low-bit groups, less
     the share that agrees by chance (2**-BITS), rescaled."""
     low = F.lit(0x1111111111111111)
     apart = F.lit(0)
-    for k in range(PACKED):
+    for k in range(permutations * BITS // 64):
         x = F.col(a)[k].bitwiseXOR(F.col(b)[k])
         x = x.bitwiseOR(F.shiftrightunsigned(x, 2))
         x = x.bitwiseOR(F.shiftrightunsigned(x, 1))
         apart = apart + F.bit_count(x.bitwiseAND(low))
     chance = 2.0 ** -BITS
-    return ((1 - apart / F.lit(float(PERMUTATIONS))) - chance) / (1 - chance)
+    return ((1 - apart / F.lit(float(permutations))) - chance) / (1 - chance)
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -152,7 +160,7 @@ def _sets_of(base: DataFrame, likely: DataFrame) -> DataFrame:
     return made.join(likely.select("id", "digest"), "digest").dropDuplicates(["id"]).select("id", "hashes")
 
 
-def _across(members: DataFrame, likely: DataFrame, label: DataFrame, sets: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
+def _across(members: DataFrame, label: DataFrame, sets: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
     """Candidate pairs (a, b) of different components within a bucket.
 
     What two sets have in common is at most what either shares with any set still open here. That bound rules out
@@ -166,7 +174,8 @@ def _across(members: DataFrame, likely: DataFrame, label: DataFrame, sets: DataF
     common = shingles.groupBy("shingle").agg(F.min("id").alias("low"), F.max("id").alias("high")).filter("low != high")
     sizes = shingles.join(common, "shingle", "left_semi").groupBy("id").agg(F.count("*").alias("common"))
     sizes = scratch.keep(
-        sizes.join(likely, "id").filter(100 * F.col("common") >= percent * F.col("n")).select("id", "n", "common", "packed"), "open-sizes"
+        sizes.join(sets, "id").withColumn("n", F.size("hashes")).filter(100 * F.col("common") >= percent * F.col("n"))
+        .select("id", "n", "common", F.pandas_udf(_fine, "array<long>")("hashes").alias("packed")), "open-sizes",
     )
     rows = opened.join(sizes, "id")
     main = rows.groupBy("key", "root").agg(F.count("*").alias("size")).groupBy("key").agg(
@@ -179,7 +188,7 @@ def _across(members: DataFrame, likely: DataFrame, label: DataFrame, sets: DataF
     once = (F.col("root_b") == F.col("main")) | (F.col("id_a") < F.col("id_b"))
     pairs = x.join(
         y, (F.col("key") == F.col("key_b")) & (F.col("root_a") != F.col("root_b")) & once & enough
-        & (estimate("packed_a", "packed_b") >= percent / 100 - MARGIN),
+        & (estimate("packed_a", "packed_b", FINE) >= percent / 100 - FINE_MARGIN),
     )
     return pairs.select(F.least("id_a", "id_b").alias("a"), F.greatest("id_a", "id_b").alias("b")).distinct()
 
@@ -227,7 +236,7 @@ def near_duplicates(
     right = likely.select(F.col("id").alias("b"), F.col("packed").alias("pb"))
     tried = scratch.keep(to_hubs.join(left, "a").join(right, "b").filter(estimate("pa", "pb") >= floor).select("a", "b"), "to-hubs")
     links = scratch.keep(_confirmed(tried, sets, percent), "links")
-    across = _across(members, likely, components(links, scratch), sets, percent, scratch)
+    across = _across(members, components(links, scratch), sets, percent, scratch)
     more = _confirmed(across.join(tried, ["a", "b"], "left_anti"), sets, percent)
     links = scratch.keep(links.unionByName(more), "all-links")
 

@@ -1,7 +1,8 @@
 """Toxicity by compression distance.
 
-Two zstandard dictionaries are trained on labelled documents: one on ordinary text, and one on the passages
-of toxic documents that ordinary ones do not have (those that telling pieces of a few bytes cover). A window of a document is
+Two zstandard dictionaries come from labelled documents: zstandard trains one on ordinary windows; the other
+holds the frequent passages of toxic documents that ordinary ones do not have (those that telling pieces of a
+few bytes cover), as content, since trained on whole toxic windows it would be ordinary text for the most part. A window of a document is
 compressed with the ordinary dictionary and with both together; the bytes that the toxic one saves
 are the window's distance. A logistic curve over a document's distances, fitted to the same labelled
 rows, gives the score, so that a fixed threshold is calibrated.
@@ -30,16 +31,19 @@ TOXIC_ROWS = 3_000
 ORDINARY_ROWS = 6_000
 #: Labelled documents above this length are not used for training.
 TRAIN_CHARS = 50_000
-WINDOW = 512
-STEP = 448
+WINDOW = 256
+STEP = 216
 LEVEL = 6
 ORDINARY_BYTES = 32_768
 TOXIC_BYTES = 16_384
+TRAIN_WINDOWS = 40_000
 #: Bytes of the pieces by which toxic and ordinary vocabulary are told apart, the share of the toxic sample that a
 #: telling piece occurs in at least, and how much more often than in the ordinary sample.
 PIECE = 5
 PIECE_SHARE = 0.01
-PIECE_ODDS = 20
+PIECE_ODDS = 40
+#: Times a passage must occur to enter the toxic dictionary.
+PASSAGE_COUNT = 3
 
 _MARKS = bytes(32 if chr(i) in " \t\n\x0b\x0c\r.,;:!?|#*$%&\"'()<>[]{}=" else i for i in range(256))
 
@@ -135,18 +139,28 @@ def fit(toxic: Sequence[str], ordinary: Sequence[str]) -> Model:
     if not toxic or not ordinary:
         rate = min(max(len(toxic) / max(1, len(toxic) + len(ordinary)), 0.01), 0.99)
         return Model(b" " * 8, b" " * 8, [float(np.log(rate / (1 - rate))), 0.0, 0.0, 0.0])
-    # Half of the rows make the dictionaries, the others the curve, which so meets unseen text.
-    samples = [_words(t) for t in toxic[::2]]
-    telling = _telling([_pieces(x) for x in samples], [_pieces(_words(t)) for t in ordinary])
-    special = _trained([b"".join(p) for x in samples if (p := _passages(x, telling))], TOXIC_BYTES)
-    common = _trained([w for t in ordinary[::2] for w in windows(t)][:40_000], ORDINARY_BYTES)
-    model = Model(common, special + common, [0.0] * 4)
-    rows = [model.features(t) for t in [*toxic[1::2], *ordinary[1::2]]]
-    wanted = np.array([1.0] * len(toxic[1::2]) + [0.0] * len(ordinary[1::2]))
-    model.weights = _logistic(np.array(rows).reshape(-1, 3), wanted)
+    # The curve meets distances as unseen text has them: each half's come from the other half's dictionaries.
+    rows, wanted = [], []
+    for k in (0, 1):
+        model = _dictionaries(toxic[k::2], ordinary[k::2])
+        for kind, texts in ((1.0, toxic[1 - k::2]), (0.0, ordinary[1 - k::2])):
+            rows += [model.features(t) for t in texts]
+            wanted += [kind] * len(texts)
+    model = _dictionaries(toxic, ordinary)
+    model.weights = _logistic(np.array(rows).reshape(-1, 3), np.array(wanted))
     return model
 
 
+def _dictionaries(toxic: Sequence[str], ordinary: Sequence[str]) -> Model:
+    samples = [_words(t) for t in toxic]
+    telling = _telling([_pieces(x) for x in samples], [_pieces(_words(t)) for t in ordinary])
+    passages = Counter(p for x in samples for p in _passages(x, telling))
+    # The most frequent last: zstandard encodes nearer matches in fewer bytes.
+    special = b"".join(p for p, n in reversed(passages.most_common()) if n >= PASSAGE_COUNT)[-TOXIC_BYTES:] or b" " * 8
+    common = _trained([w for t in ordinary for w in windows(t)][:TRAIN_WINDOWS], ORDINARY_BYTES)
+    return Model(common, special + common, [0.0] * 4)
+
+
 def _logistic(rows: np.ndarray, wanted: np.ndarray, ridge: float = 0.1, rounds: int = 30) -> list[float]:
     """Ridge logistic regression by Newton's method."""
     x = np.column_stack([np.ones(len(rows)), rows])

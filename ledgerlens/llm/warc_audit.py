@@ -8,6 +8,8 @@ descends: at each level only children of differing nodes are read, down to the r
 
 from __future__ import annotations
 
+import hashlib
+import re
 from collections.abc import Iterator
 
 import pandas as pd
@@ -40,15 +42,14 @@ def parse(files: DataFrame) -> DataFrame:
 
     Bytes that are no record become one of type ``damaged`` up to the next record or the end. An empty file has none.
     """
-    import hashlib
-
     def records(data: bytes) -> Iterator[tuple]:
         at = 0
         while at < len(data):
             head = data.find(b"\r\n\r\n", at)
             fields = {}
-            if data.startswith(b"WARC/", at) and head >= 0:
-                for line in data[at:head].split(b"\r\n")[1:]:
+            lines = data[at:head].split(b"\r\n") if head >= 0 else [b""]
+            if re.fullmatch(rb"WARC/[0-9]\.[0-9]", lines[0]):
+                for line in lines[1:]:
                     name, _, value = line.partition(b":")
                     fields[name.strip().lower()] = value.strip().decode("utf-8", "replace")
             size = fields.get(b"content-length", "")
