@@ -2,17 +2,37 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
+import zipfile
 from collections.abc import Callable, Iterator, Sequence
+from pathlib import Path
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerlens.llm.words import chunks
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Give the executors this package, once per application, so that functions in tasks can import it."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    package = Path(__file__).resolve().parent.parent
+    archive = Path(tempfile.mkdtemp(prefix="package-")) / f"{package.name}.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for file in sorted(package.rglob("*.py")):
+            out.write(file, file.relative_to(package.parent))
+    context.addPyFile(str(archive))
+    _shipped.add(context.applicationId)
+
+
 def fresh(df: DataFrame, name: str) -> str:
     """A column name that ``df`` does not have, in any case."""
     taken = {c.lower() for c in df.columns}
@@ -31,6 +51,7 @@ def by_text(
     make: Callable[[Sequence[str | None]], pd.DataFrame], schema: T.StructType | str
 ) -> Callable[[Column], Column]:
     """A struct-valued column function: ``make`` gets chunks of texts of bounded size and returns one row per text."""
+    ship(SparkSession.active())
 
     @F.pandas_udf(schema)
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:

@@ -16,6 +16,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerlens.llm.frames import ship
 from ledgerlens.llm.words import chunks
 
 SYMBOLS = 128
@@ -28,6 +29,7 @@ def _codes(texts: Sequence[str | None]) -> list[np.ndarray]:
 
 def alphabet(docs: DataFrame, text_column: str = "text") -> np.ndarray:
     """The SYMBOLS - 2 most frequent characters of a column (ties: the smaller code), sorted."""
+    ship(docs.sparkSession)
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total = np.zeros(0x110000, np.int64)
@@ -69,6 +71,7 @@ def trigrams(texts: Sequence[str | None], table: np.ndarray) -> tuple[np.ndarray
 
 def counts(docs: DataFrame, letters: np.ndarray, text_column: str = "text") -> DataFrame:
     """(u, v, w, n): how often each trigram occurs in the column; null and empty texts have none."""
+    ship(docs.sparkSession)
     table = docs.sparkSession.sparkContext.broadcast(numbering(letters))
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

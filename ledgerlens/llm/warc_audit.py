@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ledgerlens.llm.frames import q
+from ledgerlens.llm.frames import q, ship
 from ledgerlens.operators.ordering import with_row_index
 from ledgerlens.storage import Scratch
 
@@ -66,6 +66,7 @@ def parse(files: DataFrame) -> DataFrame:
             for path, data in zip(batch["path"], batch["content"]):
                 yield pd.DataFrame([(path, *r) for r in records(bytes(data))], columns=["file", "offset", "length", "type", "uri", "digest"])
 
+    ship(files.sparkSession)
     return files.select("path", "content").mapInPandas(run, PARSED)
 
 
