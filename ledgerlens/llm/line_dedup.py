@@ -150,8 +150,9 @@ def deduplicated(
     per_doc = scratch.keep(per_doc.select(*[F.col(c).alias(f"_dedup_{c}") for c in DOC], F.col("runs").alias("_dedup_runs")), "runs-by-doc")
     scratch.drop(*[f"copies-{j}" for j in range(int(math.log2(min_words)) + 1)])
     key = fresh(docs, "text_key")
+    # Documents with copies are a share of all documents, so the texts are shuffled whatever the size.
     joined = docs.withColumn(key, identity["text_key"]).join(
-        per_doc, q(id_column).eqNullSafe(F.col("_dedup_doc_id")) & (F.col(key) == F.col("_dedup_text_key")), "left"
+        per_doc.hint("merge"), q(id_column).eqNullSafe(F.col("_dedup_doc_id")) & (F.col(key) == F.col("_dedup_text_key")), "left"
     )
     lines, runs = F.split(q(text_column), "\n"), F.col("_dedup_runs")
     pieces = F.transform(

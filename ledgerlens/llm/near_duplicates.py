@@ -263,4 +263,5 @@ def one_of_each(docs: DataFrame, percent: int = 75, id_column: str = "doc_id", t
     found = near_duplicates(docs, percent, id_column, text_column)
     dropped = found.filter(~F.col("kept")).select(F.col("doc_id").alias("_dropped_id"), F.col("text_key").alias("_dropped_key")).distinct()
     same = q(id_column).eqNullSafe(F.col("_dropped_id")) & (F.xxhash64(q(text_column)) == F.col("_dropped_key"))
-    return docs.join(dropped, same, "left_anti")
+    # Dropped documents are a share of all documents, so this join is a shuffle at every size.
+    return docs.join(dropped.hint("merge"), same, "left_anti")
