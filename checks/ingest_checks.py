@@ -285,17 +285,16 @@ def _daily(c: Context):
     day = F.col("l_shipdate").cast("date")
     lines = c.tables.table("lineitem")
     first, last = lines.agg(F.min(day).cast("string"), F.max(day).cast("string")).first()
-    per_day = lines.filter(F.col("l_quantity") > 45).groupBy(day.alias("calendar_date")).agg(F.count("*").alias("n"))
-    return columns.date_spine(c.spark, first, last).join(per_day, "calendar_date", "left").select(
-        "calendar_date", F.coalesce("n", F.lit(0)).alias("large_lines")
-    )
+    per_day = lines.groupBy(day.alias("calendar_date")).agg(F.count("*").alias("n"))
+    spine = columns.date_spine(c.spark, f"{int(first[:4]) - 1}{first[4:]}", last)
+    return spine.join(per_day, "calendar_date", "left").select("calendar_date", F.coalesce("n", F.lit(0)).alias("lines"))
 
 
 register(
     "date_spine_counts", _daily,
-    """SELECT CAST(d AS DATE) AS calendar_date, count(l_orderkey) AS large_lines
-FROM (SELECT unnest(generate_series(min(l_shipdate)::DATE, max(l_shipdate)::DATE, INTERVAL 1 DAY)) AS d FROM lineitem)
-LEFT JOIN lineitem ON CAST(l_shipdate AS DATE) = CAST(d AS DATE) AND l_quantity > 45 GROUP BY 1""",
+    """SELECT CAST(d AS DATE) AS calendar_date, count(l_orderkey) AS lines
+FROM (SELECT unnest(generate_series(min(l_shipdate)::DATE - INTERVAL 1 YEAR, max(l_shipdate)::DATE, INTERVAL 1 DAY)) AS d FROM lineitem)
+LEFT JOIN lineitem ON CAST(l_shipdate AS DATE) = CAST(d AS DATE) GROUP BY 1""",
 )
 register(
     "safe_divide_by_merchant",
@@ -333,6 +332,30 @@ def _ingested(c: Context) -> ingest.StreamTables:
     return tables
 
 
+def _ingested_after_empty(c: Context) -> ingest.StreamTables:
+    """A first batch of unusable messages only, then all events, then some of them again."""
+    tables = ingest.StreamTables(c.spark, scratch_path(c.spark, "stream-empty"))
+    messages = c.tables.messages(c.tables.table("events"))
+    tables.write_batch(messages.withColumn("value", F.lit("{cut off")), 0)
+    tables.write_batch(messages, 1)
+    tables.write_batch(messages.filter(F.col("offset") % 3 == 0), 2)
+    return tables
+
+
+def _merged_late(c: Context):
+    """Merge after each of two batches; the second brings events from before those of the first."""
+    messages = c.tables.messages(c.tables.table("events"))
+    time = F.get_json_object("value", "$.event_time")
+    tables = ingest.StreamTables(c.spark, scratch_path(c.spark, "stream-late"))
+    target, log = scratch_path(c.spark, "late-merged"), scratch_path(c.spark, "late-log")
+    _rows(c).limit(0).withColumnRenamed("event_time", "transaction_at").select(*merge.MERGED_COLUMNS).write.parquet(target)
+    late = F.coalesce(time < "2024-01-11", F.lit(False))
+    for number, part in enumerate((messages.filter(~late), messages.filter(late))):
+        tables.write_batch(part, number)
+        merge.merge_into_warehouse(tables.read("transactions", with_batch=True), target, log)
+    return c.spark.read.parquet(target)
+
+
 def _rows(c: Context):
     """Stored rows as a batch, with the event time standing in for the write time."""
     decoded = events.decode(c.tables.messages(c.tables.table("events")))
@@ -340,6 +363,15 @@ def _rows(c: Context):
 
 
 register("stream_rows", lambda c: _ingested(c).read("transactions").drop("consumed_at"), select("SELECT * FROM stored"))
+register(
+    "stream_rows_after_empty_batch", lambda c: _ingested_after_empty(c).read("transactions").drop("consumed_at"),
+    select("SELECT * FROM stored"),
+)
+register(
+    "stream_merge_late_rows", _merged_late,
+    select("""SELECT transaction_id, customer_id, merchant_id, amount, currency, event_time AS transaction_at, status, is_flagged_fraud,
+  channel, ip_country FROM stored"""),
+)
 register(
     "stream_dead_letters",
     lambda c: _ingested(c).read("dlq").groupBy("error_message").agg(

@@ -34,14 +34,14 @@ SELECT CAST(event_id AS VARCHAR) AS transaction_id, CAST(user_id AS VARCHAR) AS
 FROM events"""
 
 TABLES["user_export"] = f"""
-SELECT CAST(o_orderkey AS VARCHAR) AS ref_number,
-  CASE WHEN o_orderkey % 11 <> 0 THEN CAST(o_custkey AS VARCHAR) END AS cust_id,
+SELECT CAST(o_orderkey AS VARCHAR) AS record_id,
+  CASE WHEN o_orderkey % 11 <> 0 THEN CAST(o_custkey AS VARCHAR) END AS member_id,
   CASE WHEN o_orderkey % 13 = 0 THEN 'n/a' WHEN o_orderkey % 17 = 0 THEN '-' || printf('%.2f', o_totalprice)
-       ELSE printf('%.2f', o_totalprice) END AS trans_amt,
-  CASE WHEN o_orderkey % 19 = 0 THEN 'unknown date' ELSE strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') END AS "date",
+       ELSE printf('%.2f', o_totalprice) END AS payment_amount,
+  CASE WHEN o_orderkey % 19 = 0 THEN 'unknown date' ELSE strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') END AS occurred_at,
   CASE WHEN o_orderstatus = 'F' THEN ' SUCCESS ' WHEN o_orderstatus = 'O' THEN 'failed'
-       WHEN o_orderkey % 2 = 0 THEN 'Processing' END AS result,
-  'Shop ' || (o_orderkey % 50) AS description,
+       WHEN o_orderkey % 2 = 0 THEN 'Processing' END AS outcome,
+  'Shop ' || (o_orderkey % 50) AS payee,
   ' ' || lower({_CURRENCIES}[o_orderkey % 6 + 1]) AS ccy,
   CASE WHEN o_orderpriority = '1-URGENT' THEN 'YES' WHEN o_orderkey % 3 = 0 THEN '0' END AS fraud_flag,
   o_orderpriority AS remarks
@@ -49,13 +49,13 @@ FROM orders"""
 
 # Merchant ids are name-based UUIDs, which SQL here cannot compute; they are compared by their shape.
 TABLES["canonical"] = """
-SELECT ref_number AS transaction_id, abs(TRY_CAST(trans_amt AS DOUBLE)) AS amount,
-  coalesce(cust_id, 'unknown') AS customer_id, description AS merchant_name, 'Other' AS merchant_category,
+SELECT record_id AS transaction_id, abs(TRY_CAST(payment_amount AS DOUBLE)) AS amount,
+  coalesce(member_id, 'unknown') AS customer_id, payee AS merchant_name, 'Other' AS merchant_category,
   upper(trim(ccy)) AS currency,
-  CASE lower(trim(result)) WHEN 'success' THEN 'completed' WHEN 'failed' THEN 'declined'
+  CASE lower(trim(outcome)) WHEN 'success' THEN 'completed' WHEN 'failed' THEN 'declined'
        WHEN 'processing' THEN 'pending' ELSE 'unknown' END AS status,
-  coalesce(TRY_CAST("date" AS TIMESTAMP), TIMESTAMP '2023-01-01' + to_seconds(30 * (
-    row_number() OVER (PARTITION BY TRY_CAST("date" AS TIMESTAMP) IS NULL ORDER BY ref_number) - 1))) AS transaction_at,
+  coalesce(TRY_CAST(occurred_at AS TIMESTAMP), TIMESTAMP '2023-01-01' + to_seconds(30 * (
+    row_number() OVER (PARTITION BY TRY_CAST(occurred_at AS TIMESTAMP) IS NULL ORDER BY record_id) - 1))) AS transaction_at,
   coalesce(lower(fraud_flag) IN ('1', 'true', 'yes', 'fraud'), false) AS is_fraud
 FROM user_export"""
 

@@ -109,13 +109,14 @@ def first_purchase_retention(payments: DataFrame) -> DataFrame:
 
 def segment_of(r: Column, f: Column, m: Column) -> Column:
     """Segment of an RFM score. The first rung that fits wins, so the order is the rule."""
+    # fixed values: the rungs
     return (
         F.when((r == 5) & (f >= 4) & (m >= 4), "Champions")
         .when((f >= 4) & (m >= 3), "Loyal Customers")
-        .when((r >= 4) & f.between(2, 3), "Potential Loyalists")
-        .when((r >= 4) & (f < 2), "Recent Customers")
+        .when((r >= 4) & (f >= 2) & (f <= 3), "Potential Loyalists")
+        .when((r >= 4) & (f == 1), "Recent Customers")
         .when((r == 3) & (f >= 2), "Promising")
-        .when((r == 3) & (f < 2) & (m >= 3), "Need Attention")
+        .when((r == 3) & (f == 1) & (m >= 3), "Need Attention")
         .when((r == 2) & (f <= 2), "About to Sleep")
         .when((r <= 2) & (f >= 3) & (m >= 3), "At Risk")
         .when((r == 1) & (f >= 4), "Cannot Lose Them")

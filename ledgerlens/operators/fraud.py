@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import sys
+from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
@@ -57,13 +58,15 @@ def category_codes(df: DataFrame, column: str, absent: str) -> DataFrame:
 
 
 def time_features(at: Column, no_hour: int = 0, no_day: int = 0) -> dict[str, Column]:
+    # A missing time is no night, whatever its hour is filled with.
+    night = (F.hour(at) < 6) | (F.hour(at) > 22)
     hour = F.coalesce(F.hour(at), F.lit(no_hour)).cast("double")
     day = F.coalesce(F.weekday(at), F.lit(no_day)).cast("double")
     return {
         "hour": hour,
         "day_of_week": day,
         "is_weekend": F.when(day >= 5, 1.0).otherwise(0.0),
-        "is_night": F.when((hour < 6) | (hour > 22), 1.0).otherwise(0.0),
+        "is_night": F.when(night, 1.0).otherwise(0.0),
     }
 
 
@@ -188,28 +191,19 @@ def isolation_forest(
 ) -> DataFrame:
     """Nodes of a forest, each tree grown from its own hash-drawn sample of ``sample`` rows.
 
-    A hash of the id draws about twice the wanted rows per tree and the smallest hashes
-    stay, so some ``2 * trees * sample`` rows are shuffled. In a large table one hash sends
-    a row to at most one tree; in a small one a row may enter several.
+    For each tree a hash of the id draws about twice the wanted rows and the smallest hashes
+    stay, so some ``2 * trees * sample`` rows are shuffled, whatever the size of the table.
+    A row may enter several trees.
     """
     n = features.count()
     share = min(1.0, 2.0 * sample / max(n, 1))
     span = 1 << 50
     width = int(span * share)
-    if trees * share <= 1.0:
-        draw = F.pmod(F.xxhash64("transaction_id", F.lit(seed)), F.lit(span))
-        drawn = (
-            features.withColumn("draw", draw)
-            .filter(F.col("draw") < trees * width)
-            .withColumn("tree", F.floor(F.col("draw") / width).cast("int"))
-            .withColumn("draw", F.col("draw") % width)
-        )
-    else:
-        drawn = (
-            features.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
-            .withColumn("draw", F.pmod(F.xxhash64("transaction_id", "tree", F.lit(seed)), F.lit(span)))
-            .filter(F.col("draw") < width)
-        )
+    drawn = (
+        features.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
+        .withColumn("draw", F.pmod(F.xxhash64("transaction_id", "tree", F.lit(seed)), F.lit(span)))
+        .filter(F.col("draw") < width)
+    )
     first = Window.partitionBy("tree").orderBy("draw", "transaction_id")
     samples = (
         drawn.select("transaction_id", *FEATURES, "tree", F.row_number().over(first).alias("place"))
@@ -305,8 +299,8 @@ def _two_decimals(value: Column) -> Column:
     return F.translate(F.format_number(value, 2), ",", "")
 
 
-def reason_codes(payments: DataFrame) -> DataFrame:
-    """Rule-based risk signals and their wording for every transaction.
+def reason_codes(payments: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """Rule-based risk signals and their wording for every transaction, with the columns ``keep``.
 
     Same-day counts are aggregated per customer and day and joined back; the aggregate has
     one row per key, so AQE may split a hot customer-day's rows.
@@ -355,20 +349,29 @@ def reason_codes(payments: DataFrame) -> DataFrame:
     texts = F.array_compact(F.array(*[F.when(test, text) for _, test, text in signals]))
     fallback = F.array(F.lit("No specific risk signals detected — flagged by anomaly model"))
     return rows.select(
-        "transaction_id", "customer_id", "amount",
+        "transaction_id", "customer_id", "amount", *keep,
         codes.alias("risk_signals"),
         F.when(F.size(texts) == 0, fallback).otherwise(texts).alias("reasons"),
     )
 
 
 def explain_transactions(payments: DataFrame, scores: DataFrame, mode: str) -> DataFrame:
-    """Score, level, signals, reasons and action of every transaction."""
-    merchant = F.coalesce(F.col("merchant_name"), F.lit("Unknown"))
-    names = payments.select("transaction_id", merchant.alias("merchant"))
+    """Score, level, signals, reasons and action of every transaction.
+
+    Rows with one id meet by their amount and their place among those with the same amount, so that repeated ids
+    give one row each.
+    """
+    amount = F.coalesce(F.col("amount").cast("double"), F.lit(0.0))
+    twin = Window.partitionBy("transaction_id", "_amount").orderBy(F.lit(0))
+
+    def placed(df: DataFrame) -> DataFrame:
+        return df.withColumn("_amount", amount).withColumn("_nth", F.row_number().over(twin))
+
+    reasons = reason_codes(payments.withColumn("merchant", F.coalesce(F.col("merchant_name"), F.lit("Unknown"))), ["merchant"])
+    levels = placed(scores.select("transaction_id", "amount", "fraud_probability", "risk_level")).drop("amount")
     return (
-        scores.select("transaction_id", "fraud_probability", "risk_level")
-        .join(reason_codes(payments), "transaction_id")
-        .join(names, "transaction_id")
+        placed(reasons)
+        .join(levels, ["transaction_id", "_amount", "_nth"])
         .select(
             "transaction_id", "amount", "merchant", "fraud_probability", "risk_level", "risk_signals",
             "reasons", action_for(F.col("risk_level")).alias("recommended_action"),

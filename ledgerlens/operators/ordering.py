@@ -164,7 +164,10 @@ def with_ntiles(
 
 
 def exact_percentiles(df: DataFrame, column: str, points: Sequence[float]) -> list[float | None]:
-    """Interpolated percentiles of a numeric column, exact for any number of rows."""
+    """Interpolated percentiles of a numeric column, exact for any number of rows.
+
+    The interpolation is that of Spark's ``percentile``, to the last bit.
+    """
     values = df.select(F.col(column).cast("double").alias("_value")).filter(F.col("_value").isNotNull())
     rows = values.count()
     if not rows:
@@ -176,7 +179,8 @@ def exact_percentiles(df: DataFrame, column: str, points: Sequence[float]) -> li
     for place in places:
         low = found[int(place) + 1][0]
         high = found[min(int(place) + 2, rows)][0]
-        result.append(low + (high - low) * (place - int(place)))
+        part = place - int(place)
+        result.append(low if low == high else (int(place) + 1 - place) * low + part * high)
     return result
 
 

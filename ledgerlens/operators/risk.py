@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlens.functions.columns import count_where, money, percent, ratio, round_to, sum_where
 from ledgerlens.operators.skew import KeyLoad, with_trailing_count
-from ledgerlens.storage import table_exists
+from ledgerlens.storage import delete, table_exists
 
 VELOCITY_DAYS = 30
 VELOCITY = "customer_fraud_velocity_30d"
@@ -66,49 +66,57 @@ def append_fraud_events_as_written(
     return fraud_events(fresh, disputes)
 
 
-def stale_months(stored: DataFrame, enriched: DataFrame, disputes: DataFrame) -> list[date]:
-    """Months whose stored fraud events are out of date.
+def stale_months(stored: DataFrame, enriched: DataFrame, disputes: DataFrame) -> list[date | None]:
+    """Months whose stored fraud events are out of date; None stands for rows without a time.
 
-    A flagged row or dispute that is not stored yet, however late it comes, changes the
-    velocity of the same customer's rows up to 30 days after it.
+    Any difference counts, in either direction: rows that are new, late, changed, disputed, or no longer flagged. Each
+    also changes the velocity of the same customer's rows up to 30 days after it.
     """
-    current = (
-        enriched.filter("is_flagged_fraud")
-        .select("transaction_id", "transaction_date")
-        .join(disputes.select("transaction_id", "dispute_id"), "transaction_id", "left")
-    )
-    known = stored.select(F.col("transaction_id").alias("_tid"), F.col("dispute_id").alias("_did"))
-    missing = current.join(
-        known,
-        (F.col("transaction_id") == F.col("_tid")) & F.col("dispute_id").eqNullSafe(F.col("_did")),
-        "left_anti",
+    current = _with_disputes(enriched.filter("is_flagged_fraud").select(*FRAUD_EVENT_COLUMNS), disputes)
+    # Columns that older months do not have yet compare as null on both sides.
+    shared = [c for c in current.columns if c in stored.columns]
+
+    def marked(df: DataFrame, sign: int) -> DataFrame:
+        return df.select("transaction_date", F.xxhash64(*shared).alias("h1"), F.xxhash64(F.lit(1), *shared).alias("h2"), F.lit(sign).alias("n"))
+
+    changed = (
+        marked(current, 1).unionByName(marked(stored, -1)).groupBy("transaction_date", "h1", "h2")
+        .agg(F.sum("n").alias("n")).filter("n <> 0")
     )
     reach = F.array(
         F.col("transaction_date"),
         F.trunc(F.date_add("transaction_date", VELOCITY_DAYS), "month"),
     )
-    months = missing.select(F.explode(reach).alias("day")).select(F.trunc("day", "month").alias("month"))
-    return sorted(r["month"] for r in months.distinct().collect())
+    months = changed.select(F.explode(reach).alias("day")).select(F.trunc("day", "month").alias("month")).distinct()
+    return sorted((r["month"] for r in months.collect()), key=lambda m: (m is None, m or date.min))
 
 
 def fraud_events_of(
-    months: list[date], enriched: DataFrame, disputes: DataFrame, load: KeyLoad | None = None
+    months: list[date | None], enriched: DataFrame, disputes: DataFrame, load: KeyLoad | None = None
 ) -> DataFrame:
     """Fraud events of the given months; 30 days of history are read for the velocity."""
     month = F.trunc("transaction_date", "month")
     needed = F.lit(False)
     for m in months:
-        first = F.date_sub(F.lit(m), VELOCITY_DAYS)
-        needed = needed | F.col("transaction_date").between(first, F.last_day(F.lit(m)))
-    return fraud_events(enriched.filter(needed), disputes, load).filter(month.isin(months))
+        if m is None:
+            needed = needed | F.col("transaction_date").isNull()
+        else:
+            first = F.date_sub(F.lit(m), VELOCITY_DAYS)
+            needed = needed | F.col("transaction_date").between(first, F.last_day(F.lit(m)))
+    return fraud_events(enriched.filter(needed), disputes, load).filter(_in_months(month, months))
+
+
+def _in_months(month: Column, months: list[date | None]) -> Column:
+    dated = F.coalesce(month.isin([m for m in months if m is not None]), F.lit(False))
+    return dated | month.isNull() if None in months else dated
 
 
 def refresh_fraud_events(
     stored: DataFrame, enriched: DataFrame, disputes: DataFrame, load: KeyLoad | None = None
 ) -> DataFrame:
-    """The table after new, late or newly disputed rows have arrived; equal to a full rebuild."""
+    """The table after rows were added, changed, disputed or withdrawn; equal to a full rebuild."""
     months = stale_months(stored, enriched, disputes)
-    kept = stored.filter(~F.trunc("transaction_date", "month").isin(months))
+    kept = stored.filter(~_in_months(F.trunc("transaction_date", "month"), months))
     return kept.unionByName(fraud_events_of(months, enriched, disputes, load), allowMissingColumns=True)
 
 
@@ -125,8 +133,14 @@ def write_fraud_events(
         stored = read_fraud_events(spark, path)
         months = stale_months(stored, enriched, disputes)
         rows = fraud_events_of(months, enriched, disputes, load)
+        # A month that has lost all its rows is not overwritten by any.
+        left = {r["m"] for r in rows.select(month.alias("m")).distinct().collect()}
+        gone = [m for m in months if m is not None and m not in left]
+        if None in months and None not in left:
+            _write_empty(path, rows)
     else:
-        rows = fraud_events(enriched, disputes, load)
+        rows, gone = fraud_events(enriched, disputes, load), []
+        _write_empty(path, rows)
     (
         rows.withColumn("event_month", month)
         .write.mode("overwrite")
@@ -134,9 +148,17 @@ def write_fraud_events(
         .partitionBy("event_month")
         .parquet(path)
     )
+    for m in gone:
+        delete(spark, f"{path}/event_month={m.isoformat()}")
     return read_fraud_events(spark, path)
 
 
+def _write_empty(path: str, rows: DataFrame) -> None:
+    """No rows without a month: a file that holds the schema, so that a table without any rows can be read."""
+    empty = rows.sparkSession.createDataFrame([], rows.schema)
+    empty.coalesce(1).write.mode("overwrite").parquet(f"{path}/event_month=__HIVE_DEFAULT_PARTITION__")
+
+
 def read_fraud_events(spark: SparkSession, path: str) -> DataFrame:
     """Stored fraud events; columns added over time are null in older months."""
     return spark.read.option("mergeSchema", "true").parquet(path).drop("event_month")

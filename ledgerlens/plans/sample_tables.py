@@ -27,7 +27,7 @@ def _pick(values: list[str], index: str) -> str:
 
 
 def _country(index: str) -> str:
-    return _pick(["GB", "US", "DE", "SG", "AE", "CA", "NG", "RU"], index)
+    return _pick(["GB", "US", "FR", "JP", "BR", "CA", "KE", "PL"], index)
 
 
 def _currency(index: str) -> str:
@@ -36,14 +36,14 @@ def _currency(index: str) -> str:
 
 def _category(index: str) -> str:
     return _pick([
-        "Groceries", "Dining", "Travel", "Entertainment", "Retail", "Fuel", "Healthcare",
-        "Subscription", "ATM", "Transfer",
+        "Books", "ATM", "Bakery", "Cinema", "Clothing", "Transfer", "Dentist", "Garden",
+        "Hotel", "Petrol",
     ], index)
 
 
 def _mcc(index: str) -> str:
     return _pick(
-        ["5411", "5812", "4511", "7832", "5651", "5541", "8011", "7372", "6011", "6012"], index
+        ["5942", "6011", "5462", "7922", "5691", "4829", "8021", "5261", "7011", "5542"], index
     )
 
 
@@ -150,7 +150,7 @@ class SampleTables:
                 "transaction_id",
                 "cast(o_custkey as string) as customer_id",
                 "cast(date_add(cast(l_shipdate as date), n * 10) as string) as opened_at",
-                _pick(["unauthorised", "duplicate", "item_not_received", "amount_incorrect"], "l_linenumber % 4") + " as reason",
+                _pick(["stolen_card", "charged_twice", "never_arrived", "wrong_price"], "l_linenumber % 4") + " as reason",
                 _pick(["won", "lost", "pending"], "l_partkey % 3") + " as status",
                 f"{LINE_AMOUNT} as amount",
                 f"{_currency('l_partkey % 6')} as currency",
@@ -203,15 +203,15 @@ class SampleTables:
     def user_export(self) -> DataFrame:
         """Orders as a user's file: other column names, odd spellings, bad numbers and dates."""
         return self.table("orders").selectExpr(
-            "cast(o_orderkey as string) as ref_number",
-            "if(o_orderkey % 11 <> 0, cast(o_custkey as string), null) as cust_id",
+            "cast(o_orderkey as string) as record_id",
+            "if(o_orderkey % 11 <> 0, cast(o_custkey as string), null) as member_id",
             """case when o_orderkey % 13 = 0 then 'n/a'
                     when o_orderkey % 17 = 0 then concat('-', format_string('%.2f', o_totalprice))
-                    else format_string('%.2f', o_totalprice) end as trans_amt""",
-            "if(o_orderkey % 19 = 0, 'unknown date', date_format(o_orderdate, 'yyyy-MM-dd HH:mm:ss')) as `date`",
+                    else format_string('%.2f', o_totalprice) end as payment_amount""",
+            "if(o_orderkey % 19 = 0, 'unknown date', date_format(o_orderdate, 'yyyy-MM-dd HH:mm:ss')) as occurred_at",
             """case when o_orderstatus = 'F' then ' SUCCESS ' when o_orderstatus = 'O' then 'failed'
-                    when o_orderkey % 2 = 0 then 'Processing' end as result""",
-            "concat('Shop ', o_orderkey % 50) as description",
+                    when o_orderkey % 2 = 0 then 'Processing' end as outcome""",
+            "concat('Shop ', o_orderkey % 50) as payee",
             f"concat(' ', lower({_currency('o_orderkey % 6')})) as ccy",
             "case when o_orderpriority = '1-URGENT' then 'YES' when o_orderkey % 3 = 0 then '0' end as fraud_flag",
             "o_orderpriority as remarks",

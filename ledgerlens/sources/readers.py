@@ -5,13 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from ledgerlens.storage import table_exists
 
-
-def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
-    """CSV with a header. Without a schema the file is read twice to infer one."""
-    if not table_exists(spark, path):
-        raise FileNotFoundError(path)
+def read_csv(spark: SparkSession, path: str | list[str], schema: T.StructType | str | None = None) -> DataFrame:
+    """CSV with a header; ``path`` may be a pattern or a list. Without a schema the files are read twice to infer one."""
     reader = spark.read.option("header", True)
     return (reader.schema(schema) if schema else reader.option("inferSchema", True)).csv(path)
 
@@ -29,29 +25,26 @@ def read_parquet(spark: SparkSession, path: str, spread_by: str | None = None) -
 
 
 def kafka_messages(
-    spark: SparkSession, servers: str, topic: str, per_trigger: int = 50, **options: str
+    spark: SparkSession, servers: str, topic: str, per_trigger: int | None = None, **options: str
 ) -> DataFrame:
     """Messages of a topic from its beginning: ``value``, ``partition``, ``offset``.
 
     Needs the Kafka connector on the class path. Offsets live in the query's checkpoint and
-    advance only after a batch is written.
+    advance only after a batch is written. A batch takes all that has arrived, or at most ``per_trigger`` messages.
     """
+    limits = {} if per_trigger is None else {"maxOffsetsPerTrigger": str(per_trigger)}
     return (
         spark.readStream.format("kafka")
         .option("kafka.bootstrap.servers", servers)
         .option("subscribe", topic)
         .option("startingOffsets", "earliest")
-        .option("maxOffsetsPerTrigger", per_trigger)
-        .options(**options)
+        .options(**limits, **options)
         .load()
         .selectExpr("CAST(value AS STRING) AS value", "partition", "offset")
     )
 
 
-def file_messages(spark: SparkSession, folder: str, files_per_trigger: int = 1) -> DataFrame:
-    """The same envelope from parquet files that arrive in ``folder``."""
-    return (
-        spark.readStream.schema("value string, partition int, offset bigint")
-        .option("maxFilesPerTrigger", files_per_trigger)
-        .parquet(folder)
-    )
+def file_messages(spark: SparkSession, folder: str, files_per_trigger: int | None = None) -> DataFrame:
+    """The same envelope from parquet files that arrive in ``folder``; a batch takes all of them, or so many at most."""
+    limits = {} if files_per_trigger is None else {"maxFilesPerTrigger": str(files_per_trigger)}
+    return spark.readStream.schema("value string, partition int, offset bigint").options(**limits).parquet(folder)

@@ -64,8 +64,7 @@ class Scratch:
     def drop(self, *names: str) -> None:
         """Delete tables by the names they were last kept under."""
         for name in names:
-            path = self.spark._jvm.org.apache.hadoop.fs.Path(self._paths.pop(name))
-            path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+            delete(self.spark, self._paths.pop(name))
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
@@ -75,6 +74,12 @@ def table_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(jvm_path)
 
 
+def delete(spark: SparkSession, path: str) -> None:
+    """Remove a folder, if it is there."""
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jvm_path, True)
+
+
 def release(spark: SparkSession) -> int:
     """Delete the intermediate tables this process has written; returns how many there were.
 
@@ -82,6 +87,5 @@ def release(spark: SparkSession) -> int:
     """
     count = len(_staged)
     while _staged:
-        path = spark._jvm.org.apache.hadoop.fs.Path(_staged.pop())
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        delete(spark, _staged.pop())
     return count

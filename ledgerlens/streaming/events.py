@@ -32,6 +32,19 @@ SINK_COLUMNS = [
     "is_flagged_fraud", "risk_score",
 ]
 
+_SINK_TYPES = {
+    "kafka_partition": "int", "kafka_seq": "bigint", "consumed_at": "timestamp", "event_time": "timestamp",
+    **dict.fromkeys(EVENT_NUMBERS, "double"), **dict.fromkeys(EVENT_FLAGS, "boolean"),
+}
+#: Columns of the stored tables.
+TABLE_SCHEMAS = {
+    "transactions": ", ".join(f"{c} {_SINK_TYPES.get(c, 'string')}" for c in SINK_COLUMNS),
+    "dlq": "dlq_id string, raw_message string, error_message string, failed_at timestamp",
+    "fraud_alerts": "alert_id string, transaction_id string, customer_id string, amount_gbp double, risk_score double, "
+                    "alert_time timestamp, reason string",
+    "batches": "rows_written bigint, fraud_rows bigint, last_event_time timestamp",
+}
+
 ALERT_ABOVE = 60.0
 UNUSUAL_AMOUNT_GBP = 800.0
 

@@ -30,9 +30,14 @@ class StreamTables:
     def path(self, name: str) -> str:
         return f"{self.folder}/{name}"
 
-    def read(self, name: str) -> DataFrame:
-        """``transactions``, ``dlq``, ``fraud_alerts`` or ``batches``."""
-        return self.spark.read.parquet(self.path(name)).drop("batch_id", "event_date")
+    def read(self, name: str, with_batch: bool = False) -> DataFrame:
+        """``transactions``, ``dlq``, ``fraud_alerts`` or ``batches``; ``with_batch`` adds the batch that stored a row.
+
+        The schema is given, so a table whose batches hold no rows yet is an empty table.
+        """
+        schema = events.TABLE_SCHEMAS[name] + ", batch_id bigint" + (", event_date date" if name == "transactions" else "")
+        rows = self.spark.read.schema(schema).parquet(self.path(name)).drop("event_date")
+        return rows if with_batch else rows.drop("batch_id")
 
     def exists(self, name: str) -> bool:
         return table_exists(self.spark, self.path(name))
@@ -47,7 +52,8 @@ class StreamTables:
         """Rows whose event id no other batch has stored. Only the id column is read."""
         if not self.exists("transactions"):
             return rows
-        stored = self.spark.read.parquet(self.path("transactions")).filter(F.col("batch_id") != batch_id)
+        schema = events.TABLE_SCHEMAS["transactions"] + ", batch_id bigint, event_date date"
+        stored = self.spark.read.schema(schema).parquet(self.path("transactions")).filter(F.col("batch_id") != batch_id)
         if self.same_day:
             days = [r[0] for r in rows.select(F.to_date("event_time")).distinct().collect()]
             known = [d for d in days if d is not None]

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ledgerlens.storage import stage, table_exists
 from ledgerlens.streaming.lookup import unseen
 
-LOG_SCHEMA = "merged_at timestamp, last_event_time timestamp, rows_merged int"
+LOG_SCHEMA = "merged_at timestamp, last_event_time timestamp, rows_merged int, last_batch_id bigint"
 
 MERGED_COLUMNS = [
     "transaction_id", "customer_id", "merchant_id", "amount", "currency", "transaction_at",
@@ -55,6 +55,10 @@ def merge_into_warehouse(
 
     The new rows are fixed in a stored table before they are appended, and the mark advances
     even when every row was known already. A replay appends nothing.
+
+    A stream with ``batch_id`` (``StreamTables.read("transactions", with_batch=True)``) is read from the last
+    merged batch on, so a merge costs what has arrived since the one before and misses no late row. Otherwise all of
+    it is compared; ``late_rows=False`` then reads only event times after the last merged one and loses late rows.
     """
     spark = stream.sparkSession
     stored = spark.read.parquet(transactions_path)
@@ -62,16 +66,22 @@ def merge_into_warehouse(
         spark.read.schema(LOG_SCHEMA).parquet(log_path) if table_exists(spark, log_path)
         else spark.createDataFrame([], LOG_SCHEMA)
     )
+    arrival = F.lit(None).cast("bigint")
+    if "batch_id" in stream.columns:
+        merged_up_to = log.agg(F.max("last_batch_id")).first()[0]
+        if merged_up_to is not None:
+            stream = stream.filter(F.col("batch_id") > merged_up_to)
+        arrival, late_rows = F.max("batch_id"), True
     found = stage(candidates(stream, None if late_rows else last_mark(log)), "stream-candidates")
     fresh = stage(unseen(found, stored, "transaction_id", found.count()), "stream-merge")
     added = fresh.count()
     if added:
         fresh.select(*[F.col(f.name).cast(f.dataType) for f in stored.schema.fields if f.name in fresh.columns]) \
             .write.mode("append").parquet(transactions_path)
-    stream.agg(F.max("event_time").alias("last_event_time")).filter(
-        F.col("last_event_time").isNotNull()
-    ).select(
+    seen = stream.agg(F.max("event_time").alias("last_event_time"), arrival.alias("last_batch_id"))
+    seen.filter("last_event_time IS NOT NULL OR last_batch_id IS NOT NULL").select(
         (F.current_timestamp() if merged_at is None else merged_at).alias("merged_at"),
         "last_event_time", F.lit(added).cast("int").alias("rows_merged"),
+        "last_batch_id",
     ).write.mode("append").parquet(log_path)
     return added

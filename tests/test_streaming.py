@@ -139,3 +139,25 @@ def test_monitors(spark, batch):
     lag = monitor.partition_lag(committed, ends)
     assert sorted(r["lag"] for r in lag.collect()) == [0, 0, 30]
     assert monitor.total_lag(lag).first()[:] == (30, "healthy")
+
+
+def test_empty_first_batch(spark, batch, tmp_path):
+    tables = ingest.StreamTables(spark, str(tmp_path))
+    tables.write_batch(batch([("junk", 0, 1), ("{", 0, 2)]), 0)
+    assert tables.read("transactions").count() == 0
+    tables.write_batch(batch([message(i) for i in range(3)]), 1)
+    tables.write_batch(batch([message(i) for i in range(4)]), 2)
+    assert tables.read("transactions").count() == 4
+    assert tables.read("dlq").count() == 2
+
+
+def test_merge_follows_arrival(spark, batch, tmp_path):
+    tables = ingest.StreamTables(spark, f"{tmp_path}/stream")
+    target, log = f"{tmp_path}/transactions", f"{tmp_path}/log"
+    rows_of(batch, []).withColumnRenamed("event_time", "transaction_at").select(*merge.MERGED_COLUMNS).write.parquet(target)
+    added = []
+    for number, ids in enumerate(([10, 11], [1, 2, 10], [])):
+        tables.write_batch(batch([message(i) for i in ids] + [("junk", 0, number)]), number)
+        added.append(merge.merge_into_warehouse(tables.read("transactions", with_batch=True), target, log))
+    assert added == [2, 2, 0]
+    assert spark.read.parquet(target).count() == 4
