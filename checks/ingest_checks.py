@@ -66,11 +66,11 @@ def _profile(c: Context):
 
 
 _PROFILE_FIELDS = [
-    ("transaction_id", "ref_number", 100, "NULL"), ("amount", "trans_amt", 100, "TRY_CAST(trans_amt AS DOUBLE)"),
-    ("customer_id", "cust_id", 100, "NULL"), ("merchant_id", None, 0, "NULL"),
-    ("merchant_name", "description", 100, "NULL"), ("merchant_category", None, 0, "NULL"),
-    ("currency", "ccy", 100, "NULL"), ("status", "result", 100, "NULL"), ("channel", None, 0, "NULL"),
-    ("country", None, 0, "NULL"), ("transaction_at", "date", 100, 'TRY_CAST("date" AS TIMESTAMP)'),
+    ("transaction_id", "record_id", 100, "NULL"), ("amount", "debit", 100, "TRY_CAST(debit AS DOUBLE)"),
+    ("customer_id", "member_id", 100, "NULL"), ("merchant_id", None, 0, "NULL"),
+    ("merchant_name", "payee", 100, "NULL"), ("merchant_category", None, 0, "NULL"),
+    ("currency", "ccy", 100, "NULL"), ("status", "outcome", 100, "NULL"), ("channel", None, 0, "NULL"),
+    ("country", None, 0, "NULL"), ("transaction_at", "occurred_at", 100, "TRY_CAST(occurred_at AS TIMESTAMP)"),
     ("is_fraud", "fraud_flag", 100, "NULL"), ("card_type", None, 0, "NULL"),
 ]
 register(

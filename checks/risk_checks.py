@@ -316,11 +316,11 @@ register(
     "quality_raw_issues",
     lambda c: quality.raw_issues(
         c.tables.user_export.selectExpr(
-            "record_id AS transaction_id", "try_cast(payment_amount AS double) AS amount",
+            "record_id AS transaction_id", "try_cast(debit AS double) AS amount",
             "lower(trim(outcome)) AS status", "member_id AS customer_id")),
     select("""SELECT 'NULL transaction_ids' AS issue, count(*) FILTER (record_id IS NULL) AS rows FROM typed
 UNION ALL SELECT 'amount <= 0', count(*) FILTER (amount <= 0) FROM typed
 UNION ALL SELECT 'unknown status', count(*) FILTER (status NOT IN ('completed', 'declined', 'pending', 'failed')) FROM typed
 UNION ALL SELECT 'NULL customer_id', count(*) FILTER (member_id IS NULL) FROM typed""",
-        typed="SELECT record_id, TRY_CAST(payment_amount AS DOUBLE) AS amount, lower(trim(outcome)) AS status, member_id FROM user_export"),
+        typed="SELECT record_id, TRY_CAST(debit AS DOUBLE) AS amount, lower(trim(outcome)) AS status, member_id FROM user_export"),
 )

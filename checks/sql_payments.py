@@ -37,7 +37,7 @@ TABLES["user_export"] = f"""
 SELECT CAST(o_orderkey AS VARCHAR) AS record_id,
   CASE WHEN o_orderkey % 11 <> 0 THEN CAST(o_custkey AS VARCHAR) END AS member_id,
   CASE WHEN o_orderkey % 13 = 0 THEN 'n/a' WHEN o_orderkey % 17 = 0 THEN '-' || printf('%.2f', o_totalprice)
-       ELSE printf('%.2f', o_totalprice) END AS payment_amount,
+       ELSE printf('%.2f', o_totalprice) END AS debit,
   CASE WHEN o_orderkey % 19 = 0 THEN 'unknown date' ELSE strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') END AS occurred_at,
   CASE WHEN o_orderstatus = 'F' THEN ' SUCCESS ' WHEN o_orderstatus = 'O' THEN 'failed'
        WHEN o_orderkey % 2 = 0 THEN 'Processing' END AS outcome,
@@ -49,7 +49,7 @@ FROM orders"""
 
 # Merchant ids are name-based UUIDs, which SQL here cannot compute; they are compared by their shape.
 TABLES["canonical"] = """
-SELECT record_id AS transaction_id, abs(TRY_CAST(payment_amount AS DOUBLE)) AS amount,
+SELECT record_id AS transaction_id, abs(TRY_CAST(debit AS DOUBLE)) AS amount,
   coalesce(member_id, 'unknown') AS customer_id, payee AS merchant_name, 'Other' AS merchant_category,
   upper(trim(ccy)) AS currency,
   CASE lower(trim(outcome)) WHEN 'success' THEN 'completed' WHEN 'failed' THEN 'declined'

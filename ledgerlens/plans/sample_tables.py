@@ -207,7 +207,7 @@ class SampleTables:
             "if(o_orderkey % 11 <> 0, cast(o_custkey as string), null) as member_id",
             """case when o_orderkey % 13 = 0 then 'n/a'
                     when o_orderkey % 17 = 0 then concat('-', format_string('%.2f', o_totalprice))
-                    else format_string('%.2f', o_totalprice) end as payment_amount""",
+                    else format_string('%.2f', o_totalprice) end as debit""",
             "if(o_orderkey % 19 = 0, 'unknown date', date_format(o_orderdate, 'yyyy-MM-dd HH:mm:ss')) as occurred_at",
             """case when o_orderstatus = 'F' then ' SUCCESS ' when o_orderstatus = 'O' then 'failed'
                     when o_orderkey % 2 = 0 then 'Processing' end as outcome""",

@@ -14,9 +14,9 @@ def normalised(spark, rows, schema, **kwargs):
 
 
 def test_detects_other_names():
-    found = mapping.detect_columns(["record_id", "member_id", "payment_amount", "payee", "outcome", "occurred_at"])
+    found = mapping.detect_columns(["record_id", "member_id", "debit", "payee", "outcome", "occurred_at"])
     assert found.sources() == {
-        "transaction_id": "record_id", "amount": "payment_amount", "customer_id": "member_id",
+        "transaction_id": "record_id", "amount": "debit", "customer_id": "member_id",
         "merchant_name": "payee", "status": "outcome", "transaction_at": "occurred_at",
     }
     assert found.confidence["amount"] == 100

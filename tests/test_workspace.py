@@ -4,6 +4,7 @@ import glob
 import json
 
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from ledgerlens import Workspace
@@ -56,7 +57,7 @@ def test_fraud_explanations(workspace):
     assert one["detection_mode"] == "unsupervised" and one["reasons"]
     with pytest.raises(ValueError, match="not found"):
         workspace.fraud.explain("missing")
-    assert workspace.fraud.summary().first()["total_transactions"] == 500
+    assert workspace.fraud.summary().first()["total_transactions"] == 480
 
 
 def test_drift_against_another(workspace):
@@ -70,20 +71,20 @@ def test_export(workspace, tmp_path):
     rows = [r for p in glob.glob(f"{tmp_path}/rfm_segments.csv/part-*") for r in csv.DictReader(open(p))]
     assert len(rows) == 50 and "segment" in rows[0]
     lines = [json.loads(x) for p in glob.glob(f"{tmp_path}/metrics.json/part-*") for x in open(p)]
-    assert lines[0]["total_transactions"] == 500
+    assert lines[0]["total_transactions"] == 480
 
 
 def test_csv_with_other_names(spark, tmp_path):
     path = f"{tmp_path}/in.csv"
     with open(path, "w") as f:
-        f.write("ref_number,cust_id,trans_amt,date,result,description\n")
+        f.write("record_id,member_id,debit,occurred_at,outcome,payee\n")
         for i in range(40):
             at = dt.datetime(2023, 6, 1) + dt.timedelta(hours=2 * i)
             f.write(f"ref_{i},c{i % 5},{10 + i}.50,{at},{'success' if i % 4 else 'failed'},Shop {i % 3}\n")
     w = Workspace.from_csv(spark, path).run()
     assert w.metrics.first()["completion_pct"] == 75.0
     assert w.segment.rfm().count() == 5
-    with pytest.raises(FileNotFoundError):
+    with pytest.raises(AnalysisException, match="PATH_NOT_FOUND"):
         Workspace.from_csv(spark, f"{tmp_path}/none.csv")
 
 
