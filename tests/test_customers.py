@@ -70,7 +70,7 @@ def test_invariants(sample):
     scores = rfm.agg(*[f(F.col(c)) for c in ("r_score", "f_score", "m_score") for f in (F.min, F.max)]).first()
     assert list(scores) == [1, 5, 1, 5, 1, 5]
     assert rfm.filter("rfm_total <> r_score + f_score + m_score").isEmpty()
-    assert segments.segment_summary(rfm).agg(F.sum("customers")).first()[0] == rfm.count() == 50
+    assert segments.segment_summary(rfm).agg(F.sum("customers")).first()[0] == rfm.count() == 37
     retention = customers.first_purchase_retention(sample)
     assert retention.filter("retention_pct < 0 or retention_pct > 100").isEmpty()
     assert "M0" in segments.retention_matrix(retention).columns
@@ -78,7 +78,7 @@ def test_invariants(sample):
     assert {r[0] for r in cards.select("risk_band").distinct().collect()} <= {"critical", "elevated", "standard"}
     assert segments.top_by_volume(cards, 3).count() == 3
     m = payments.headline_metrics(sample).first()
-    assert m["total_transactions"] == 500 and 0 <= m["completion_pct"] <= 100
+    assert m["total_transactions"] == 480 and 0 <= m["completion_pct"] <= 100
 
 
 def test_metrics_of_nothing(make_payments, sample):
@@ -89,13 +89,13 @@ def test_metrics_of_nothing(make_payments, sample):
 def test_explanations(sample):
     rfm = customers.rfm(sample)
     rows = explain.explain_segments(rfm).collect()
-    assert len(rows) == 50
+    assert len(rows) == 37
     for r in rows:
         assert len(r["what_drives_this"]) == 3
         assert (len(r["to_move_up"]) == 0) == (r["segment"] == "Champions")
         assert all(s["segment"] != "Others" for s in r["to_move_up"])
-    one = explain.explain_customer(rfm, "cust_1").first()
-    assert one["customer_id"] == "cust_1"
+    one = explain.explain_customer(rfm, "person01").first()
+    assert one["customer_id"] == "person01"
     with pytest.raises(ValueError, match="nobody"):
         explain.explain_customer(rfm, "nobody")
     some = explain.batch_explain(rfm, "At Risk")

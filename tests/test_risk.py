@@ -145,3 +145,37 @@ def test_quality_finds_problems(spark):
         for group in (quality.RAW_EXPECTATIONS, quality.MART_EXPECTATIONS) for es in group.values() for e in es
     )
     assert total == 30
+
+
+def test_fraud_events_follow_every_change(spark, tmp_path):
+    columns = {
+        "amount_gbp": "double", "transaction_at": "timestamp", "transaction_date": "date", "is_flagged_fraud": "boolean",
+        "is_kyc_verified": "boolean", "is_high_risk_merchant": "boolean", "is_cross_border": "boolean",
+    }
+    schema = ", ".join(f"{c} {columns.get(c, 'string')}" for c in [*risk.FRAUD_EVENT_COLUMNS, "is_flagged_fraud"])
+
+    def enriched(rows):
+        made = []
+        for i, day, flagged in rows:
+            at = None if day is None else dt.datetime(2023, *day)
+            values = {"transaction_id": f"t{i}", "customer_id": "c", "transaction_at": at, "transaction_date": at and at.date(),
+                      "is_flagged_fraud": flagged, "amount_gbp": 1.0}
+            made.append(tuple(values.get(c) for c in [*risk.FRAUD_EVENT_COLUMNS, "is_flagged_fraud"]))
+        return spark.createDataFrame(made, schema)
+
+    def disputes(rows):
+        return spark.createDataFrame(rows, "transaction_id string, dispute_id string, reason string, status string")
+
+    path = f"{tmp_path}/events"
+    states = [
+        ([(1, (1, 5), False)], []),
+        ([(1, (1, 5), True), (2, (1, 20), True), (3, None, True), (4, (3, 1), True)], [("t1", "d1", "x", "pending")]),
+        ([(1, (1, 5), True), (2, (1, 20), False), (3, None, True), (4, (3, 1), False)], [("t1", "d1", "x", "won")]),
+        ([(1, (1, 5), True), (5, (2, 1), True)], [("t1", "d1", "x", "won")]),
+        ([], []),
+    ]
+    for rows, open_disputes in states:
+        table, d = enriched(rows), disputes(open_disputes)
+        rebuilt = risk.fraud_events(table, d)
+        got = risk.write_fraud_events(path, table, d)
+        assert sorted(map(str, got.select(*rebuilt.columns).collect())) == sorted(map(str, rebuilt.collect()))
