@@ -89,12 +89,12 @@ def budgets(leaves: DataFrame, mix: Mix) -> DataFrame:
     levels = [leaves.withColumn("supply", supply)]
     for depth in (2, 1):
         levels.append(levels[-1].groupBy(*LEVELS[:depth]).agg(F.sum("supply").alias("supply")))
-    total = leaves.agg(F.coalesce(F.sum("tokens"), F.lit(0))).first()[0]
-    wanted = total * mix.numerator // mix.denominator
-    top = levels[2].join(
-        F.broadcast(levels[2].filter(mix.weight("domain") > 0).agg(F.least(F.sum("supply"), F.lit(wanted)).alias("budget")))
-    )
-    given = shares(top, "domain", [], mix)
+    usable = F.when(mix.weight("domain") > 0, F.col("supply"))
+    total, supply = leaves.withColumn("supply", supply).agg(
+        F.coalesce(F.sum("tokens"), F.lit(0)), F.coalesce(F.sum(usable), F.lit(0))
+    ).first()
+    wanted = min(supply, total * mix.numerator // mix.denominator)
+    given = shares(levels[2].withColumn("budget", F.lit(wanted).cast("long")), "domain", [], mix)
     for depth, nodes in ((1, levels[1]), (2, levels[0].drop("tokens"))):
         parents = LEVELS[:depth]
         given = shares(nodes.join(given.select(*parents, "budget"), parents), LEVELS[depth], parents, mix)

@@ -106,7 +106,7 @@ def _discounted(table: DataFrame, context: list[str]) -> tuple[DataFrame, DataFr
     off = F.when(F.col("n") == 1, d1).when(F.col("n") == 2, d2).otherwise(d3)
     taken = table.withColumn("off", off)
     totals = taken.groupBy(*context).agg(F.sum("n").alias("total"), F.sum("off").alias("off_sum"))
-    joined = taken.join(totals, context) if context else taken.crossJoin(totals)
+    joined = taken.join(totals, context) if context else taken.withColumn("total", F.lit(totals.first()["total"]))
     shares = joined.withColumn("share", (F.col("n") - F.col("off")) / F.col("total"))
     return shares, totals.withColumn("rest", F.col("off_sum") / F.col("total"))
 
