@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass, replace
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -311,15 +310,15 @@ def derived_merchants(transactions: DataFrame) -> DataFrame:
 def derived_fx_rates(transactions: DataFrame) -> DataFrame:
     """Base rates for each day of the data and each currency seen, plus GBP, USD and EUR."""
     day = F.col("transaction_at").cast("date")
-    days = transactions.agg(F.min(day).alias("first"), F.max(day).alias("last")).select(
-        F.explode(F.sequence("first", "last")).alias("rate_date")
-    )
-    always = days.sparkSession.createDataFrame([("GBP",), ("USD",), ("EUR",)], "currency string")
+    bounds = transactions.agg(F.min(day).alias("first"), F.max(day).alias("last"))
+    always = bounds.sparkSession.createDataFrame([("GBP",), ("USD",), ("EUR",)], "currency string")
     seen = transactions.select("currency").filter(F.col("currency").isNotNull()).union(always).distinct()
     rate = F.lit(1.0)
     for currency, base in fixed.FX_BASE.items():
         rate = F.when(F.col("currency") == currency, base).otherwise(rate)
-    return days.crossJoin(seen).select(
+    # One row of bounds meets the currencies; each has its own days.
+    days = seen.crossJoin(F.broadcast(bounds)).select("currency", F.explode(F.sequence("first", "last")).alias("rate_date"))
+    return days.select(
         F.col("rate_date").cast("string").alias("rate_date"), "currency", rate.alias("rate_to_gbp")
     )
 
@@ -330,7 +329,3 @@ def no_disputes(transactions: DataFrame) -> DataFrame:
         "reason string, status string, amount double, currency string"
     )
     return transactions.sparkSession.createDataFrame([], schema)
-
-
-def union_all(parts: Sequence[DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionByName, parts)
