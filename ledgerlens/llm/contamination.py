@@ -26,6 +26,8 @@ from ledgerlens.llm.words import NOT_ALNUM, split
 
 WINDOW = 10
 BLOCK_CHARS = 16_000_000
+#: Characters of a shard; the block's suffixes are ranked together with each shard's.
+SHARD_CHARS = 1 << 21
 RESULT = (
     "n_words long, n_hit long, items array<string>, "
     "matches array<struct<item_id: string, item_start: long, doc_start: long, n_words: long>>"
@@ -172,7 +174,7 @@ def with_matches(
     ``docs`` stays one row with all its columns.
     """
     blocks = docs.sparkSession.sparkContext.broadcast(_blocks(benchmark, item_column, item_text_column, block_chars))
-    find = by_text(lambda texts: _shard(texts, blocks.value, window), RESULT)
+    find = by_text(lambda texts: _shard(texts, blocks.value, window), RESULT, SHARD_CHARS)
     return docs.select("*", find(q(text_column)).alias(into))
 
 

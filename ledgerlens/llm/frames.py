@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerlens.llm.words import chunks
+from ledgerlens.llm.words import CHUNK_BYTES, chunks
 
 
 _shipped: set[str] = set()
@@ -48,7 +48,7 @@ def q(name: str) -> Column:
 
 
 def by_text(
-    make: Callable[[Sequence[str | None]], pd.DataFrame], schema: T.StructType | str
+    make: Callable[[Sequence[str | None]], pd.DataFrame], schema: T.StructType | str, limit: int = CHUNK_BYTES
 ) -> Callable[[Column], Column]:
     """A struct-valued column function: ``make`` gets chunks of texts of bounded size and returns one row per text."""
     ship(SparkSession.active())
@@ -57,7 +57,7 @@ def by_text(
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             texts = batch.tolist()
-            parts = [make(texts[a:b]) for a, b in chunks(texts)]
+            parts = [make(texts[a:b]) for a, b in chunks(texts, limit)]
             yield pd.concat(parts, ignore_index=True) if parts else make([])
 
     return run

@@ -20,7 +20,7 @@ BLANK = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
 #: Bytes that end a word `[^\x00-\x2F\x3A-\x60\x7B-\x7F]+`.
 NOT_ALNUM = np.array([i < 0x30 or 0x3A <= i <= 0x60 or 0x7B <= i <= 0x7F for i in range(256)])
 
-CHUNK_BYTES = 1 << 21
+CHUNK_BYTES = 1 << 19
 _BLOCK = 1 << 20
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 _VALUES = np.random.Generator(np.random.PCG64(7)).integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
