@@ -2,8 +2,9 @@
 
 One pass over the whole texts gives each document's statistics; they are stored, being a few
 numbers per document. A forest of random trees is grown from a bounded sample of them, scores
-every document by its mean path length, and the labelled rows, all of them, set the threshold:
-the lowest score at which at most ``reject_good`` of the rows labelled good are rejected.
+every document by its mean path length, and the labelled rows of both kinds outside the held part
+set the threshold: the score at which the share of bad rows caught exceeds the share of good rows
+rejected by most. Without bad rows at most REJECT_GOOD of the good ones are rejected.
 """
 
 from __future__ import annotations
@@ -14,7 +15,6 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from ledgerlens.llm.frames import by_text, q
 from ledgerlens.llm.words import BLANK, SAME, mix, split, sums, windows
@@ -131,16 +131,34 @@ class Forest:
         return 2.0 ** (-depth / len(self.trees) / _expected(self.size))
 
 
+def _bound(steps: pd.DataFrame, reject_good: float | None) -> float:
+    """The lowest score that is rejected. ``steps``: score, and the rows that have it: good (all), fit_good and
+    fit_bad (outside the held part)."""
+    steps = steps.sort_values("score", ascending=False)
+    score = steps["score"].to_numpy(float)
+    good, fit_good, fit_bad = (steps[c].to_numpy(float) for c in ("good", "fit_good", "fit_bad"))
+    if not good.sum():
+        return 2.0
+    if reject_good is None and fit_good.sum() and fit_bad.sum():
+        gain = np.cumsum(fit_bad) / fit_bad.sum() - np.cumsum(fit_good) / fit_good.sum()
+        # No score tells the two apart: reject nothing. The first of equal ones rejects least.
+        return float(score[gain.argmax()]) if gain.max() > 0 else float(score[0]) + 1 / SCORE_STEPS
+    allowed = score[np.cumsum(good) <= (REJECT_GOOD if reject_good is None else reject_good) * good.sum()]
+    return float(allowed[-1]) if len(allowed) else float(score[good > 0][0]) + 1 / SCORE_STEPS
+
+
 def judged(
     docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_column: str = "text",
-    trees: int = TREES, tree_rows: int = TREE_ROWS, sample_rows: int = SAMPLE_ROWS, reject_good: float = REJECT_GOOD, seed: int = 5,
+    trees: int = TREES, tree_rows: int = TREE_ROWS, sample_rows: int = SAMPLE_ROWS, reject_good: float | None = None, seed: int = 5,
 ) -> DataFrame:
     """One row per row of ``docs``: doc_id, the counts, base_failed, kept, and the anomaly score.
 
     The forest sees at most ``sample_rows`` documents, those with the smallest seeded hash of their id.
     Null and empty texts have no words, so base_failed is true. Repeated ids are judged row by row; an
-    id labelled twice counts as good only if every label says so; null ids and null labels calibrate
-    nothing. Without good labels nothing but the base rules rejects. An empty table gives no rows.
+    id labelled twice counts as good only if every label says so, and is bad otherwise; null ids and null labels
+    calibrate nothing, nor do held-out ids (crc32 of the id as text, modulo 4, is 2). A ``reject_good`` given caps the
+    share of good rows rejected instead, over all of them. Without good labels nothing but the base rules rejects. An
+    empty table gives no rows.
     """
     spark = docs.sparkSession
     scratch = Scratch(spark, "rules")
@@ -162,19 +180,17 @@ def judged(
     scored = scratch.keep(
         counted.withColumn("score", score(F.struct(*COUNTS, *MORE))).withColumn("base_failed", failed), "scored"
     )
-    good = (
+    marks = (
         labels.select(F.col("doc_id"), F.col("quality")).filter("doc_id IS NOT NULL AND quality IS NOT NULL")
-        .groupBy("doc_id").agg(F.min("quality").alias("quality")).filter("quality = 1").select("doc_id")
+        .groupBy("doc_id").agg((F.min("quality") == 1).alias("good"))
+        .withColumn("fit", F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 != 2)
     )
-    # At most SCORE_STEPS + 1 rows: how many good rows have each score.
-    steps = scored.filter(~F.col("base_failed")).join(good, "doc_id", "left_semi").groupBy("score").agg(F.count("*").alias("n"))
-    above = Window.orderBy(F.col("score").desc())
-    limit = (
-        steps.select("score", F.sum("n").over(above).alias("rejected"), F.sum("n").over(Window.partitionBy()).alias("good"))
-        .filter(F.col("rejected") <= reject_good * F.col("good")).agg(F.min("score"), F.count("*")).first()
+    # At most SCORE_STEPS + 1 rows: how many labelled rows of each kind have each score.
+    steps = scored.filter(~F.col("base_failed")).join(marks, "doc_id").groupBy("score").agg(
+        F.count_if("good").alias("good"), F.count_if(F.col("good") & F.col("fit")).alias("fit_good"),
+        F.count_if(~F.col("good") & F.col("fit")).alias("fit_bad"),
     )
-    top = steps.agg(F.max("score")).first()[0]
-    bound = limit[0] if limit[0] is not None else (top + 1 / SCORE_STEPS if top is not None else 2.0)
+    bound = _bound(steps.toPandas(), reject_good)
     scratch.drop("counts")
     return scored.select(
         "doc_id", *COUNTS, "base_failed",

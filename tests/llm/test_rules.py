@@ -3,6 +3,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pandas as pd
 
 from ledgerlens.llm import rules
 
@@ -61,6 +62,26 @@ def test_labels_set_the_threshold(documents, labels):
     assert all(r["kept"] for r in free)
 
 
+def test_default_threshold_catches_bad_rows(documents, labels):
+    # Bad rows are many, so the forest finds them hardly stranger than the oddest good ones.
+    rng = random.Random(4)
+    good = [(i, " ".join("w" * rng.randrange(2, 9) + str(i) for i in rng.sample(range(500), 60))) for i in range(600)]
+    odd = [(600 + i, " ".join(f"WORD{rng.randrange(9999)}!?!?-{i}-{k}" for k in range(40))) for i in range(12)]
+    bad = [(1000 + i, " | ".join(f"ab{k}cd" for k in rng.sample(range(500), 60))) for i in range(60)]
+    marks = labels([(i, 1, 0) for i, _ in good + odd] + [(i, 0, 0) for i, _ in bad])
+    kept = {r["doc_id"]: r["kept"] for r in rules.judged(documents(good + odd + bad), marks).collect()}
+    assert sum(kept[i] for i, _ in bad) <= 6
+    assert sum(not kept[i] for i, _ in good + odd) <= 31
+
+
+def test_bound_weighs_both_kinds():
+    steps = pd.DataFrame({"score": [0.3, 0.4, 0.5, 0.6], "good": [80, 18, 1, 1], "fit_good": [80, 18, 1, 1], "fit_bad": [0, 1, 9, 0]})
+    assert rules._bound(steps, None) == 0.5
+    assert rules._bound(steps, 0.01) == 0.6
+    assert rules._bound(steps.assign(fit_bad=0), None) > 0.6
+    assert rules._bound(steps.assign(good=0, fit_good=0), None) == 2.0
+
+
 def test_empty_and_constant_tables(documents, labels):
     assert rules.judged(documents([]), labels([])).count() == 0
     same = rules.judged(documents([(i, "a b c d e f g " * 3) for i in range(4)]), labels([(1, 1, 0)])).collect()
