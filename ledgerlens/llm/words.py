@@ -126,3 +126,40 @@ def sums(mask: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """How many true bytes each text has."""
     total = np.concatenate([[0], np.cumsum(mask, dtype=np.int64)])
     return np.diff(total[offsets])
+
+
+_LETTER = np.array([chr(i).isalnum() or i >= 0x80 for i in range(256)])
+
+
+def _alone(data: np.ndarray) -> np.ndarray:
+    """First bytes of characters of scripts written without blanks: Thai, Lao, Myanmar, Khmer, and all from U+3000 on."""
+    then = np.append(data[1:], 0)
+    return (
+        (data >= 0xE3) | ((data == 0xE0) & (then >= 0xB8) & (then <= 0xBB))
+        | ((data == 0xE1) & (((then >= 0x80) & (then <= 0x82)) | (then == 0x9E) | (then == 0x9F)))
+    )
+
+
+def tokens(texts: Sequence[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    """A hash of each token, and each text's first token (one more entry at the end).
+
+    Tokens are runs of letters and digits, other ASCII characters one by one, and characters of scripts
+    written without blanks one by one.
+    """
+    data = np.frombuffer(b"\n".join(t.encode("utf-8", "surrogatepass") if t else b"" for t in texts) + b"\n", np.uint8)
+    if not len(texts):
+        return np.empty(0, np.uint64), np.zeros(1, np.int64)
+    blank, inside = BLANK[data], _LETTER[data]
+    before = np.append(False, inside[:-1])
+    lead = (data & 0xC0) != 0x80
+    own = _alone(data)
+    # A character that stands alone also ends at the next one's first byte.
+    last = np.maximum.accumulate(np.where(lead, np.arange(len(data)), 0))
+    after_own = np.append(False, own[last][:-1])
+    start = ~blank & lead & (~inside | ~before | own | after_own)
+    starts = np.flatnonzero(start)
+    edge = np.append(start[1:] | blank[1:], True) & ~blank
+    ends = np.flatnonzero(edge) + 1
+    sizes = np.array([len(t.encode("utf-8", "surrogatepass")) + 1 if t else 1 for t in texts], np.int64)
+    first = np.searchsorted(starts, np.concatenate([[0], np.cumsum(sizes)]))
+    return (_hash(data, starts, ends, BLANK) if len(starts) else np.empty(0, np.uint64)), first

@@ -1,9 +1,11 @@
+import math
 import random
+from collections import Counter
 
 import numpy as np
 import pytest
 
-from ledgerlens.llm import domain_scores, ngrams, quality
+from ledgerlens.llm import domain_scores, ngrams, quality, words
 
 
 def prose(rng, n, words):
@@ -93,3 +95,56 @@ def test_difference_prefers_the_target(documents, labels, rows):
     assert max(score[1000 + i] for i in range(20)) < 0 < min(score[i] for i in range(300))
     assert score[9000] == 0
     assert domain_scores.cross_entropy_difference(documents([]), labels([])).count() == 0
+
+
+def test_tokens_are_words_marks_and_characters_without_blanks():
+    def same(text, parts):
+        got, first = words.tokens([text])
+        return got.tolist() == np.concatenate([words.tokens([p])[0] for p in parts]).tolist() and first.tolist() == [0, len(parts)]
+
+    assert same("The the,été 9x||\n日本ab語 กข 😀я", ["The", "the", ",", "été", "9x", "|", "|", "日", "本", "ab", "語", "ก", "ข", "😀", "я"])
+    assert [len(words.tokens(x)[0]) for x in ([], [None], ["", " \n"])] == [0, 0, 0]
+    assert words.tokens(["a b", None, "", "日 c"])[1].tolist() == [0, 2, 2, 2, 4]
+
+
+def plain_bits(texts, train):
+    """Bits per token of each text under a word pair model of ``train``, by the formula; the vocabulary is that of all texts."""
+    def off(table):
+        c = Counter(table.values())
+        y = c[1] / (c[1] + 2 * c[2]) if c[1] else 0
+        raw = [1 - 2 * y * c[2] / c[1] if c[1] else 0.5, 2 - 3 * y * c[3] / c[2] if c[2] else 1.0, 3 - 4 * y * c[4] / c[3] if c[3] else 1.5]
+        return [0.0, *(min(max(d, 0.1), i + 0.9) for i, d in enumerate(raw))]
+
+    split = lambda t: list(zip(["", *t.split()], t.split()))
+    n = Counter(p for t in train for p in split(t))
+    k, size = Counter(w for _, w in n), len({w for t in texts for w in t.split()})
+    d1, d2 = off(k), off(n)
+    total, rest = Counter(), Counter()
+    for (v, _), c in n.items():
+        total[v] += c
+        rest[v] += d2[min(c, 3)]
+    def p(v, w):  # noqa: E306
+        one = (k[w] - d1[min(k[w], 3)] + sum(d1[min(c, 3)] for c in k.values()) / size) / sum(k.values()) if k else 1 / size
+        return (n[v, w] - d2[min(n[v, w], 3)] + rest[v] * one) / total[v] if total[v] else one
+    return [sum(-math.log2(p(*x)) for x in split(t)) / max(1, len(t.split())) for t in texts]
+
+
+def test_scores_follow_the_formula_and_every_character_counts(documents, labels):
+    # 400 Chinese characters and 300 words: more than any fixed alphabet of 128 holds.
+    rng = random.Random(3)
+    han = [chr(0x4E00 + i) for i in range(400)]
+    texts = [" ".join(rng.choice(han[:200] if i % 2 else han) for _ in range(rng.randrange(5, 60))) for i in range(60)]
+    texts += [" ".join(f"w{rng.randrange(300) // (1 + i % 3)}" for _ in range(40)) for i in range(60)]
+    texts += [texts[3], texts[70], ""]
+    marks = labels([(i, int(i % 2), 0) for i in range(100)] + [(None, 1, 0)])
+    got = {r["doc_id"]: r for r in domain_scores.cross_entropy_difference(documents(list(enumerate(texts))), marks).collect()}
+    target = plain_bits(texts, [t for i, t in enumerate(texts) if i < 100 and i % 2])
+    background = plain_bits(texts, texts)
+    assert [got[i]["n_tokens"] for i in range(len(texts))] == [len(t.split()) for t in texts]
+    for i in range(len(texts)):
+        assert got[i]["target_bits"] == pytest.approx(target[i], abs=1e-4)
+        assert got[i]["background_bits"] == pytest.approx(background[i], abs=1e-4)
+    # Without blanks between them the characters are the same tokens.
+    tight = [(i, t.replace(" ", "") if i < 60 else t) for i, t in enumerate(texts)]
+    same = {r["doc_id"]: r["difference"] for r in domain_scores.cross_entropy_difference(documents(tight), marks).collect()}
+    assert all(same[i] == pytest.approx(got[i]["difference"], abs=1e-6) for i in same)
