@@ -148,3 +148,11 @@ def test_scores_follow_the_formula_and_every_character_counts(documents, labels)
     tight = [(i, t.replace(" ", "") if i < 60 else t) for i, t in enumerate(texts)]
     same = {r["doc_id"]: r["difference"] for r in domain_scores.cross_entropy_difference(documents(tight), marks).collect()}
     assert all(same[i] == pytest.approx(got[i]["difference"], abs=1e-6) for i in same)
+
+
+def test_every_target_row_counts(documents, labels):
+    # More target rows than any former sample; each has a word of its own, which only its own text can have taught.
+    rows = [(i, f"word{i} word{i}") for i in range(10_400)] + [(20_000 + i, f"other{i} other{i}") for i in range(400)]
+    got = domain_scores.cross_entropy_difference(documents(rows), labels([(i, 1, 0) for i in range(10_400)])).collect()
+    score = {r["doc_id"]: r["difference"] for r in got}
+    assert max(score[i] for i in range(10_400)) < 0 < min(score[20_000 + i] for i in range(400))
