@@ -156,3 +156,15 @@ def test_every_target_row_counts(documents, labels):
     got = domain_scores.cross_entropy_difference(documents(rows), labels([(i, 1, 0) for i in range(10_400)])).collect()
     score = {r["doc_id"]: r["difference"] for r in got}
     assert max(score[i] for i in range(10_400)) < 0 < min(score[20_000 + i] for i in range(400))
+
+
+def test_classifier_sees_the_order_of_words(documents, labels):
+    rng = random.Random(6)
+    # All words begin and end alike, so the character trigrams of any order of them are the same.
+    some = ["ab" + "".join(rng.choices("cdefgh", k=5)) + "yz" for _ in range(80)]
+    good = [(i, " ".join(some[j] + " " + some[j + 1] for j in rng.choices(range(0, 80, 2), k=40))) for i in range(400)]
+    bad = [(1000 + i, " ".join(rng.choices(some, k=80))) for i in range(40)] + [(1100, "abcdefgyz " * 60), (1101, (some[0] + " ") * 60)]
+    made = quality.classified(documents(good + bad), labels([(i, 1, 0) for i, *_ in good])).collect()
+    kept = {r["doc_id"]: r["quality"]["kept"] for r in made}
+    assert not any(kept[i] for i, *_ in bad)
+    assert sum(not kept[i] for i, *_ in good) <= 2
