@@ -168,3 +168,16 @@ def test_classifier_sees_the_order_of_words(documents, labels):
     kept = {r["doc_id"]: r["quality"]["kept"] for r in made}
     assert not any(kept[i] for i, *_ in bad)
     assert sum(not kept[i] for i, *_ in good) <= 2
+
+
+def test_small_language_has_its_own_bound(documents, labels):
+    rng = random.Random(2)
+    common = [(i, prose(rng, 60, EN), "en", "s") for i in range(400)]
+    rare = [(1000 + i, "".join(rng.choices("abcdefghijklmnopqrstuvwxyz ", k=300)), "xx", "s") for i in range(9)]
+    other = [(2000, rare[0][1], "yy", "s"), (2001, rare[1][1], None, "s")]
+    marks = labels([(i, 1, 0) for i, *_ in common + rare])
+    made = {r["doc_id"]: (r["lang"], r["quality"]) for r in quality.classified(documents(common + rare + other), marks).collect()}
+    # The largest of few scores is the quantile, so no good row of a small language is rejected; it may be held to nobody else's bound.
+    assert all(made[i][1]["kept"] for i, *_ in rare)
+    assert made[1000][1]["bound"] == max(made[i][1]["bits_per_char"] for i, *_ in rare)
+    assert made[2000][1]["bound"] == made[2001][1]["bound"] != made[1000][1]["bound"] != made[0][1]["bound"]
