@@ -36,6 +36,7 @@ STEP = 216
 LEVEL = 6
 ORDINARY_BYTES = 32_768
 TOXIC_BYTES = 16_384
+#: Windows that the ordinary dictionary is trained on, those of all rows with the smallest hashes.
 TRAIN_WINDOWS = 40_000
 #: Bytes of the pieces by which toxic and ordinary vocabulary are told apart, the share of the toxic sample that a
 #: telling piece occurs in at least, and how much more often than in the ordinary sample.
@@ -107,6 +108,13 @@ def _trained(samples: list[bytes], size: int) -> bytes:
         return b" ".join(samples)[:size]
 
 
+def _some(samples: list[bytes]) -> list[bytes]:
+    """At most TRAIN_WINDOWS windows, wherever they stand, in their order."""
+    if len(samples) <= TRAIN_WINDOWS:
+        return samples
+    return [samples[i] for i in np.sort(np.argsort([zlib.crc32(w) for w in samples], kind="stable")[:TRAIN_WINDOWS])]
+
+
 def _words(text: str | None) -> list[bytes]:
     return [b" " + w for w in _bytes(text).split()]
 
@@ -157,7 +165,7 @@ def _dictionaries(toxic: Sequence[str], ordinary: Sequence[str]) -> Model:
     passages = Counter(p for x in samples for p in _passages(x, telling))
     # The most frequent last: zstandard encodes nearer matches in fewer bytes.
     special = b"".join(p for p, n in reversed(passages.most_common()) if n >= PASSAGE_COUNT)[-TOXIC_BYTES:] or b" " * 8
-    common = _trained([w for t in ordinary for w in windows(t)][:TRAIN_WINDOWS], ORDINARY_BYTES)
+    common = _trained(_some([w for t in ordinary for w in windows(t)]), ORDINARY_BYTES)
     return Model(common, special + common, [0.0] * 4)
 
 

@@ -47,3 +47,13 @@ def test_one_kind_of_label_and_empty_tables(documents, labels):
     got = toxicity.scored(documents([(1, "a b c"), (2, None)]), labels([(1, 1, 0)])).collect()
     assert {r["predicted"] for r in got} == {0}
     assert toxicity.scored(documents([]), labels([])).count() == 0
+
+
+def test_ordinary_windows_come_from_all_rows(monkeypatch):
+    seen = []
+    monkeypatch.setattr(toxicity, "TRAIN_WINDOWS", 100)
+    monkeypatch.setattr(toxicity, "_trained", lambda samples, size: seen.extend(samples) or b" " * 8)
+    toxicity._dictionaries(["bad words here"], [f"row{i} text" for i in range(1000)])
+    rows = [int(w.split()[0][3:]) for w in seen]
+    assert len(rows) == 100
+    assert min(sum(r // 250 == k for r in rows) for k in range(4)) >= 10
