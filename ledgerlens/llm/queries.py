@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlens.llm import contamination as contaminated
-from ledgerlens.llm import domain_scores, line_dedup, mixing, quality, rules, secrets, toxicity, warc_audit
+from ledgerlens.llm import domain_scores, line_dedup, manifest, mixing, quality, rules, secrets, toxicity, warc_audit
 from ledgerlens.llm.near_duplicates import near_duplicates
 from ledgerlens.session import configure
 
@@ -84,3 +84,9 @@ def op9_rules(spark: SparkSession, folder: str) -> DataFrame:
 @register(warc_audit.SQL)
 def op10_warc_audit(spark: SparkSession, folder: str) -> DataFrame:
     return warc_audit.audited_pages(table(spark, folder, "pages"))
+
+
+@register(manifest.SQL)
+def op13_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return manifest.manifest(docs, manifest.without_line_ends(docs))
