@@ -17,7 +17,6 @@ import re
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 from functools import cached_property
-from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -108,6 +107,10 @@ class Tokenizers:
             return self.exact.encode(" " + text, add_special_tokens=False).ids
         return self.fast.encode_ordinary(" " + text)
 
+    def writes_a(self, ids: list[int]) -> bytes:
+        """The bytes of A's tokens."""
+        return b"".join(map(self.bytes_a.__getitem__, ids)) if self.fast is None else self.fast.decode_bytes(ids)
+
     def ids_b(self, texts: Sequence[str]) -> list[list[int]]:
         return self.pieces.encode(list(texts), num_threads=1)
 
@@ -155,23 +158,21 @@ def _by_bytes(tokens: list[bytes]) -> dict[bytes, list[int]]:
     return out
 
 
-def align(a: Sequence[int], b: Sequence[int], size_a: Sequence[int], size_b: Sequence[int]) -> tuple[str, list[tuple[int, int]]]:
-    """Groups of two id sequences over the same bytes: their text, and the ids linked at their ends."""
-    groups, links = [], []
+def align(a: Sequence[int], b: Sequence[int], size_a: Sequence[int], size_b: Sequence[int]) -> str:
+    """Groups of two id sequences over the same bytes, as text."""
+    groups = []
     from_b = end_a = end_b = j = 0
     written = ""
     for x in a:
         end_a += size_a[x]
         written = f"{written},{x}" if written else str(x)
         while end_b < end_a:
-            y = b[j]
-            end_b += size_b[y]
+            end_b += size_b[b[j]]
             j += 1
         if end_a == end_b:
-            groups.append(f"{written}|{y}" if j - from_b == 1 else f"{written}|{','.join(map(str, b[from_b:j]))}")
-            links.append((x, y))
+            groups.append(f"{written}|{b[from_b]}" if j - from_b == 1 else f"{written}|{','.join(map(str, b[from_b:j]))}")
             from_b, written = j, ""
-    return ";".join(groups), links
+    return ";".join(groups)
 
 
 class Aligner:
@@ -188,33 +189,20 @@ class Aligner:
         #: Between the two sequences of a key stands a number that is no id.
         self.between = max(len(self.tokens_a), len(self.tokens_b))
         self.packed = np.dtype(np.uint16 if self.between < 1 << 16 else np.uint32)
-        self.forget()
-
-    def forget(self) -> None:
-        self.known: dict[bytes, int] = {}
-        self.groups: list[str] = []
-        self.links: list[tuple[int, ...]] = []
+        self.known: dict[bytes, str] = {}
+        self.older: dict[bytes, str] = {}
         self.held = 0
 
-    def remember(self, key: bytes, a: list[int], b: list[int]) -> int:
-        """Align a window and number it."""
-        groups, links = align(a, b, self.lengths_a, self.lengths_b)
-        size, number = len(self.tokens_b), len(self.groups)
-        self.known[key] = number
-        self.groups.append(groups)
-        self.links.append(tuple([x * size + y for x, y in links]))
+    def window(self, key: bytes, a: np.ndarray, b: np.ndarray) -> str:
+        """Align a window that the newer memory does not have; the older memory goes when the newer is full."""
+        groups = self.older.get(key)
+        if groups is None:
+            groups = align(a.tolist(), b.tolist(), self.lengths_a, self.lengths_b)
+        if self.held > self.remembered:
+            self.older, self.known, self.held = self.known, {}, 0
+        self.known[key] = groups
         self.held += len(key)
-        return number
-
-    def anchors(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Places in both id sequences at which tokens with a leading blank start at one and the same byte, and the ends."""
-        starts_a, starts_b = (np.cumsum(size[ids]) - size[ids] for ids, size in ((a, self.size_a), (b, self.size_b)))
-        at_a, at_b = np.flatnonzero(self.blank_a[a]), np.flatnonzero(self.blank_b[b])
-        _, in_a, in_b = np.intersect1d(starts_a[at_a], starts_b[at_b], assume_unique=True, return_indices=True)
-        cut_a, cut_b = at_a[in_a], at_b[in_b]
-        if not len(cut_a) or cut_a[0] or cut_b[0]:
-            cut_a, cut_b = np.append(0, cut_a), np.append(0, cut_b)
-        return np.append(cut_a, len(a)), np.append(cut_b, len(b))
+        return groups
 
     def keys(self, a: np.ndarray, b: np.ndarray, cut_a: np.ndarray, cut_b: np.ndarray) -> list[bytes]:
         """Each window's ids of both sequences, as bytes."""
@@ -227,27 +215,29 @@ class Aligner:
         data, width = laid.tobytes(), self.packed.itemsize
         return [data[i:j] for i, j in zip((starts * width).tolist(), (ends * width).tolist())]
 
-    def text(self, text: str | None, a: list[int], b: list[int]) -> tuple[int, int, str, np.ndarray] | None:
+    def text(self, text: str, a: list[int], b: list[int]) -> tuple[int, int, str, np.ndarray] | None:
         """Tokens of A, of B, the groups' text and the links' codes; None if either encoding isn't the text's bytes."""
         want = b" " + text.encode("utf-8", "surrogatepass")
-        if b"".join(map(self.tokens_a.__getitem__, a)) != want or b"".join(map(self.tokens_b.__getitem__, b)) != want:
+        if b"".join(map(self.tokens_b.__getitem__, b)) != want or self.tokenizers.writes_a(a) != want:
             return None
-        if self.held > self.remembered:
-            self.forget()
-        ids_a, ids_b = np.array(a), np.array(b)
-        cut_a, cut_b = self.anchors(ids_a, ids_b)
-        keys = self.keys(ids_a, ids_b, cut_a, cut_b)
-        numbers = list(map(self.known.get, keys))
-        if None in numbers:
+        a, b = np.array(a), np.array(b)
+        ends_a, ends_b = np.cumsum(self.size_a[a]), np.cumsum(self.size_b[b])
+        met = np.searchsorted(ends_b, ends_a)
+        at_a = np.flatnonzero(ends_b[met] == ends_a)
+        at_b = met[at_a]
+        # An anchor: a shared end after which both sequences go on with a blank.
+        inner_a, inner_b = at_a[:-1] + 1, at_b[:-1] + 1
+        anchor = self.blank_a[a[inner_a]] & self.blank_b[b[inner_b]]
+        cut_a, cut_b = (np.concatenate([[0], x[anchor], [len(ids)]]) for x, ids in ((inner_a, a), (inner_b, b)))
+        keys = self.keys(a, b, cut_a, cut_b)
+        groups = list(map(self.known.get, keys))
+        if None in groups:
             cut_a, cut_b = cut_a.tolist(), cut_b.tolist()
-            for w, number in enumerate(numbers):
-                if number is None:
-                    found = self.known.get(keys[w])
-                    numbers[w] = found if found is not None else self.remember(
-                        keys[w], a[cut_a[w]:cut_a[w + 1]], b[cut_b[w]:cut_b[w + 1]]
-                    )
-        links = np.fromiter(chain.from_iterable(map(self.links.__getitem__, numbers)), np.int64)
-        return len(a), len(b), ";".join(map(self.groups.__getitem__, numbers)), links
+            for w, found in enumerate(groups):
+                if found is None:
+                    key = keys[w]
+                    groups[w] = self.known.get(key) or self.window(key, a[cut_a[w]:cut_a[w + 1]], b[cut_b[w]:cut_b[w + 1]])
+        return len(a), len(b), ";".join(groups), a[at_a] * np.int64(len(self.tokens_b)) + b[at_b]
 
     def texts(self, texts: Sequence[str | None]) -> Iterator[tuple[int, int, str, np.ndarray] | None]:
         given = [t or "" for t in texts]
