@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlens.llm import contamination as contaminated
-from ledgerlens.llm import alignment, domain_scores, line_dedup, manifest, mixing, quality, rules, secrets, toxicity, warc_audit
+from ledgerlens.llm import (
+    alignment, domain_scores, fingerprints, line_dedup, manifest, mixing, quality, rules, secrets, toxicity, warc_audit,
+)
 from ledgerlens.llm.near_duplicates import near_duplicates
 from ledgerlens.session import configure
 
@@ -86,6 +88,11 @@ def op10_warc_audit(spark: SparkSession, folder: str) -> DataFrame:
     return warc_audit.audited_pages(table(spark, folder, "pages"))
 
 
+@register()
+def op11_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    return fingerprints.compared(table(spark, folder, "documents"))
+
+
 @register()
 def op12_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
     return alignment.scored(table(spark, folder, "documents"))
