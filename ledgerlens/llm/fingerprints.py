@@ -22,7 +22,7 @@ from ledgerlens.operators.ordering import with_row_index
 from ledgerlens.storage import Scratch
 
 #: Powers of two and of four, as hashes double and minima grow fourfold.
-GRAM, WINDOW = 16, 64
+GRAM, WINDOW = 8, 64
 #: Code points that the shortest passage has of which a mark is certain to be found.
 CERTAIN = GRAM + WINDOW - 1
 BLOCK = 2048
@@ -161,26 +161,26 @@ def compared(docs: DataFrame) -> DataFrame:
     rows = placed.count()
     before = F.when(F.col("row") == 0, F.lit(rows - 1)).otherwise(F.col("row") - 1)
     following = placed.select(before.alias("row"), F.col("key").alias("next_key"))
-    each = placed.join(following, "row").withColumn("times", F.lit(1).cast("long"))
-    alike = placed.filter("copies > 1").select("*", F.col("key").alias("next_key"), (F.col("copies") - 1).alias("times"))
-    order = scratch.keep(each.unionByName(alike).select("key", "doc_id", "n", "next_key", "times"), "next")
+    order = scratch.keep(placed.join(following, "row").select("key", "doc_id", "n", "copies", "next_key"), "next")
 
+    # Both uses of the texts, as the own one and as the next one, read one exchange by key; all other joins are by key too.
     texts = own.select("key", "text").dropDuplicates(["key"])
     once = found.select("key", "head", "tail").dropDuplicates(["key"])
-    parts = order.select("next_key", F.col("key").alias("for_key"), "n").join(
-        texts, F.col("next_key") == F.col("key")
-    ).select("for_key", "next_key", F.expr("left(text, int(n div 4))").alias("part"))
-    others = order.select("next_key", F.col("key").alias("for_key")).join(once, F.col("next_key") == F.col("key")).select(
-        F.col("for_key").alias("of_key"), F.col("next_key").alias("of_next"), hashes(F.concat("head", "tail")).alias("next_hashes")
-    )
-    all_ = (
-        order.join(texts, "key").join(once, "key")
-        .join(parts, (F.col("key") == F.col("for_key")) & (order["next_key"] == parts["next_key"])).drop(parts["next_key"])
-        .join(others, (F.col("key") == F.col("of_key")) & (F.col("next_key") == F.col("of_next")))
-    )
+    part = F.expr("left(text, int(n div 4))")
+    all_marks = F.array_distinct(F.concat("head", "tail"))
+    nexts = order.select("next_key", F.col("key").alias("for_key"), "n").join(texts, F.col("next_key") == F.col("key")).join(
+        once.withColumnRenamed("key", "mark_key"), F.col("next_key") == F.col("mark_key")
+    ).select("for_key", part.alias("part"), hashes(all_marks).alias("next_hashes"))
+    joined = order.join(texts, "key").join(once, "key").join(nexts, F.col("key") == F.col("for_key"))
+    # Of rows that are alike one is followed by the next document, the others by their like.
+    cases = F.filter(F.array(
+        F.struct("part", "next_hashes", F.lit(1).cast("long").alias("times")),
+        F.struct(part.alias("part"), hashes(all_marks).alias("next_hashes"), (F.col("copies") - 1).alias("times")),
+    ), lambda c: c["times"] > 0)
+    all_ = joined.select("doc_id", "n", "text", "head", "tail", F.inline(cases))
     edited = F.concat(cut, "part")
     seen = all_.select(
-        "doc_id", "n", "times", "next_hashes", F.array_distinct(F.concat("head", "tail")).alias("marks"),
+        "doc_id", "n", "times", "next_hashes", all_marks.alias("marks"),
         F.sha2(edited.cast("binary"), 256).alias("edited_sha256"),
         F.when(F.length(edited) < CERTAIN, _short_marks(edited)).otherwise(F.array_distinct(F.concat("head", window_marks(
             F.concat(F.substring("text", (seam + 1).cast("int"), (kept - seam).cast("int")), "part"), seam

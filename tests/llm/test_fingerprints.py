@@ -72,7 +72,7 @@ def test_equals_rolling_and_choosing_step_by_step(spark):
     rng = random.Random(8)
     rows = []
     for i in range(80):
-        size = rng.choice([1, 3, 15, 16, 17, 78, 79, 80, 105, 106, 200, 700, 2047, 2048, 2126, 2127, 5000])
+        size = rng.choice([1, 3, 7, 8, 9, 16, 70, 71, 72, 94, 95, 96, 200, 700, 2047, 2048, 2118, 2119, 5000])
         letters = rng.choice(["ab", "abcdefghij \n", "aé日😀 ", "x"])
         rows.append((rng.randrange(10**6), "".join(rng.choice(letters) for _ in range(size))))
     rows += [(5, None), (6, ""), (7, ""), (7, None), (None, "null id " * 30), (None, "null id " * 30)]
@@ -85,7 +85,7 @@ def test_whole_table_of_documents(spark):
     rows = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{folder}/documents.parquet").collect()]
     found = sorted(map(tuple, QUERIES["op11_fingerprints"](spark, folder).collect()), key=str)
     assert found == want(rows)
-    assert sum(r[5] for r in found) / len(found) > 0.5 and sum(r[6] for r in found) / len(found) < 0.1
+    assert sum(r[5] for r in found) / len(found) > 0.5 and sum(r[6] for r in found) / len(found) < 0.1, sum(r[6] for r in found) / len(found)
 
 
 def test_shared_passages_have_a_mark_in_common(spark):
