@@ -356,6 +356,36 @@ def _merged_late(c: Context):
     return c.spark.read.parquet(target)
 
 
+def _ingested_again(c: Context) -> ingest.StreamTables:
+    """Two queries with checkpoints of their own: both count from batch 0, and the second finds only later messages."""
+    folder = scratch_path(c.spark, "stream-again")
+    tables = ingest.StreamTables(c.spark, folder)
+    for number, part in enumerate((F.col("ts") < "2024-01-16", F.col("ts") >= "2024-01-14")):
+        query = ingest.start_ingest(
+            c.tables.messages(c.tables.event_stream().filter(part)), tables, f"{folder}/checkpoint-{number}", every=None
+        )
+        query.awaitTermination()
+    return tables
+
+
+def _merged_during_write(c: Context):
+    """Merge while a batch has its rows but no marker yet, then after it is stored."""
+    messages = c.tables.messages(c.tables.table("events"))
+    tables = ingest.StreamTables(c.spark, scratch_path(c.spark, "stream-half"))
+    target, log = scratch_path(c.spark, "half-merged"), scratch_path(c.spark, "half-log")
+    _rows(c).limit(0).withColumnRenamed("event_time", "transaction_at").select(*merge.MERGED_COLUMNS).write.parquet(target)
+    tables.write_batch(messages.filter(F.col("offset") % 2 == 0), 0)
+    # What a batch that was cut off has left: rows in its folder, of which only a part was written.
+    tables._write(
+        tables.read("transactions").limit(5).withColumn("event_date", F.to_date("event_time")), "transactions", "batch-1", by="event_date"
+    )
+    for number in (1, 2):
+        merge.merge_into_warehouse(tables.read("transactions", with_batch=True), target, log)
+        tables.write_batch(messages, number)
+    merge.merge_into_warehouse(tables.read("transactions", with_batch=True), target, log)
+    return c.spark.read.parquet(target)
+
+
 def _rows(c: Context):
     """Stored rows as a batch, with the event time standing in for the write time."""
     decoded = events.decode(c.tables.messages(c.tables.table("events")))
@@ -367,6 +397,15 @@ register(
     "stream_rows_after_empty_batch", lambda c: _ingested_after_empty(c).read("transactions").drop("consumed_at"),
     select("SELECT * FROM stored"),
 )
+register(
+    "stream_rows_after_new_checkpoint", lambda c: _ingested_again(c).read("transactions").drop("consumed_at"),
+    select("SELECT * FROM stored"),
+)
+register(
+    "stream_merge_during_write", _merged_during_write,
+    select("""SELECT transaction_id, customer_id, merchant_id, amount, currency, event_time AS transaction_at, status, is_flagged_fraud,
+  channel, ip_country FROM stored"""),
+)
 register(
     "stream_merge_late_rows", _merged_late,
     select("""SELECT transaction_id, customer_id, merchant_id, amount, currency, event_time AS transaction_at, status, is_flagged_fraud,

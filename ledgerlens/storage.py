@@ -75,6 +75,39 @@ def table_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(jvm_path)
 
 
+def list_files(spark: SparkSession, folder: str) -> list[str]:
+    """Names of what lies directly in a folder; none if it is not there. Hidden names are left out."""
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = jvm_path.getFileSystem(spark._jsc.hadoopConfiguration())
+    names = [s.getPath().getName() for s in fs.listStatus(jvm_path)] if fs.exists(jvm_path) else []
+    return sorted(n for n in names if not n.startswith((".", "_")))
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small file's text."""
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    stream = jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).open(jvm_path)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file that appears whole or not at all; a name that is taken is an error."""
+    folder, _, name = path.rpartition("/")
+    target, hidden = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (path, f"{folder}/_{name}.{uuid.uuid4().hex}"))
+    fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    stream = fs.create(hidden)
+    try:
+        stream.write(text.encode())
+    finally:
+        stream.close()
+    if fs.exists(target) or not fs.rename(hidden, target):
+        fs.delete(hidden, False)
+        raise FileExistsError(path)
+
+
 def delete(spark: SparkSession, path: str) -> None:
     """Remove a folder, if it is there."""
     jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)

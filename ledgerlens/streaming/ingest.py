@@ -1,4 +1,4 @@
-"""Stream to tables: rows, dead letters, alerts and batch statistics, safe to replay."""
+"""Stream to tables: rows, dead letters, alerts and batch statistics, safe to replay and to restart."""
 
 from __future__ import annotations
 
@@ -9,91 +9,110 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ledgerlens.functions.columns import count_where
-from ledgerlens.storage import table_exists
 from ledgerlens.streaming import events
+from ledgerlens.streaming.commits import CommitLog
+from ledgerlens.streaming.id_index import IdIndex
 from ledgerlens.streaming.lookup import unseen
 
+#: Spark keeps the running query's id, which its checkpoint holds, in this property of the thread that runs a batch.
+_QUERY_ID = "sql.streaming.queryId"
+
+
 @dataclass(frozen=True)
 class StreamTables:
-    """The stream's tables under one folder. Every micro-batch owns one partition, which a
-    replay of the batch overwrites; rows are also partitioned by event date.
+    """The stream's tables under one folder.
 
-    A new row is compared with all stored ids. With ``same_day`` it is compared with those
-    of its own event date only, which keeps the look-up as small as the days a batch
-    touches; this finds every redelivery, as those carry the same event time.
+    Every micro-batch owns one folder of each table, named by the query that ran it and its number there, and counts
+    from the moment its marker stands in the commit log. A replay of a stored batch does nothing; one of a batch
+    that was cut off writes it anew. Rows are also partitioned by event date. Ids that are stored already are found by
+    an index (``id_index``), of which a batch reads only the files in its reach.
     """
 
     spark: SparkSession
     folder: str
-    same_day: bool = False
 
     def path(self, name: str) -> str:
         return f"{self.folder}/{name}"
 
+    @property
+    def log(self) -> CommitLog:
+        return CommitLog(self.spark, self.path("commits"))
+
+    @property
+    def index(self) -> IdIndex:
+        return IdIndex(self.spark, self.path("ids"))
+
     def read(self, name: str, with_batch: bool = False) -> DataFrame:
-        """``transactions``, ``dlq``, ``fraud_alerts`` or ``batches``; ``with_batch`` adds the batch that stored a row.
+        """``transactions``, ``dlq``, ``fraud_alerts`` or ``batches``; ``with_batch`` adds the number of the commit that
+        stored a row.
 
-        The schema is given, so a table whose batches hold no rows yet is an empty table.
+        Only committed batches are read. The schema is given, so a table without rows yet is an empty table.
         """
-        schema = events.TABLE_SCHEMAS[name] + ", batch_id bigint" + (", event_date date" if name == "transactions" else "")
-        rows = self.spark.read.schema(schema).parquet(self.path(name)).drop("event_date")
+        log = self.log.table().withColumnRenamed("seq", "batch_id")
+        schema = events.TABLE_SCHEMAS[name] + ", commit string" + (", event_date date" if name == "transactions" else "")
+        if self.log.last() is None:
+            rows = self.spark.createDataFrame([], schema + ", batch_id bigint")
+        else:
+            rows = self.spark.read.schema(schema).parquet(self.path(name)).join(log, "commit")
+        rows = rows.drop("event_date", "commit")
         return rows if with_batch else rows.drop("batch_id")
 
-    def exists(self, name: str) -> bool:
-        return table_exists(self.spark, self.path(name))
-
-    def _write(self, df: DataFrame, name: str, batch_id: int, by: str | None = None) -> None:
+    def _write(self, df: DataFrame, name: str, commit: str, by: str | None = None) -> None:
         writer = df.write.mode("overwrite")
         if by:
             writer = writer.partitionBy(by)
-        writer.parquet(f"{self.path(name)}/batch_id={batch_id}")
-
-    def _unseen(self, rows: DataFrame, batch_id: int) -> DataFrame:
-        """Rows whose event id no other batch has stored. Only the id column is read."""
-        if not self.exists("transactions"):
-            return rows
-        schema = events.TABLE_SCHEMAS["transactions"] + ", batch_id bigint, event_date date"
-        stored = self.spark.read.schema(schema).parquet(self.path("transactions")).filter(F.col("batch_id") != batch_id)
-        if self.same_day:
-            days = [r[0] for r in rows.select(F.to_date("event_time")).distinct().collect()]
-            known = [d for d in days if d is not None]
-            near = F.col("event_date").isin(known)
-            stored = stored.filter(near | F.col("event_date").isNull() if None in days else near)
-        return unseen(rows, stored, "event_id", rows.count())
-
-    def write_batch(self, messages: DataFrame, batch_id: int) -> None:
-        """Store one micro-batch. Rows go last: a batch is complete when they are there."""
+        writer.parquet(f"{self.path(name)}/commit={commit}")
+
+    def _query_id(self) -> str:
+        return self.spark.sparkContext.getLocalProperty(_QUERY_ID) or "batch"
+
+    def write_batch(self, messages: DataFrame, batch_id: int, query: str | None = None) -> None:
+        """Store one micro-batch: its tables, the index's new segment, and last its marker."""
+        commit = f"{query or self._query_id()}-{batch_id}"
+        if self.log.has(commit):
+            return
+        last = self.log.last()
+        segments = last.segments if last else []
         decoded = events.decode(messages).persist()
+        rows = events.first_per_event(events.sink_rows(decoded)).persist()
         try:
-            rows = events.first_per_event(events.sink_rows(decoded)).persist()
+            known = self.index.known(rows.select(F.col("event_id").alias("id")), segments)
+            fresh = rows if known is None else unseen(rows, known.withColumnRenamed("id", "event_id"), "event_id")
+            fresh = fresh.select(*events.SINK_COLUMNS).persist()
             try:
-                fresh = self._unseen(rows, batch_id).select(*events.SINK_COLUMNS).persist()
-                try:
-                    self._write(events.dead_letters(decoded), "dlq", batch_id)
-                    self._write(events.fraud_alerts(fresh), "fraud_alerts", batch_id)
-                    statistics = fresh.agg(
-                        F.count("*").alias("rows_written"),
-                        count_where(F.col("is_flagged_fraud")).alias("fraud_rows"),
-                        F.max("event_time").alias("last_event_time"),
-                    )
-                    self._write(statistics, "batches", batch_id)
-                    dated = fresh.withColumn("event_date", F.to_date("event_time"))
-                    self._write(dated, "transactions", batch_id, by="event_date")
-                finally:
-                    fresh.unpersist()
+                self._write(events.dead_letters(decoded), "dlq", commit)
+                self._write(events.fraud_alerts(fresh), "fraud_alerts", commit)
+                statistics = fresh.agg(
+                    F.count("*").alias("rows_written"),
+                    count_where(F.col("is_flagged_fraud")).alias("fraud_rows"),
+                    F.max("event_time").alias("last_event_time"),
+                )
+                self._write(statistics, "batches", commit)
+                self._write(fresh.withColumn("event_date", F.to_date("event_time")), "transactions", commit, by="event_date")
+                added = fresh.count()
+                if added:
+                    segments = [*segments, self.index.write(fresh.select(F.col("event_id").alias("id")), 0, added)]
+                self.log.add(commit, self.index.merged(segments))
             finally:
-                rows.unpersist()
+                fresh.unpersist()
         finally:
+            rows.unpersist()
             decoded.unpersist()
 
+    def vacuum(self) -> int:
+        """Delete index segments that the last commit no longer names, between batches; returns how many."""
+        last = self.log.last()
+        return self.index.vacuum(last.segments) if last else 0
+
 
 def start_ingest(
     messages: DataFrame, tables: StreamTables, checkpoint: str, every: str | None = "10 seconds"
 ) -> StreamingQuery:
     """Run ``write_batch`` on each micro-batch; ``every=None`` takes what is there and stops.
 
-    Offsets are committed to the checkpoint after the batch is written: at-least-once
-    delivery, and exactly one stored row per event.
+    Offsets are committed to the checkpoint after the batch's marker is written: at-least-once
+    delivery, and exactly one stored row per event. A new checkpoint reads the topic from its beginning and
+    stores only what is not there yet.
     """
     trigger = {"processingTime": every} if every else {"availableNow": True}
     return (

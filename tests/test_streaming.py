@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerlens.sources.readers import file_messages
-from ledgerlens.streaming import events, ingest, lookup, merge, monitor
+from ledgerlens.streaming import commits, events, id_index, ingest, lookup, merge, monitor
 
 T0 = dt.datetime(2024, 1, 1)
 
@@ -69,8 +69,8 @@ def test_large_batches_join_by_key(spark, batch, tmp_path, monkeypatch):
     assert tables.read("transactions").count() == 6
 
 
-def test_same_day_lookup(spark, batch, tmp_path):
-    tables = ingest.StreamTables(spark, str(tmp_path), same_day=True)
+def test_rows_without_a_usable_time(spark, batch, tmp_path):
+    tables = ingest.StreamTables(spark, str(tmp_path))
     tables.write_batch(batch([message(i * 700) for i in range(6)]), 0)
     tables.write_batch(batch([message(i * 700) for i in range(3, 9)] + [message(1, event_time="bad")]), 1)
     tables.write_batch(batch([message(1, event_time="bad"), message(0)]), 2)
@@ -78,6 +78,92 @@ def test_same_day_lookup(spark, batch, tmp_path):
     assert tables.read("transactions").select("event_id").distinct().count() == 10
 
 
+def test_a_new_checkpoint_loses_and_repeats_nothing(spark, batch, tmp_path):
+    tables = ingest.StreamTables(spark, f"{tmp_path}/out")
+    for number, ids in enumerate((range(6), range(4, 9))):
+        # The second query has a new checkpoint, counts its batches from 0, and finds a topic without the first rows.
+        inbox = f"{tmp_path}/in{number}"
+        batch([message(i) for i in ids]).coalesce(1).write.parquet(inbox)
+        q = ingest.start_ingest(file_messages(spark, inbox), tables, f"{tmp_path}/checkpoint{number}", every=None)
+        q.awaitTermination()
+    assert sorted(r[0] for r in tables.read("transactions").select("event_id").collect()) == sorted(f"e{i}" for i in range(9))
+    made = tables.log.lines()
+    assert [c.commit.rpartition("-")[2] for c in made.values()] == ["0", "0"]
+    assert len({c.commit for c in made.values()}) == 2
+
+
+def test_a_half_written_batch_does_not_exist(spark, batch, tmp_path, monkeypatch):
+    tables = ingest.StreamTables(spark, f"{tmp_path}/stream")
+    target, log = f"{tmp_path}/transactions", f"{tmp_path}/log"
+    rows_of(batch, []).withColumnRenamed("event_time", "transaction_at").select(*merge.MERGED_COLUMNS).write.parquet(target)
+
+    def merged():
+        return merge.merge_into_warehouse(tables.read("transactions", with_batch=True), target, log)
+
+    tables.write_batch(batch([message(i) for i in range(3)]), 0)
+    with monkeypatch.context() as cut:
+        cut.setattr(commits.CommitLog, "add", lambda *_: (_ for _ in ()).throw(KeyboardInterrupt()))
+        with pytest.raises(KeyboardInterrupt):
+            tables.write_batch(batch([message(i) for i in range(2, 7)] + [("junk", 0, 9)]), 1)
+    assert tables.read("transactions").count() == 3 and tables.read("dlq").count() == 0
+    assert merged() == 3
+    tables.write_batch(batch([message(i) for i in range(2, 7)] + [("junk", 0, 9)]), 1)
+    assert tables.read("transactions").count() == 7 and tables.read("dlq").count() == 1
+    assert merged() == 4 and merged() == 0
+    # What the cut off try left of the index goes.
+    assert tables.vacuum() == 1 and tables.vacuum() == 0
+    tables.write_batch(batch([message(i) for i in range(8)]), 2)
+    assert tables.read("transactions").count() == 8
+
+
+def test_markers_are_gathered(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(commits, "GATHER", 4)
+    log = commits.CommitLog(spark, f"{tmp_path}/commits")
+    assert log.last() is None and log.table().count() == 0
+    for i in range(10):
+        log.add(f"q-{i}", [commits.Segment(f"s{i}", 0, 0, 1)])
+        assert log.last().commit == f"q-{i}" and log.last().segments[0].name == f"s{i}"
+    assert sorted(map(tuple, log.table().collect())) == [(i, f"q-{i}") for i in range(10)]
+    assert log.has("q-2") and not log.has("q-10")
+    assert len(log._files()) == 3
+
+
+def ids_of(spark, low, high):
+    return spark.range(low, high, numPartitions=1).selectExpr("concat('evt-', id) AS id")
+
+
+def test_index_finds_what_is_stored_and_reads_little(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(id_index, "BLOCK_IDS", 50)
+    monkeypatch.setattr(id_index, "FILE_BITS", 2)
+    monkeypatch.setattr(id_index, "FAN", 4)
+    index, segments = id_index.IdIndex(spark, f"{tmp_path}/ids"), []
+    read = []
+    for i in range(20):
+        batch = ids_of(spark, i * 100, i * 100 + 100)
+        read.append(len(index.reach(batch, segments)))
+        segments = index.merged([*segments, index.write(batch, 0, 100)])
+    # New ids: files are read only where a filter is wrong, however many batches there are.
+    assert max(read) <= 3 and sum(read) <= 10
+    assert sorted(s.level for s in segments) == [1, 2] and sum(s.ids for s in segments) == 2000
+    some = ids_of(spark, 1_990, 2_010).unionByName(ids_of(spark, 5, 7)).unionByName(spark.createDataFrame([(None,)], "id string"))
+    found = index.known(some, segments)
+    assert sorted(r[0] for r in found.collect()) == sorted(f"evt-{i}" for i in [5, 6, *range(1990, 2000)])
+    every = ids_of(spark, 0, 2_000)
+    assert index.known(every, segments).count() == 2000
+    # Two ids lie in two files at most.
+    assert 1 <= len(index.reach(ids_of(spark, 3, 5), segments)) <= 3
+    assert index.vacuum(segments) == 20 + 5 - 1
+    assert index.known(every, segments).count() == 2000
+
+
+def test_bits_of_a_filter(spark):
+    held = [0, 1, 7, 8, 9, 4_095, 32_767]
+    bitmap = spark.createDataFrame([(i,) for i in held], "place bigint").agg(F.bitmap_construct_agg("place").alias("bitmap"))
+    asked = spark.createDataFrame([(i,) for i in [*held, 2, 15, 16, 32_766]], "place bigint").crossJoin(bitmap)
+    got = {r[0] for r in asked.filter(id_index.has_bits(F.col("bitmap"), F.array("place"))).select("place").collect()}
+    assert got == set(held)
+
+
 def test_stream_from_files(spark, batch, tmp_path):
     inbox, folder = f"{tmp_path}/in", f"{tmp_path}/out"
     batch([message(i) for i in range(6)]).coalesce(1).write.parquet(inbox)
