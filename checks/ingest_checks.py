@@ -12,7 +12,7 @@ from ledgerlens.operators import mapping
 from ledgerlens.plans import reports
 from ledgerlens.plans.sample_tables import AS_OF as TODAY
 from ledgerlens.storage import scratch_path, stage
-from ledgerlens.streaming import events, ingest, merge, monitor
+from ledgerlens.streaming import events, ingest, merge, monitor, windows
 
 # ---- mapping -----------------------------------------------------------------------
 
@@ -465,6 +465,34 @@ FROM (SELECT count(*) AS total, count(*) FILTER (is_flagged_fraud) AS fraud_coun
 )
 
 
+def _windows(c: Context, build):
+    """Run the windows over the stream of events to its end and return the rows it emitted."""
+    folder = scratch_path(c.spark, "windows")
+    messages = c.tables.messages(c.tables.event_stream())
+    windows.start_windows(messages, build, folder, every=None).awaitTermination()
+    return c.spark.read.parquet(f"{folder}/rows")
+
+
+register(
+    "stream_rates", lambda c: _windows(c, windows.rates),
+    select("""SELECT *, round(100.0::DOUBLE * flagged / events, 2) AS fraud_rate_pct, round(100.0::DOUBLE * declined / events, 2) AS decline_rate_pct
+FROM (SELECT time_bucket(INTERVAL 5 MINUTE, event_time) AS window_start, time_bucket(INTERVAL 5 MINUTE, event_time) + INTERVAL 5 MINUTE AS window_end,
+    count(*) AS events, count(*) FILTER (is_flagged_fraud) AS flagged, count(*) FILTER (status = 'declined') AS declined
+  FROM stored GROUP BY ALL)
+WHERE window_end <= (SELECT max(event_time) - INTERVAL 1 DAY FROM stored)"""),
+)
+register(
+    "stream_velocity", lambda c: _windows(c, windows.customer_velocity),
+    select("""SELECT start AS window_start, start + INTERVAL 30 DAY AS window_end, customer_id, CAST(sum(payments) AS BIGINT) AS payments,
+  CAST(sum(pence) AS BIGINT) / 100 AS volume_gbp, CAST(sum(flagged) AS BIGINT) AS flagged
+FROM (SELECT *, unnest(range(30)) AS back, CAST(day - to_days(CAST(unnest(range(30)) AS INTEGER)) AS TIMESTAMP) AS start
+  FROM (SELECT date_trunc('day', event_time) AS day, customer_id, count(*) AS payments,
+      sum(CAST(round(amount_gbp * 100) AS BIGINT)) AS pence, count(*) FILTER (is_flagged_fraud) AS flagged
+    FROM stored GROUP BY ALL))
+WHERE start + INTERVAL 30 DAY <= (SELECT max(event_time) - INTERVAL 1 DAY FROM stored) GROUP BY start, customer_id"""),
+)
+
+
 def _offsets(c: Context):
     """Committed: up to the first half of the month; end: everything sent."""
     sent = c.tables.messages(c.tables.table("events"))

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerlens.sources.readers import file_messages
-from ledgerlens.streaming import commits, events, id_index, ingest, lookup, merge, monitor
+from ledgerlens.streaming import commits, events, id_index, ingest, lookup, merge, monitor, windows
 
 T0 = dt.datetime(2024, 1, 1)
 
@@ -247,3 +247,40 @@ def test_merge_follows_arrival(spark, batch, tmp_path):
         added.append(merge.merge_into_warehouse(tables.read("transactions", with_batch=True), target, log))
     assert added == [2, 2, 0]
     assert spark.read.parquet(target).count() == 4
+
+
+def plain(df, *order):
+    return sorted(tuple(r[c] for c in sorted(df.columns)) for r in df.collect())
+
+
+@pytest.mark.parametrize("build, key, count", [
+    (windows.rates, ["window_start"], "events"), (windows.customer_velocity, ["window_start", "customer_id"], "payments"),
+])
+def test_windows_of_a_stream_equal_those_of_the_batch(spark, batch, tmp_path, build, key, count):
+    inbox, folder = f"{tmp_path}/in", f"{tmp_path}/out"
+
+    def run(ids, **changes):
+        batch([message(i, **changes) for i in ids] + [("junk", 0, 1)]).coalesce(1).write.mode("append").parquet(inbox)
+        windows.start_windows(file_messages(spark, inbox), build, folder, every=None).awaitTermination()
+        return spark.read.parquet(f"{folder}/rows")
+
+    step = 11 * 60
+    every = [i * step for i in range(90)]
+    run([*every[:45], *every[:3]])                           # three events are sent twice
+    run(every[45:])
+    # An empty run after the last one changes nothing; a row of the first day is then far too late.
+    emitted = run([step // 2], event_time=(T0 + dt.timedelta(minutes=3)).isoformat())
+    rows = rows_of(batch, every)
+    latest = F.lit((T0 + dt.timedelta(minutes=every[-1])).isoformat(sep=" ")).cast("timestamp")
+    want = windows.closed(build(rows), latest)
+    assert plain(emitted) == plain(want) and emitted.count() > 20
+    stored = rows.unionByName(rows_of(batch, [step // 2], event_time=(T0 + dt.timedelta(minutes=3)).isoformat()))
+    late = windows.late_counts(emitted, windows.closed(build(stored), latest), key, count).collect()
+    assert late and all(r["late"] == 1 for r in late)
+    assert all(r["window_start"] <= T0 + dt.timedelta(minutes=3) for r in late)
+
+
+def test_velocity_counts_thirty_days(spark, batch):
+    rows = rows_of(batch, [0, 60, 29 * 1440, 30 * 1440], customer_id="c", amount_gbp=0.1)
+    found = {r["window_start"]: (r["payments"], r["volume_gbp"]) for r in windows.customer_velocity(rows).collect()}
+    assert found[T0] == (3, 0.3) and found[T0 + dt.timedelta(days=1)] == (2, 0.2) and len(found) == 60
