@@ -21,6 +21,13 @@ register(
   dense_rank() OVER (ORDER BY merchant_category) - 1 AS merchant_category_enc,
   dense_rank() OVER (ORDER BY channel) - 1 AS channel_enc, CAST(is_flagged_fraud AS INTEGER) AS label FROM payments"""),
 )
+register(
+    "fraud_features_one_customer",
+    lambda c: fraud.fraud_features(
+        c.tables.payments.withColumns({"customer_id": F.lit("c"), "transaction_at": F.lit(None).cast("timestamp")}), hot_limit=100
+    ).select("transaction_id", "customer_txn_count"),
+    select("SELECT transaction_id, row_number() OVER (ORDER BY transaction_id) AS customer_txn_count FROM payments"),
+)
 register(
     "fraud_detection_mode", lambda c: fraud.detection_mode(c.tables.payments),
     select("SELECT if(bool_or(is_flagged_fraud), 'supervised', 'unsupervised') AS mode FROM payments"),

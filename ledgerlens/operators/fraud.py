@@ -186,29 +186,49 @@ def _grow(points: np.ndarray, rng: np.random.Generator, max_depth: int) -> list[
 _NODE_SCHEMA = "tree int, node int, feature int, cut double, lft int, rgt int, path double"
 
 
-def isolation_forest(
-    features: DataFrame, trees: int = 100, sample: int = 256, seed: int = 42
-) -> DataFrame:
-    """Nodes of a forest, each tree grown from its own hash-drawn sample of ``sample`` rows.
-
-    For each tree a hash of the id draws about twice the wanted rows and the smallest hashes
-    stay, so some ``2 * trees * sample`` rows are shuffled, whatever the size of the table.
-    A row may enter several trees.
+def _binomial_limits(draws: int, share: float) -> list[float]:
+    """P(at most k of ``draws`` hit), k = 0, 1, ... until less than 1e-14 is left."""
+    if share >= 1.0:
+        return [0.0] * draws
+    limits, total, term = [], 0.0, (1.0 - share) ** draws
+    for k in range(draws):
+        total += term
+        if total >= 1.0 - 1e-14:
+            break
+        limits.append(total)
+        term *= (draws - k) / (k + 1) * share / (1.0 - share)
+    return limits
+
+
+def forest_samples(features: DataFrame, trees: int, sample: int, seed: int, rows: int) -> DataFrame:
+    """``sample`` rows (all, of fewer) for each of ``trees`` trees, of a table of ``rows`` rows: FEATURES, tree, place.
+
+    One hash of the id says how many trees a row enters, by the binomial share of so many draws, and only rows that
+    enter any are multiplied; further hashes say which trees. Some ``2 * trees * sample`` rows are shuffled, whatever
+    the size of the table, and of a tree's rows the smallest hashes stay. The draw does not depend on partitions.
     """
-    n = features.count()
-    share = min(1.0, 2.0 * sample / max(n, 1))
-    span = 1 << 50
-    width = int(span * share)
+    share = min(1.0, 2.0 * sample / max(rows, 1))
+    uniform = F.shiftrightunsigned(F.xxhash64("transaction_id", F.lit(seed)), 11) * F.lit(2.0 ** -53)
+    entered = sum((uniform >= F.lit(limit)).cast("int") for limit in _binomial_limits(trees, share))
+    ranked = F.array_sort(F.transform(F.sequence(F.lit(0), F.lit(trees - 1)), lambda t: F.struct(
+        F.xxhash64("transaction_id", t, F.lit(seed)).alias("draw"), t.alias("tree")
+    )))
     drawn = (
-        features.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
-        .withColumn("draw", F.pmod(F.xxhash64("transaction_id", "tree", F.lit(seed)), F.lit(span)))
-        .filter(F.col("draw") < width)
+        features.withColumn("_entered", entered).filter("_entered > 0")
+        .select("transaction_id", *FEATURES, F.inline(F.slice(ranked, F.lit(1), F.col("_entered"))))
+        # Its rank among a row's trees must not decide a row's place within a tree.
+        .withColumn("draw", F.xxhash64("draw"))
     )
     first = Window.partitionBy("tree").orderBy("draw", "transaction_id")
-    samples = (
-        drawn.select("transaction_id", *FEATURES, "tree", F.row_number().over(first).alias("place"))
-        .filter(F.col("place") <= sample)
-    )
+    return drawn.select("transaction_id", *FEATURES, "tree", F.row_number().over(first).alias("place")).filter(F.col("place") <= sample)
+
+
+def isolation_forest(
+    features: DataFrame, trees: int = 100, sample: int = 256, seed: int = 42
+) -> DataFrame:
+    """Nodes of a forest, each tree grown from a sample of its own (see ``forest_samples``)."""
+    n = features.count()
+    samples = forest_samples(features, trees, sample, seed, n)
     depth = int(np.ceil(np.log2(max(min(sample, n), 2))))
 
     def grow(pdf: pd.DataFrame) -> pd.DataFrame:

@@ -80,35 +80,37 @@ def with_running_total(
 ) -> DataFrame:
     """Running sum of ``step`` per ``key`` in the order of ``at`` then ``order_by``.
 
-    A normal key is one window partition. A hot key (see ``find_hot``) is cut by hour: the
-    window runs inside each hour, and the total of all earlier hours (one row per hour) is
-    added back.
+    A normal key is one window partition. The rows of hot keys (see ``find_hot``) are range-partitioned by key and
+    order, whatever their times are: a distributed prefix sum adds up inside each partition and carries in the totals
+    of the key's earlier partitions, of which there is one row each.
     """
     order = [F.col(at).asc_nulls_last()] + [F.col(c).asc_nulls_last() for c in order_by]
     if hot is None:
         upto = Window.partitionBy(key).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
         return df.withColumn(out, F.sum(step.cast("bigint")).over(upto))
-    sliced = (
-        mark_hot(df, key, hot)
-        .withColumn("_slice", F.when(F.col("_hot"), F.date_trunc("hour", F.col(at))))
-        .withColumn("_step", step.cast("bigint"))
+    marked = mark_hot(df, key, hot).withColumn("_step", step.cast("bigint"))
+    upto = Window.partitionBy(key).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    normal = marked.filter(~F.col("_hot")).withColumn(out, F.sum("_step").over(upto)).drop("_hot", "_step")
+    return normal.unionByName(_prefix_sums(marked.filter("_hot").drop("_hot"), key, order, out))
+
+
+def _prefix_sums(rows: DataFrame, key: str, order: Sequence[Column], out: str) -> DataFrame:
+    """Running sums of ``_step`` over slices of the range order; ``_step`` goes."""
+    parts = max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
+    # Written once, so that a row's slice cannot change between the sums and the totals.
+    laid = stage(
+        rows.repartitionByRange(parts, F.col(key).asc_nulls_last(), *order).withColumn("_slice", F.spark_partition_id()), "prefix-sums"
     )
     inside = Window.partitionBy(key, "_slice").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    totals = (
-        sliced.filter("_hot")
-        .groupBy(F.col(key).alias("_k"), F.col("_slice").alias("_s"))
-        .agg(F.sum("_step").alias("_sum"))
+    earlier = Window.partitionBy("_k").orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)
+    before = laid.groupBy(F.col(key).alias("_k"), F.col("_slice").alias("_s")).agg(F.sum("_step").alias("_sum")).select(
+        "_k", "_s", F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_before")
     )
-    earlier = (
-        Window.partitionBy("_k").orderBy(F.col("_s").asc_nulls_last())
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    before = totals.select("_k", "_s", F.sum("_sum").over(earlier).alias("_before"))
     return (
-        sliced.withColumn(out, F.sum("_step").over(inside))
-        .join(before, F.col(key).eqNullSafe(F.col("_k")) & F.col("_slice").eqNullSafe(F.col("_s")), "left")
-        .withColumn(out, F.col(out) + F.coalesce("_before", F.lit(0)))
-        .drop("_hot", "_slice", "_step", "_k", "_s", "_before")
+        laid.withColumn(out, F.sum("_step").over(inside))
+        .join(before, F.col(key).eqNullSafe(F.col("_k")) & (F.col("_slice") == F.col("_s")))
+        .withColumn(out, F.col(out) + F.col("_before"))
+        .drop("_slice", "_step", "_k", "_s", "_before")
     )
 
 

@@ -126,3 +126,24 @@ def test_explanations_of_repeated_ids_and_missing_times(make_payments):
     assert sorted(r["amount"] for r in fraud.explain_transactions(rows, scores, "supervised").collect()) == [10.0, 20.0, 20.0]
     night = fraud.fraud_features(make_payments([{"transaction_at": None}])).first()
     assert (night["hour"], night["is_night"]) == (0.0, 0.0)
+
+
+def test_forest_samples_each_tree_alike_and_whatever_the_partitions(spark):
+    rows = spark.range(20_000).selectExpr("concat('t', id) AS transaction_id", *[f"cast(hash(id, {i}) % 100 AS double) AS {c}" for i, c in enumerate(fraud.FEATURES)])
+    forest = fraud.isolation_forest(rows, trees=20, sample=64)
+    again = fraud.isolation_forest(rows.repartition(7), trees=20, sample=64)
+    nodes = sorted(map(tuple, forest.collect()))
+    assert nodes == sorted(map(tuple, again.collect()))
+    samples = fraud.forest_samples(rows, 20, 64, 42, 20_000)
+    assert [tuple(r) for r in samples.groupBy("tree").count().orderBy("tree").collect()] == [(t, 64) for t in range(20)]
+    # The table is not multiplied by the number of trees before rows are chosen: below the generator stands a filter.
+    plan = samples._jdf.queryExecution().optimizedPlan().toString()
+    assert "_entered" in plan[plan.index("Generate"):] and "Filter" in plan[plan.index("Generate"):]
+    few = fraud.forest_samples(rows.limit(10), 5, 64, 42, 10)
+    assert [r["count"] for r in few.groupBy("tree").count().collect()] == [10] * 5
+
+
+def test_binomial_limits():
+    limits = fraud._binomial_limits(100, 0.01)
+    assert abs(limits[0] - 0.99 ** 100) < 1e-12 and limits == sorted(limits) and len(limits) < 20
+    assert fraud._binomial_limits(5, 1.0) == [0.0] * 5

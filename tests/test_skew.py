@@ -76,3 +76,15 @@ def test_hot_medians(table, rows):
     for key in {r[0] for r in rows}:
         values = [v for k, _, _, v in rows if k == key and v is not None]
         assert got[key] == pytest.approx(statistics.median(values))
+
+
+def test_one_key_without_times_is_spread(spark, monkeypatch):
+    """All rows belong to one key and have no time: the order is that of the ids, and every slice gets its share."""
+    laid = []
+    keep = skew.stage
+    monkeypatch.setattr(skew, "stage", lambda df, name: laid.append(keep(df, name)) or laid[-1])
+    table = spark.range(4000).selectExpr("'c' AS key", "cast(null AS timestamp) AS at", "lpad(cast(id AS string), 5, '0') AS id")
+    got = skew.with_running_total(table, "key", "at", ["id"], F.lit(1), "n", skew.find_hot(table, "key", 100))
+    assert got.filter(F.col("n") != F.col("id").cast("long") + 1).count() == 0 and got.count() == 4000
+    sizes = [r["count"] for r in laid[0].groupBy("_slice").count().collect()]
+    assert len(sizes) == 4 and max(sizes) < 2000
