@@ -378,13 +378,13 @@ def reason_codes(payments: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
 def explain_transactions(payments: DataFrame, scores: DataFrame, mode: str) -> DataFrame:
     """Score, level, signals, reasons and action of every transaction.
 
-    Rows with one id meet by their amount and their place among those with the same amount, so that repeated ids
-    give one row each.
+    Rows with one id meet by their amount and their place among those with the same amount, in the order of all their
+    columns, so that repeated ids give one row each, and the same ones in every run.
     """
     amount = F.coalesce(F.col("amount").cast("double"), F.lit(0.0))
-    twin = Window.partitionBy("transaction_id", "_amount").orderBy(F.lit(0))
 
     def placed(df: DataFrame) -> DataFrame:
+        twin = Window.partitionBy("transaction_id", "_amount").orderBy(*[F.col(c).asc_nulls_last() for c in df.columns])
         return df.withColumn("_amount", amount).withColumn("_nth", F.row_number().over(twin))
 
     reasons = reason_codes(payments.withColumn("merchant", F.coalesce(F.col("merchant_name"), F.lit("Unknown"))), ["merchant"])

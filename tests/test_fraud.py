@@ -147,3 +147,11 @@ def test_binomial_limits():
     limits = fraud._binomial_limits(100, 0.01)
     assert abs(limits[0] - 0.99 ** 100) < 1e-12 and limits == sorted(limits) and len(limits) < 20
     assert fraud._binomial_limits(5, 1.0) == [0.0] * 5
+
+
+def test_explanations_of_repeated_ids_do_not_depend_on_the_run(make_payments, sample_rows):
+    rows = make_payments([{**r, "amount": 9000.0 if i < 6 else r["amount"], "transaction_id": "same" if i < 6 else f"t{i}"} for i, r in enumerate(sample_rows[:120])])
+    scores = rows.selectExpr("transaction_id", "amount", "hash(transaction_at) % 100 / 100.0D AS fraud_probability", "'HIGH' AS risk_level")
+    one = fraud.explain_transactions(rows, scores, "unsupervised").collect()
+    two = fraud.explain_transactions(rows.repartition(5), scores.repartition(3), "unsupervised").collect()
+    assert sorted(map(str, one)) == sorted(map(str, two)) and sum(r["transaction_id"] == "same" for r in one) == 6
