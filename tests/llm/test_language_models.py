@@ -181,3 +181,27 @@ def test_small_language_has_its_own_bound(documents, labels):
     assert all(made[i][1]["kept"] for i, *_ in rare)
     assert made[1000][1]["bound"] == max(made[i][1]["bits_per_char"] for i, *_ in rare)
     assert made[2000][1]["bound"] == made[2001][1]["bound"] != made[1000][1]["bound"] != made[0][1]["bound"]
+
+
+def test_word_models_fitted_in_tasks_equal_local_ones(spark):
+    import pickle
+
+    import numpy as np
+
+    from ledgerlens.llm.quality import word_models
+    from ledgerlens.llm.word_model import Model
+
+    rows = [(v, w, 1 + (v * w) % 5, (v + w) % 2) for v in range(-6, 6) for w in range(-4, 9)]
+    schema = "v long, w long, n_0 long, n_1 long"
+    got = [pickle.loads(pickle.dumps(m)) for m in word_models(spark.createDataFrame(rows, schema))]
+    for k, m in enumerate(got):
+        part = [(v, w, n1 if k else n0 - n1) for v, w, n0, n1 in rows if (n1 if k else n0 - n1)]
+        v, w, n = (np.array(c, np.int64) for c in zip(*part))
+        want = Model.fitted(v.view(np.uint64), w.view(np.uint64), n)
+        assert (m.codes == want.codes).all() and (m.words == want.words).all()
+        assert np.allclose(m.chances, want.chances) and np.allclose(m.alone, want.alone) and np.allclose(m.rest, want.rest)
+    whole = [(v, w, n, 0) for v, w, n, _ in rows]
+    one, two = (pickle.loads(pickle.dumps(m)) for m in word_models(spark.createDataFrame(whole, schema)))
+    assert len(one.codes) == len(two.codes) == len(rows)
+    empty = [pickle.loads(pickle.dumps(m)) for m in word_models(spark.createDataFrame([], schema))]
+    assert [len(m.codes) for m in empty] == [0, 0]
