@@ -5,10 +5,10 @@
    become one class before anything is compared, so exact copies cost nothing further.
 2. Band keys shared by several classes are candidate buckets. In each bucket the class with the
    most bucket mates (the likely original) is the hub; the others are compared with it only.
-3. Links to hubs join most of a bucket into one component. What a bucket still holds in
-   different components is compared pair by pair, if its sets can have enough in common and the
-   collision-corrected similarity estimated from the packed bits is not clearly below the threshold.
-   Pairs whose ends are already connected cannot change a component and are never built.
+3. Links to hubs join most of a bucket into one component. While a bucket holds several, members outside
+   its largest become hubs in turn, as long as that links anything. What is apart then is compared pair by
+   pair, if its sets can have enough in common and the collision-corrected similarity estimated from the packed bits
+   is not clearly below the threshold. Pairs whose ends are already connected cannot change a component and are never built.
 4. Every candidate is confirmed on whole sets; components of confirmed links are the result.
 
 A pair at similarity 0.75 shares no band with probability (1 - 0.75**4)**32 = 5e-6, and is
@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens.llm.components import components
-from ledgerlens.llm.frames import by_text, q
+from ledgerlens.llm.frames import by_text, fresh, q
 from ledgerlens.llm.words import BLANK, mix, split, windows
 from ledgerlens.storage import Scratch
 
@@ -41,6 +41,8 @@ BROADCAST_IDS = 1_000_000
 #: Permutations and margin of the finer signatures of classes in buckets that hold several components.
 FINE = 512
 FINE_MARGIN = 0.09
+#: Turns of further hubs before what is still apart is compared pair by pair.
+HUB_TURNS = 6
 
 _RNG = np.random.Generator(np.random.PCG64(11))
 _FACTORS = _RNG.integers(0, 2**31, FINE, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
@@ -160,16 +162,47 @@ def _sets_of(base: DataFrame, likely: DataFrame) -> DataFrame:
     return made.join(likely.select("id", "digest"), "digest").dropDuplicates(["id"]).select("id", "hashes")
 
 
-def _across(members: DataFrame, label: DataFrame, sets: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
-    """Candidate pairs (a, b) of different components within a bucket.
+def _rooted(members: DataFrame, links: DataFrame, scratch: Scratch) -> DataFrame:
+    """``members`` with the root of each id's component."""
+    label = components(links, scratch)
+    return members.join(label, members["id"] == label["node"], "left").select(members["*"], F.coalesce("root", "id").alias("root"))
+
+
+def _open(rooted: DataFrame) -> DataFrame:
+    """The rows of buckets that hold several components, with the root of the bucket's largest one as ``main``."""
+    size = rooted.groupBy("key", "root").agg(F.count("*").alias("size"))
+    main = size.groupBy("key").agg(F.max(F.struct("size", "root")).alias("m"), F.count("*").alias("roots")).filter("roots > 1")
+    return rooted.join(main.select("key", F.col("m.root").alias("main")), "key")
+
+
+def _could_link(percent: int) -> Column:
+    """Whether rows a and b, of different components, can reach the threshold by what they share with others at most, and
+    do so by their finer signatures."""
+    return (
+        (F.col("root_a") != F.col("root_b"))
+        & ((100 + percent) * F.least("common_a", "common_b") >= percent * (F.col("n_a") + F.col("n_b")))
+        & (estimate("packed_a", "packed_b", FINE) >= percent / 100 - FINE_MARGIN)
+    )
+
+
+def _ends(rows: DataFrame, end: str, *more: str) -> DataFrame:
+    return rows.select(*[F.col(c).alias(f"{c}_{end}") for c in ("id", "root", "n", "common", "packed", *more)], "key")
+
+
+def _pair() -> list[Column]:
+    return [F.least("id_a", "id_b").alias("a"), F.greatest("id_a", "id_b").alias("b")]
+
+
+def _across(members: DataFrame, links: DataFrame, tried: DataFrame, sets: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
+    """``links`` and all others between members of a bucket that no path of links connects yet.
 
     What two sets have in common is at most what either shares with any set still open here. That bound rules out
-    most of a group whose members differ in too many places of their own, before any pair is built. Members of a bucket's
-    largest component meet only the bucket's other members.
+    most of a group whose members differ in too many places of their own, before any pair is built. Then members
+    outside a bucket's largest component become its hubs in turn, as long as that links anything: each turn compares a
+    bucket's members with one of them. Only what is apart after that is compared pair by pair, each pair in the first
+    bucket that it shares.
     """
-    labelled = members.join(label, members["id"] == label["node"], "left").select("key", "id", F.coalesce("root", "id").alias("root"))
-    several = labelled.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low != high")
-    opened = scratch.keep(labelled.join(several, "key", "left_semi"), "open")
+    opened = scratch.keep(_open(_rooted(members.select("key", "id"), links, scratch)), "open")
     shingles = sets.join(opened.select("id").distinct(), "id", "left_semi").select("id", F.explode("hashes").alias("shingle"))
     common = shingles.groupBy("shingle").agg(F.min("id").alias("low"), F.max("id").alias("high")).filter("low != high")
     sizes = shingles.join(common, "shingle", "left_semi").groupBy("id").agg(F.count("*").alias("common"))
@@ -177,20 +210,31 @@ def _across(members: DataFrame, label: DataFrame, sets: DataFrame, percent: int,
         sizes.join(sets, "id").withColumn("n", F.size("hashes")).filter(100 * F.col("common") >= percent * F.col("n"))
         .select("id", "n", "common", F.pandas_udf(_fine, "array<long>")("hashes").alias("packed")), "open-sizes",
     )
-    rows = opened.join(sizes, "id")
-    main = rows.groupBy("key", "root").agg(F.count("*").alias("size")).groupBy("key").agg(
-        F.max(F.struct("size", "root")).alias("m")
-    ).select("key", F.col("m.root").alias("main"))
-    columns = ["id", "root", "n", "common", "packed"]
-    x = rows.join(main, "key").filter("root != main").select("key", "main", *[F.col(c).alias(f"{c}_a") for c in columns])
-    y = rows.select(F.col("key").alias("key_b"), *[F.col(c).alias(f"{c}_b") for c in columns])
-    enough = (100 + percent) * F.least("common_a", "common_b") >= percent * (F.col("n_a") + F.col("n_b"))
-    once = (F.col("root_b") == F.col("main")) | (F.col("id_a") < F.col("id_b"))
-    pairs = x.join(
-        y, (F.col("key") == F.col("key_b")) & (F.col("root_a") != F.col("root_b")) & once & enough
-        & (estimate("packed_a", "packed_b", FINE) >= percent / 100 - FINE_MARGIN),
-    )
-    return pairs.select(F.least("id_a", "id_b").alias("a"), F.greatest("id_a", "id_b").alias("b")).distinct()
+    able = opened.select("key", "id").join(sizes.select("id"), "id", "left_semi")
+    # An id is in as many buckets as it has bands at most.
+    keys = able.groupBy("id").agg(F.collect_set("key").alias("keys"))
+    rows = scratch.keep(able.join(sizes, "id").join(keys, "id"), "open-rows")
+    scratch.drop("open", "open-sizes")
+
+    for turn in range(HUB_TURNS):
+        here = _open(_rooted(rows.drop("keys"), links, scratch))
+        next_hub = F.max_by(F.struct("id", "root", "n", "common", "packed"), F.xxhash64(F.lit(turn), "id"))
+        hubs = here.filter("root != main").groupBy("key").agg(next_hub.alias("h")).select("key", "h.*")
+        to_hubs = _ends(here, "a").join(_ends(hubs, "b"), "key").filter(_could_link(percent)).select(*_pair()).distinct()
+        to_hubs = scratch.keep(to_hubs.join(tried, ["a", "b"], "left_anti"), f"to-hubs-{turn}")
+        more = scratch.keep(_confirmed(to_hubs, sets, percent), f"links-{turn}")
+        tried = tried.unionByName(to_hubs)
+        if more.isEmpty():
+            break
+        links = links.unionByName(more)
+
+    here = scratch.keep(_open(_rooted(rows, links, scratch)), "apart")
+    x = _ends(here.filter("root != main"), "a", "keys", "main")
+    y = _ends(here, "b", "keys").withColumnRenamed("key", "key_b")
+    once = (F.col("root_b") == F.col("main_a")) | (F.col("id_a") < F.col("id_b"))
+    first = F.array_min(F.array_intersect("keys_a", "keys_b")) == F.col("key")
+    pairs = x.join(y, (F.col("key") == F.col("key_b")) & once & _could_link(percent) & first).select(*_pair())
+    return links.unionByName(_confirmed(pairs.join(tried, ["a", "b"], "left_anti"), sets, percent))
 
 
 def near_duplicates(
@@ -236,9 +280,7 @@ def near_duplicates(
     right = likely.select(F.col("id").alias("b"), F.col("packed").alias("pb"))
     tried = scratch.keep(to_hubs.join(left, "a").join(right, "b").filter(estimate("pa", "pb") >= floor).select("a", "b"), "to-hubs")
     links = scratch.keep(_confirmed(tried, sets, percent), "links")
-    across = _across(members, components(links, scratch), sets, percent, scratch)
-    more = _confirmed(across.join(tried, ["a", "b"], "left_anti"), sets, percent)
-    links = scratch.keep(links.unionByName(more), "all-links")
+    links = scratch.keep(_across(members, links, tried, sets, percent, scratch), "all-links")
 
     label = components(links, scratch)
     placed = classes.select("digest", "id", "smallest").join(label, classes["id"] == label["node"], "left").select(
@@ -246,7 +288,7 @@ def near_duplicates(
     )
     component = placed.groupBy("root").agg(F.min("smallest").alias("component_id"))
     by_class = scratch.keep(placed.join(component, "root").select("digest", "component_id"), "by-class")
-    scratch.drop("classes", "buckets", "likely", "sets", "to-hubs", "links", "open", "open-sizes", "all-links")
+    scratch.drop("classes", "buckets", "likely", "sets", "to-hubs", "links", "all-links")
     return signed.select("doc_id", "text_key", F.col("n").alias("n_shingles"), "digest").join(by_class, "digest", "left").select(
         "doc_id", "text_key", "n_shingles",
         F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
@@ -261,7 +303,8 @@ def one_of_each(docs: DataFrame, percent: int = 75, id_column: str = "doc_id", t
     Repeated rows of a kept id and text stay, as they are one document.
     """
     found = near_duplicates(docs, percent, id_column, text_column)
-    dropped = found.filter(~F.col("kept")).select(F.col("doc_id").alias("_dropped_id"), F.col("text_key").alias("_dropped_key")).distinct()
-    same = q(id_column).eqNullSafe(F.col("_dropped_id")) & (F.xxhash64(q(text_column)) == F.col("_dropped_key"))
+    gone_id, gone_key = fresh(docs, "dropped_id"), fresh(docs, "dropped_key")
+    dropped = found.filter(~F.col("kept")).select(F.col("doc_id").alias(gone_id), F.col("text_key").alias(gone_key)).distinct()
+    same = q(id_column).eqNullSafe(F.col(gone_id)) & (F.xxhash64(q(text_column)) == F.col(gone_key))
     # Dropped documents are a share of all documents, so this join is a shuffle at every size.
     return docs.join(dropped.hint("merge"), same, "left_anti")
