@@ -2,8 +2,8 @@
 
 Patterns that are proof enough by themselves are always reported. Long mixed strings without a
 keyword are weak: one is reported only if a complementary part (an access identifier, a user name or
-an endpoint) lies within SCOPE code points of it in the same text. The join by intervals takes the
-parts of a text in order and carries the nearest end before and the nearest start after along, so
+an endpoint) that has no character in common with it lies within SCOPE code points of it in the same text. The join by
+intervals takes the parts of a text in order and carries the nearest end before and the nearest start after along, so
 it is linear in the parts. Everything runs as DataFrame functions.
 """
 
@@ -92,19 +92,22 @@ def secrets(
         found.filter(F.size("mixed") > 0).filter(F.size("access") + F.size("users") + F.size("endpoints") > 0)
         .select("row", F.explode(F.concat(base, "mixed", "users", "endpoints")).alias("s")).select("row", "s.*")
     )
-    weak, partner = F.col("rank") == 3, F.col("rank").isin(1, 4, 5)
-    order = Window.partitionBy("row").orderBy("start", "rank", "end")
-    before = order.rowsBetween(Window.unboundedPreceding, -1)
-    # The rows after, as a running frame in the opposite order.
-    after = Window.partitionBy("row").orderBy(F.col("start").desc(), F.col("rank").desc(), F.col("end").desc()).rowsBetween(
-        Window.unboundedPreceding, -1
-    )
+    weak, partner, base_span = F.col("rank") == 3, F.col("rank").isin(1, 4, 5), F.col("rank") < 3
+    start, end = F.col("start"), F.col("end")
+
+    def reached(order: Column, value: Column, which) -> Column:
+        # Rows at or before this one in ``order``; what is due later comes in the opposite order, as a running frame too.
+        return which(value).over(Window.partitionBy("row").orderBy(order).rangeBetween(Window.unboundedPreceding, Window.currentRow))
+
     near = parts.select(
+        *parts.columns, F.when(weak, start).otherwise(end).alias("ends"), F.when(weak, end).otherwise(start).alias("starts")
+    ).select(
         "row", "start", "rank", "end",
-        F.max(F.when(partner, F.col("end"))).over(before).alias("partner_end"),
-        F.min(F.when(partner, F.col("start"))).over(after).alias("partner_start"),
-        F.max(F.when(F.col("rank") < 3, F.col("end"))).over(before).alias("base_end"),
-        F.min(F.when(F.col("rank") < 3, F.col("start"))).over(after).alias("base_start"),
+        # The nearest partners that end by the candidate's start and start from its end on: none shares a character with it.
+        reached(F.col("ends").asc(), F.when(partner, end), F.max).alias("partner_end"),
+        reached(F.col("starts").desc(), F.when(partner, start), F.min).alias("partner_start"),
+        reached(start.asc(), F.when(base_span, end), F.max).alias("base_end"),
+        reached(start.desc(), F.when(base_span, start), F.min).alias("base_start"),
     ).filter(weak)
     linked = near.filter(
         (F.coalesce(F.col("start") - F.col("partner_end") <= scope, F.lit(False))

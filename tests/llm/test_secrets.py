@@ -28,7 +28,7 @@ def weak(text, scope=S.SCOPE):
             continue
         if any(x < b and y > a for x, _, y in proven):
             continue
-        if any(a - y <= scope and x - b <= scope for x, y in partners):
+        if any(0 <= a - y <= scope or 0 <= x - b <= scope for x, y in partners):
             out.append((a, 3, b))
     return out
 
@@ -75,3 +75,13 @@ def test_many_spans_and_empty_table(documents):
     rows = [(1, "0123456789abcdef " * 3000 + "Zx9" * 8 + " user=bob")]
     assert got(S.secrets(documents(rows))) == want(rows)
     assert S.secrets(documents([])).count() == 0
+
+
+def test_a_candidate_is_not_its_own_partner(documents):
+    mixed = "Zx9Qw3" * 4
+    alone = [f"https://host.example/d/{mixed}", f"login={mixed}", f"login: {mixed}", mixed]
+    beside = [f"user=bob {mixed}", f"{mixed} then https://host.example/x", f"login: {mixed} user=bob", f"https://h.example/a login={mixed}"]
+    rows = list(enumerate(alone + beside))
+    found = {r["doc_id"]: r["n_weak"] for r in S.secrets(documents(rows)).collect()}
+    assert [found[i] for i in range(len(rows))] == [0] * len(alone) + [1] * len(beside)
+    assert got(S.secrets(documents(rows)).drop("x")) == want(rows)
