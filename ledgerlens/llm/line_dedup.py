@@ -132,7 +132,8 @@ def deduplicated(
     A repeated run of ``min_words`` words or more stays where it comes first, by id (nulls last, then a hash of
     the text) and line, within a document too; blank lines inside a deleted run go with it. Lines end at
     \\n. Null texts stay null and empty ones empty. Rows with the same id and the same text are one document:
-    none is a copy of the other and both have the same result. Rows and other columns stay as they are.
+    none is a copy of the other and both have the same result. Rows and other columns stay as they are; one named ``into``
+    is replaced.
     """
     scratch = Scratch(docs.sparkSession, "line-dedup")
     identity = {"no_id": q(id_column).isNull(), "doc_id": q(id_column), "text_key": F.xxhash64(q(text_column))}
@@ -147,14 +148,15 @@ def deduplicated(
         .groupBy(*DOC, "island").agg(F.min("first").alias("first"), F.max("last").alias("last"))
     )
     per_doc = islands.groupBy(*DOC).agg(F.array_sort(F.collect_list(F.struct("first", "last"))).alias("runs"))
-    per_doc = scratch.keep(per_doc.select(*[F.col(c).alias(f"_dedup_{c}") for c in DOC], F.col("runs").alias("_dedup_runs")), "runs-by-doc")
+    names = {c: fresh(docs, f"dedup_{c}") for c in (*DOC, "runs")}
+    per_doc = scratch.keep(per_doc.select(*[F.col(c).alias(name) for c, name in names.items()]), "runs-by-doc")
     scratch.drop(*[f"copies-{j}" for j in range(int(math.log2(min_words)) + 1)])
     key = fresh(docs, "text_key")
     # Documents with copies are a share of all documents, so the texts are shuffled whatever the size.
     joined = docs.withColumn(key, identity["text_key"]).join(
-        per_doc.hint("merge"), q(id_column).eqNullSafe(F.col("_dedup_doc_id")) & (F.col(key) == F.col("_dedup_text_key")), "left"
+        per_doc.hint("merge"), q(id_column).eqNullSafe(F.col(names["doc_id"])) & (F.col(key) == F.col(names["text_key"])), "left"
     )
-    lines, runs = F.split(q(text_column), "\n"), F.col("_dedup_runs")
+    lines, runs = F.split(q(text_column), "\n"), F.col(names["runs"])
     pieces = F.transform(
         F.sequence(F.lit(0), F.size(runs)),
         lambda i: F.slice(
@@ -164,7 +166,7 @@ def deduplicated(
     )
     deleted = F.aggregate(runs, F.lit(0).cast("long"), lambda a, r: a + r["last"] - r["first"] + 1)
     return joined.select(
-        *[q(c) for c in docs.columns],
+        *[q(c) for c in docs.columns if c.lower() != into.lower()],
         F.struct(
             F.when(runs.isNull(), q(text_column)).otherwise(F.array_join(F.flatten(pieces), "\n")).alias("text"),
             F.coalesce(F.size(lines), F.lit(0)).cast("long").alias("n_lines"), F.coalesce(deleted, F.lit(0)).alias("n_deleted"),
