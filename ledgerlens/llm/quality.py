@@ -1,8 +1,9 @@
 """Quality classifier: perplexity under Kneser-Ney models of trusted text.
 
-Two kinds of model are fitted on a bounded sample of documents labelled good: character trigrams, and word pairs
-(``words.tokens``), which see repeated words and characters that the trigrams' alphabet has no room for. Most pairs
-are rare, so a text is scored by the pairs of the half of the sample that it cannot be in. Every document is scored;
+Two kinds of model are fitted on all documents labelled good: character trigrams, and word pairs (``words.tokens``),
+which see repeated words and characters that the trigrams' alphabet has no room for. Most pairs are rare, so a text is
+scored by the pairs of the half of these documents that it cannot be in. Trigrams are few and sent to tasks; the pairs'
+costs stay a table, which is joined to the documents by shards (``word_pairs``). Every document is scored;
 all labelled good rows then set, for each language, the costs that a share ``reject_good`` of them exceeds, half by
 each model. Documents above a bound of their language are rejected.
 """
@@ -10,7 +11,7 @@ each model. Documents above a bound of their language are rejected.
 from __future__ import annotations
 
 import pickle
-import zlib
+from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
@@ -23,7 +24,6 @@ from ledgerlens.llm.frames import by_text, fresh, q
 from ledgerlens.llm.word_model import Model
 from ledgerlens.storage import Scratch
 
-TRUSTED_ROWS = 10_000
 REJECT_GOOD = 0.005
 #: Characters at the trusted text's mean cost that every document is taken to begin with.
 PRIOR_CHARS = 64
@@ -31,7 +31,6 @@ PRIOR_CHARS = 64
 PRIOR_TOKENS = 12
 STEPS_PER_BIT = 1000
 KINDS = ("bits_per_char", "bits_per_token")
-SCORE = "n_chars long, bits_per_char double, n_tokens long, bits_per_token double"
 
 
 class Packed:
@@ -45,9 +44,9 @@ class Packed:
 
 
 def word_models(counted: DataFrame) -> list[Packed]:
-    """The word pair models of the two halves of a sample; ``counted``: a stored table of ``word_pairs.counts``, in which
-    the second half is chosen. Each is fitted in a task, which the bound on the sample bounds. Without pairs in one
-    of the halves both models are of the whole sample."""
+    """The word pair models of the two halves of a small text, whole, each fitted in one task; ``counted``: a stored table of
+    ``word_pairs.counts``, in which the second half is chosen. Without pairs in one of the halves both models are of
+    the whole text. The classifier keeps the same costs as a table (``word_pairs.open_costs``); its tests compare the two."""
     def fit(part: pd.DataFrame) -> pd.DataFrame:
         model = Model.fitted(*(part[c].to_numpy().view(np.uint64) for c in ("v", "w")), part["n"].to_numpy())
         return pd.DataFrame({"half": part["half"].iloc[:1], "model": [pickle.dumps(model)]})
@@ -65,50 +64,55 @@ def word_models(counted: DataFrame) -> list[Packed]:
     return models
 
 
-def costs(texts, table, model, pairs: list[Model]) -> pd.DataFrame:
-    """Of each text: characters n, bits_0, tokens, and token_bits by the half of ``pairs`` that the text is not in."""
-    found = ngrams.bits(texts, table, [model])
-    half = np.array([zlib.crc32(t.encode("utf-8", "surrogatepass")) & 1 if t else 0 for t in texts], np.int64)
-    n, bits = np.zeros(len(texts), np.int64), np.zeros(len(texts))
-    for k in (0, 1):
-        at = np.flatnonzero(half == k)
-        n[at], bits[at] = pairs[1 - k].bits([texts[i] for i in at])
-    return found.assign(tokens=n, token_bits=bits)
-
-
-def scored(docs: DataFrame, labels: DataFrame, into: str, trusted_rows: int = TRUSTED_ROWS, seed: int = 3) -> DataFrame:
-    """``docs`` with a struct column ``into``: characters and tokens, and bits per each, rounded to a thousandth."""
-    scratch = Scratch(docs.sparkSession, "quality")
-    trusted = scratch.keep(
-        ngrams.labelled_sample(docs.select("doc_id", "text"), labels, "quality = 1", trusted_rows, seed).select("text"), "trusted"
-    )
+def scorer(docs: DataFrame, labels: DataFrame, into: str) -> tuple[Callable[[DataFrame], DataFrame], DataFrame]:
+    """Fits the models and scores every text of ``docs``. Returns a function that adds to rows of ``docs`` a struct column
+    ``into``: characters and tokens, and bits per each, rounded to a thousandth; and doc_id, lang and that column
+    of all rows labelled good."""
+    spark = docs.sparkSession
+    scratch = Scratch(spark, "quality")
+    good = labels.filter("quality = 1").filter("doc_id IS NOT NULL").select("doc_id").distinct()
+    trusted = scratch.keep(docs.select("doc_id", "lang", "text").join(good, "doc_id", "left_semi"), "trusted")
     letters = ngrams.alphabet(trusted)
     model = ngrams.costs(scratch.keep(ngrams.counts(trusted, letters), "counts"))
     half = F.coalesce(F.crc32(F.col("text").cast("binary")) % 2 == 1, F.lit(False))
-    pairs = scratch.keep(word_pairs.counts(trusted.select("text", half.alias("chosen"))), "pairs")
-    shared = docs.sparkSession.sparkContext.broadcast((ngrams.numbering(letters), model, word_models(pairs)))
-    usual, usual_token = _means(trusted, shared)
+    counted = scratch.keep(word_pairs.counts(trusted.select("text", half.alias("chosen"))), "pairs")
+    cost, first_bits = word_pairs.open_costs(counted, scratch)
+    words = scratch.keep(word_pairs.scores(docs.select("text"), cost, counted.count(), first_bits), "words")
+    shared = spark.sparkContext.broadcast((ngrams.numbering(letters), model))
+    letter = by_text(lambda texts: ngrams.bits(texts, shared.value[0], [shared.value[1]]), "n long, bits_0 double")
+
+    def costs(rows: DataFrame) -> DataFrame:
+        """``rows`` with a struct column ``into``: n, bits, tokens, token_bits."""
+        letters_, chosen, a, b, a_, b_, t = (fresh(rows, x) for x in ("letters", "chosen", "a", "b", "a_", "b_", "t"))
+        keyed = rows.select(
+            "*", letter(q("text")).alias(letters_), half.alias(chosen), word_pairs.text_key(1).alias(a), word_pairs.text_key(2).alias(b)
+        )
+        own = words.select(F.col("a").alias(a_), F.col("b").alias(b_), F.struct("n_tokens", "bits_0", "bits_1").alias(t))
+        # A text is scored by the pairs of the half that it is not in.
+        bits = F.when(q(chosen), q(t)["bits_0"]).otherwise(q(t)["bits_1"])
+        return keyed.join(own, (q(a) == q(a_)) & (q(b) == q(b_)), "left").select(
+            *[q(c) for c in rows.columns],
+            F.struct(
+                q(letters_)["n"].alias("n"), q(letters_)["bits_0"].alias("bits"),
+                F.coalesce(q(t)["n_tokens"], F.lit(0).cast("long")).alias("tokens"), F.coalesce(bits, F.lit(0.0)).alias("token_bits"),
+            ).alias(into),
+        )
+
+    def rounded(rows: DataFrame) -> DataFrame:
+        s = F.col(into)
+        each = (s["bits"] + PRIOR_CHARS * usual) / (s["n"] + PRIOR_CHARS)
+        token = (s["token_bits"] + PRIOR_TOKENS * usual_token) / (s["tokens"] + PRIOR_TOKENS)
+        return rows.withColumn(into, F.struct(
+            s["n"].alias("n_chars"), (F.rint(each * STEPS_PER_BIT) / STEPS_PER_BIT).alias("bits_per_char"),
+            s["tokens"].alias("n_tokens"), (F.rint(token * STEPS_PER_BIT) / STEPS_PER_BIT).alias("bits_per_token"),
+        ))
+
+    own = scratch.keep(costs(trusted).drop("text"), "good")
     scratch.drop("trusted", "counts", "pairs")
-
-    def score(texts):
-        found = costs(texts, *shared.value)
-        each = (found["bits_0"] + PRIOR_CHARS * usual) / (found["n"] + PRIOR_CHARS)
-        token = (found["token_bits"] + PRIOR_TOKENS * usual_token) / (found["tokens"] + PRIOR_TOKENS)
-        return pd.DataFrame({
-            "n_chars": found["n"], "bits_per_char": (each * STEPS_PER_BIT).round() / STEPS_PER_BIT,
-            "n_tokens": found["tokens"], "bits_per_token": (token * STEPS_PER_BIT).round() / STEPS_PER_BIT,
-        })
-
-    return docs.select("*", by_text(score, SCORE)(q("text")).alias(into))
-
-
-def _means(texts: DataFrame, shared) -> tuple[float, float]:
-    """Mean bits per character and per token of a column of texts; 0 without any."""
-    cost = by_text(lambda part: costs(part, *shared.value), "n long, bits_0 double, tokens long, token_bits double")
-    n, total, tokens, token_total = texts.select(cost("text").alias("s")).agg(
-        *[F.sum(f"s.{c}") for c in ("n", "bits_0", "tokens", "token_bits")]
-    ).first()
-    return total / n if n else 0.0, token_total / tokens if tokens else 0.0
+    sums = own.agg(*[F.sum(F.col(into)[c]).alias(c) for c in ("n", "bits", "tokens", "token_bits")]).first()
+    usual = sums["bits"] / sums["n"] if sums["n"] else 0.0
+    usual_token = sums["token_bits"] / sums["tokens"] if sums["tokens"] else 0.0
+    return lambda rows: rounded(costs(rows)), rounded(own)
 
 
 def bounds(scores: DataFrame, labels: DataFrame, reject_good: float = REJECT_GOOD) -> dict[str, tuple[dict[str, float], float]]:
@@ -148,8 +152,7 @@ def _bound(by_language: dict[str, float], overall: float) -> Column:
 
 
 def classified(
-    docs: DataFrame, labels: DataFrame, into: str = "quality", trusted_rows: int = TRUSTED_ROWS, reject_good: float = REJECT_GOOD,
-    seed: int = 3,
+    docs: DataFrame, labels: DataFrame, into: str = "quality", reject_good: float = REJECT_GOOD
 ) -> DataFrame:
     """``docs`` with a struct column ``into``: n_chars, bits_per_char, perplexity, bound, kept, n_tokens,
     bits_per_token, token_bound. ``perplexity`` and ``bound`` are of characters.
@@ -160,9 +163,10 @@ def classified(
     of ``docs`` stay as they are; one named ``into`` is replaced. An empty table gives no rows.
     """
     made = fresh(docs, "made")
-    with_scores = scored(docs, labels, made, trusted_rows, seed)
+    add, good = scorer(docs, labels, made)
+    with_scores = add(docs)
     each = F.explode(F.array(*[F.struct(F.lit(k).alias("kind"), F.col(made)[k].alias("score")) for k in KINDS]))
-    scores = with_scores.select("doc_id", "lang", each.alias("each")).select("doc_id", "lang", "each.*")
+    scores = good.select("doc_id", "lang", each.alias("each")).select("doc_id", "lang", "each.*")
     found = bounds(scores, labels, reject_good / len(KINDS))
     bound, token_bound = (_bound(*found[k]) for k in KINDS)
     n, cost, token_cost = F.col(made)["n_chars"], *(F.col(made)[k] for k in KINDS)

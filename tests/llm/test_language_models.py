@@ -205,3 +205,37 @@ def test_word_models_fitted_in_tasks_equal_local_ones(spark):
     assert len(one.codes) == len(two.codes) == len(rows)
     empty = [pickle.loads(pickle.dumps(m)) for m in word_models(spark.createDataFrame([], schema))]
     assert [len(m.codes) for m in empty] == [0, 0]
+
+
+def test_open_costs_equal_the_models_of_both_halves(spark, documents):
+    import pickle
+
+    from ledgerlens.llm import word_pairs
+    from ledgerlens.storage import Scratch
+    from pyspark.sql import functions as F
+
+    rng = random.Random(8)
+    train = [(i, prose(rng, rng.randrange(1, 40), EN if i % 3 else XX)) for i in range(80)] + [(90, None), (91, "")]
+    asked = [prose(rng, 30, EN + XX + ["unheard", "of"]) for _ in range(20)] + [train[0][1], "x", "the"]
+    for odd in (2, 1):  # both halves; all rows in one of them
+        marked = documents(train).select("text", (F.col("doc_id") % odd == 1).alias("chosen"))
+        scratch = Scratch(spark, "open")
+        counted = scratch.keep(word_pairs.counts(marked), "counts")
+        cost, first_bits = word_pairs.open_costs(counted, scratch)
+        asked_rows = documents(list(enumerate(asked)))
+        keys = asked_rows.select("doc_id", word_pairs.text_key(1).alias("a"), word_pairs.text_key(2).alias("b"))
+        got = {r["doc_id"]: r for r in keys.join(word_pairs.scores(asked_rows, cost, 5, first_bits), ["a", "b"]).collect()}
+        for k, packed in enumerate(quality.word_models(counted)):
+            n, bits = pickle.loads(pickle.dumps(packed)).bits(asked)
+            assert [got[i]["n_tokens"] for i in range(len(asked))] == n.tolist()
+            assert [got[i][f"bits_{k}"] for i in range(len(asked))] == pytest.approx(bits.tolist(), rel=1e-4)
+
+
+def test_every_good_row_teaches_the_classifier(documents, labels):
+    # More good rows than the sample once held. Each word stands in eight texts, so that nearly always the other half has it too.
+    rows = [(i, f"word{i // 8} word{i // 8} after{i % 8}", "en", "s") for i in range(24_000)]
+    strange = [(30_000 + i, f"other{i} other{i} after{i % 8}", "en", "s") for i in range(400)]
+    made = quality.classified(documents(rows + strange), labels([(i, 1, 0) for i in range(24_000)]))
+    bits = {r["doc_id"]: r["quality"]["bits_per_token"] for r in made.select("doc_id", "quality").collect()}
+    least = min(bits[30_000 + i] for i in range(400))
+    assert sum(bits[i] < least for i in range(24_000)) > 0.95 * 24_000
