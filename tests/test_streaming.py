@@ -284,3 +284,22 @@ def test_velocity_counts_thirty_days(spark, batch):
     rows = rows_of(batch, [0, 60, 29 * 1440, 30 * 1440], customer_id="c", amount_gbp=0.1)
     found = {r["window_start"]: (r["payments"], r["volume_gbp"]) for r in windows.customer_velocity(rows).collect()}
     assert found[T0] == (3, 0.3) and found[T0 + dt.timedelta(days=1)] == (2, 0.2) and len(found) == 60
+
+
+def test_a_batch_in_few_pieces_is_spread_before_it_is_decoded(spark, tmp_path, monkeypatch):
+    pieces = []
+    decode = events.decode
+    monkeypatch.setattr(events, "decode", lambda m: pieces.append(
+        sorted(r["count"] for r in m.groupBy(F.spark_partition_id()).count().collect())
+    ) or decode(m))
+    one = spark.range(20_000).coalesce(1).selectExpr("repeat('x', 300) || id as value", "0 as partition", "id as offset")
+    keep = {"spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k, None) for k in keep}
+    try:
+        for k, v in keep.items():
+            spark.conf.set(k, v)
+        ingest.StreamTables(spark, str(tmp_path / "t")).write_batch(one, 0)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
+    assert sum(pieces[0]) == 20_000 and len(pieces[0]) == 4 and pieces[0][-1] < 10_000
