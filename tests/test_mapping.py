@@ -100,3 +100,13 @@ def test_flag_survives_unless_as_written(spark):
     assert mapping.payments_for_analytics(canonical).first()["is_flagged_fraud"] is True
     assert mapping.payments_for_analytics(canonical, "reference").first()["is_flagged_fraud"] is False
     assert mapping.payments_for_analytics(canonical).first()["status"] == "completed"
+
+
+def test_exact_profile_gathers_each_field_alone(spark):
+    rows = spark.createDataFrame([("1", "c1", "x"), ("2", "c1", None), ("2", "c2", "x")], "amount string, member_id string, status string")
+    made = mapping.mapping_profile(rows, mapping.mapping_for(rows.columns), exact=True)
+    assert "Expand" not in made._jdf.queryExecution().executedPlan().toString()
+    found = {r["field"]: (r["non_null"], r["distinct_values"]) for r in made.collect()}
+    assert (found["amount"], found["customer_id"], found["status"], found["channel"]) == ((3, 2), (3, 2), (2, 1), (0, 0))
+    none = mapping.mapping_profile(rows.limit(0), mapping.mapping_for(rows.columns), exact=True).collect()
+    assert {r["distinct_values"] for r in none} == {0} and len(none) == len(made.collect())
