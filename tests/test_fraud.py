@@ -155,3 +155,26 @@ def test_explanations_of_repeated_ids_do_not_depend_on_the_run(make_payments, sa
     one = fraud.explain_transactions(rows, scores, "unsupervised").collect()
     two = fraud.explain_transactions(rows.repartition(5), scores.repartition(3), "unsupervised").collect()
     assert sorted(map(str, one)) == sorted(map(str, two)) and sum(r["transaction_id"] == "same" for r in one) == 6
+
+
+def test_trees_walked_together_equal_trees_walked_one_by_one():
+    import numpy as np
+    import pandas as pd
+
+    rng = np.random.default_rng(5)
+    parts, trees = [], []
+    for tree in (3, 7, 9):
+        nodes = fraud._grow(rng.normal(size=(64 if tree < 9 else 1, len(fraud.FEATURES))), rng, 6)
+        trees.append(nodes)
+        parts.append(pd.DataFrame(nodes, columns=["feature", "cut", "lft", "rgt", "path"]).assign(tree=tree, node=range(len(nodes))))
+    x = rng.normal(size=(40, len(fraud.FEATURES)))
+    x[3, 0] = np.nan
+
+    def path(row, nodes):
+        at = 0
+        while nodes[at][0] >= 0:
+            at = nodes[at][2] if row[nodes[at][0]] <= nodes[at][1] else nodes[at][3]
+        return nodes[at][4]
+
+    got = fraud._mean_path(x, *fraud._laid_out(pd.concat(parts[::-1])))
+    assert got.tolist() == [sum(path(r, t) for t in trees) / 3 for r in x]

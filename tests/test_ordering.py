@@ -71,3 +71,15 @@ def test_row_index_is_dense_and_ordered(spark):
 def test_tile_ends():
     assert ordering.tile_ends(12, 5) == [3, 6, 8, 10, 12]
     assert ordering.tile_ends(3, 5) == [1, 2, 3, 3, 3]
+
+
+def test_a_row_is_placed_by_halving_the_split_points(spark, monkeypatch):
+    from ledgerlens.operators import ordering
+
+    monkeypatch.setattr(ordering, "ORDERED_ROWS", 20)
+    rows = spark.range(500).selectExpr("cast(id * 7 % 40 as double) as k", "id")
+    want = sorted((r["k"], r["id"]) for r in rows.collect())
+    ranks = [1, 2, 13, 250, 251, 499, 500]
+    assert ordering.rows_at_ranks(rows, ["k", "id"], ranks, 500) == {r: want[r - 1] for r in ranks}
+    only = sorted(k for k, _ in want)
+    assert ordering.rows_at_ranks(rows, ["k"], ranks, 500) == {r: (only[r - 1],) for r in ranks}
