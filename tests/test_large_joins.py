@@ -61,3 +61,14 @@ def test_lines_are_short_when_they_meet_their_orders(spark, tmp_path):
     assert blank[:3] == (None, None, None) and blank[4:-1] == (None, "completed", None, "atm")
     above = plan(payments.payment_performance(found)).split("Join")[0]
     assert "l_discount" not in above and "l_extendedprice" not in above
+
+
+def test_whole_rows_are_enriched_after_the_move(sample):
+    """Same columns, order and rows, but only typed columns meet the customers."""
+    for semantics in ("corrected", "reference"):
+        w = warehouse(sample, semantics)
+        assert w.enriched_rows.columns == w.enriched.columns
+        assert table(w.enriched_rows) == table(w.enriched)
+    twice = warehouse(sample)
+    args = twice.transactions, twice.customers.union(twice.customers), twice.merchants, twice.fx_rates
+    assert table(enrichment.enrich(*args, whole_rows=True)) == table(enrichment.enrich(*args))
