@@ -72,3 +72,12 @@ def test_whole_rows_are_enriched_after_the_move(sample):
     twice = warehouse(sample)
     args = twice.transactions, twice.customers.union(twice.customers), twice.merchants, twice.fx_rates
     assert table(enrichment.enrich(*args, whole_rows=True)) == table(enrichment.enrich(*args))
+
+
+def test_a_tested_table_is_computed_once(spark, monkeypatch):
+    names = counted(monkeypatch, quality)
+    df = spark.createDataFrame([("a", 1), ("a", 2), (None, 3)], "id string, n int")
+    got = {r["test"]: r["failures"] for r in quality.check_table("t", df, [quality.Expect("id", not_null=True, unique=True)]).collect()}
+    assert got == {"not_null": 1, "unique": 1} and names == ["tested-t"]
+    quality.check_table("t", df, [quality.Expect("id", not_null=True)]).collect()
+    assert names == ["tested-t"]
