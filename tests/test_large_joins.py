@@ -81,3 +81,25 @@ def test_a_tested_table_is_computed_once(spark, monkeypatch):
     assert got == {"not_null": 1, "unique": 1} and names == ["tested-t"]
     quality.check_table("t", df, [quality.Expect("id", not_null=True)]).collect()
     assert names == ["tested-t"]
+
+
+def test_percentiles_read_their_input_once(spark, monkeypatch):
+    names = counted(monkeypatch, ordering)
+    assert ordering.exact_percentiles(spark.range(1, 6), "id", [0.5, 0.25]) == [3.0, 2.0]
+    assert names == ["percentile-values"]
+
+
+def test_same_day_counts_are_not_moved_again(spark, make_payments):
+    """Rows and counts are moved once each; customers without an id are one customer."""
+    rows = make_payments([{"customer_id": None}] * 6 + [{"customer_id": ""}] * 5)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        reasons = fraud.reason_codes(rows)
+        moves = reasons._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert moves == 2
+    fast = [r["customer_id"] for r in reasons.collect() if "HIGH_VELOCITY" in r["risk_signals"]]
+    assert fast == [None] * 6
