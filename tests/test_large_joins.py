@@ -103,3 +103,21 @@ def test_same_day_counts_are_not_moved_again(spark, make_payments):
     assert moves == 2
     fast = [r["customer_id"] for r in reasons.collect() if "HIGH_VELOCITY" in r["risk_signals"]]
     assert fast == [None] * 6
+
+
+def test_features_of_one_customer(spark, sample, monkeypatch):
+    """One pass finds both columns' values, and the totals of slices go to the rows."""
+    names = counted(monkeypatch, fraud)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = fraud.fraud_features(sample.withColumn("customer_id", F.lit("c")), hot_limit=100)
+        rows = skew.with_running_total(
+            spark.range(9).selectExpr("'k' AS key", "id"), "key", "id", [], F.lit(1), "n", skew.find_hot(spark.range(9).selectExpr("'k' AS key"), "key", 3))
+        joins = rows._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert names == ["occurring-values"] and "BroadcastHashJoin" in joins
+    assert sorted(r["customer_txn_count"] for r in found.collect()) == [float(i) for i in range(1, 481)]
+    assert sorted(tuple(r)[1:] for r in rows.collect()) == [(i, i + 1) for i in range(9)]
