@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from checks.registry import register
 from checks.sql_tables import select
 from ledgerlens.operators import risk
+from ledgerlens.storage import stage
 
 
 def _mart(name: str, attribute: str, table: str) -> None:
@@ -64,6 +65,7 @@ def _cut(c):
 
 def _refreshed(c):
     w, stored = _cut(c)
+    stored = stage(stored, "stored-events")
     return risk.refresh_fraud_events(stored, w.enriched, w.disputes)
 
 

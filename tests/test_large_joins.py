@@ -121,3 +121,12 @@ def test_features_of_one_customer(spark, sample, monkeypatch):
     assert names == ["occurring-values"] and "BroadcastHashJoin" in joins
     assert sorted(r["customer_txn_count"] for r in found.collect()) == [float(i) for i in range(1, 481)]
     assert sorted(tuple(r)[1:] for r in rows.collect()) == [(i, i + 1) for i in range(9)]
+
+
+def test_a_refresh_finds_flagged_rows_once(sample, monkeypatch):
+    w = warehouse(sample)
+    early = risk.fraud_events(w.enriched.filter("transaction_at < '2023-01-12'"), w.disputes)
+    expected = table(w.fraud_events.select(*early.columns))
+    names = counted(monkeypatch, risk)
+    assert table(risk.refresh_fraud_events(early, w.enriched, w.disputes).select(*early.columns)) == expected
+    assert names.count("flagged-now") == 1
