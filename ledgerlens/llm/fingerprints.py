@@ -126,32 +126,30 @@ def compared(docs: DataFrame) -> DataFrame:
     the text; the first follows the last; of rows that are alike each but one is followed by its like). A null text is an empty one; empty
     texts have an empty fingerprint. An empty table gives no rows.
 
-    Texts travel once, to their key; the next text's part travels again.
+    Texts travel once, to their key, with their marks; the next text's part travels again.
     """
     scratch = Scratch(docs.sparkSession, "fingerprints")
     text = F.coalesce(F.col("text"), F.lit(""))
     own = docs.select(q("doc_id").alias("doc_id"), q("text").alias("text")).select("doc_id", text.alias("text")).withColumn(
         "key", F.unhex(F.sha2(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("-")), F.lit(":"), "text").cast("binary"), 256))
     )
-    found = scratch.keep(own.select(
-        "doc_id", "key", F.length("text").cast("long").alias("n"), marks(F.col("text")).alias("marks")
-    ), "marks")
-
-    keys = found.groupBy("key").agg(F.first("doc_id").alias("doc_id"), F.first("n").alias("n"), F.count("*").alias("copies"))
+    keys = own.select("doc_id", "key", F.length("text").cast("long").alias("n")).groupBy("key").agg(
+        F.first("doc_id").alias("doc_id"), F.first("n").alias("n"), F.count("*").alias("copies")
+    )
     placed = scratch.keep(with_row_index(keys, ["doc_id", "key"], "row"), "order")
     rows = placed.count()
     before = F.when(F.col("row") == 0, F.lit(rows - 1)).otherwise(F.col("row") - 1)
     following = placed.select(before.alias("row"), F.col("key").alias("next_key"))
     order = scratch.keep(placed.join(following, "row").select("key", "doc_id", "n", "copies", "next_key"), "next")
 
-    # Both uses of the texts, as the own one and as the next one, read one exchange by key; all other joins are by key too.
-    texts = own.select("key", "text").dropDuplicates(["key"])
-    once = found.select("key", "marks").dropDuplicates(["key"])
+    # Both uses of the texts and marks, as the own ones and as the next one's, read one exchange by key; all other joins are by
+    # key too. So marks are made once, on the way to it, and kept nowhere else.
+    texts = own.select("key", "text", marks(F.col("text")).alias("marks")).dropDuplicates(["key"])
     part = F.expr("left(text, int(n div 4))")
-    nexts = order.select("next_key", F.col("key").alias("for_key"), "n").join(texts, F.col("next_key") == F.col("key")).join(
-        once.withColumnRenamed("key", "mark_key"), F.col("next_key") == F.col("mark_key")
-    ).select("for_key", part.alias("part"), hashes(F.col("marks")).cast("array<int>").alias("next_hashes"))
-    joined = order.join(texts, "key").join(once, "key").join(nexts, F.col("key") == F.col("for_key"))
+    nexts = order.select("next_key", F.col("key").alias("for_key"), "n").join(texts, F.col("next_key") == F.col("key")).select(
+        "for_key", part.alias("part"), hashes(F.col("marks")).cast("array<int>").alias("next_hashes")
+    )
+    joined = order.join(texts, "key").join(nexts, F.col("key") == F.col("for_key"))
     # Of rows that are alike one is followed by the next document, the others by their like.
     cases = F.filter(F.array(
         F.struct("part", "next_hashes", F.lit(1).cast("long").alias("times")),

@@ -112,3 +112,22 @@ def test_long_text_one_row_and_empty_table(spark):
     assert got(spark, rows) == want(rows)
     assert got(spark, [(9, "only one row " * 20)]) == want([(9, "only one row " * 20)])
     assert got(spark, []) == []
+
+
+def test_marks_are_made_on_the_way_to_their_key(spark, monkeypatch):
+    """No marks are written besides, and both uses read the exchange of the texts."""
+    kept, keep = [], W.Scratch.keep
+    monkeypatch.setattr(W.Scratch, "keep", lambda self, df, name: kept.append((name, df.columns)) or keep(self, df, name))
+    docs = spark.createDataFrame([(i, f"text {i} " * 30) for i in range(20)], "doc_id long, text string")
+    for limit in ("-1", "10m"):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+        try:
+            found = W.compared(docs)
+            assert len(found.collect()) == 20
+        finally:
+            spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        final = found._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+        assert "ReusedExchange" in final
+        # Where texts go to their key, and where it is shown what is read again.
+        assert final.count("partial_first(marks") == 1
+    assert [name for name, _ in kept] == ["order", "next"] * 2 and not any("marks" in columns for _, columns in kept)
