@@ -34,6 +34,8 @@ REMEMBERED = 3 << 20
 SPLIT = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: The fast engine's patterns run out of stack on very long blanks.
 LONG_BLANK = re.compile(r"\s{1000}")
+#: What follows an id in groups: another one of its group and tokenizer, the other tokenizer's, another group, nothing.
+AFTER = (",", "|", ";", "")
 ALIGNED = "n_a long, n_b long, n_groups long, n_links long, groups string, groups_sha256 string, pairs binary, counts binary"
 
 
@@ -158,23 +160,6 @@ def _by_bytes(tokens: list[bytes]) -> dict[bytes, list[int]]:
     return out
 
 
-def align(a: Sequence[int], b: Sequence[int], size_a: Sequence[int], size_b: Sequence[int]) -> str:
-    """Groups of two id sequences over the same bytes, as text."""
-    groups = []
-    from_b = end_a = end_b = j = 0
-    written = ""
-    for x in a:
-        end_a += size_a[x]
-        written = f"{written},{x}" if written else str(x)
-        while end_b < end_a:
-            end_b += size_b[b[j]]
-            j += 1
-        if end_a == end_b:
-            groups.append(f"{written}|{b[from_b]}" if j - from_b == 1 else f"{written}|{','.join(map(str, b[from_b:j]))}")
-            from_b, written = j, ""
-    return ";".join(groups)
-
-
 class Aligner:
     """Aligns texts in one worker; remembers windows by their ids (both sequences of a window packed into one key)."""
 
@@ -183,27 +168,44 @@ class Aligner:
         self.tokens_a, self.tokens_b = tokenizers.bytes_a, tokenizers.bytes_b
         if min(map(len, self.tokens_a + self.tokens_b)) == 0:
             raise ValueError("a token without bytes has no place in an alignment")
-        self.lengths_a, self.lengths_b = (list(map(len, x)) for x in (self.tokens_a, self.tokens_b))
-        self.size_a, self.size_b = np.array(self.lengths_a, np.int64), np.array(self.lengths_b, np.int64)
+        self.size_a, self.size_b = (np.array(list(map(len, x)), np.int64) for x in (self.tokens_a, self.tokens_b))
         self.blank_a, self.blank_b = (np.array([t[:1] == b" " for t in x]) for x in (self.tokens_a, self.tokens_b))
         #: Between the two sequences of a key stands a number that is no id.
         self.between = max(len(self.tokens_a), len(self.tokens_b))
         self.packed = np.dtype(np.uint16 if self.between < 1 << 16 else np.uint32)
+        #: Each id as it is written before each mark of AFTER.
+        self.spelled = [f"{i}{mark}" for i in range(self.between) for mark in AFTER]
         self.known: dict[bytes, str] = {}
         self.older: dict[bytes, str] = {}
         self.held = 0
 
-    def window(self, key: bytes, a: np.ndarray, b: np.ndarray) -> str:
-        """Align a window that the newer memory does not have; the older memory goes when the newer is full."""
+    def window(self, key: bytes, written: list[str]) -> str:
+        """Join a window that the newer memory does not have; the older memory goes when the newer is full."""
         groups = self.older.get(key)
         if groups is None:
-            groups = align(a.tolist(), b.tolist(), self.lengths_a, self.lengths_b)
+            groups = "".join(written)
         if self.held > self.remembered:
             self.older, self.known, self.held = self.known, {}, 0
         self.known[key] = groups
         self.held += len(key)
         return groups
 
+    def written(self, a: np.ndarray, b: np.ndarray, at_a: np.ndarray, at_b: np.ndarray, cut: np.ndarray) -> list[str]:
+        """The ids of a text in the order of its groups, each with the mark that follows it.
+
+        ``at_a``, ``at_b``: the last token of each group; ``cut``: where windows begin, in tokens of both.
+        """
+        wide_a, wide_b = np.diff(at_a, prepend=-1), np.diff(at_b, prepend=-1)
+        laid = np.empty(len(a) + len(b), np.int64)
+        laid[np.arange(len(a)) + np.repeat(at_b + 1 - wide_b, wide_a)] = a
+        laid[np.arange(len(b)) + np.repeat(at_a + 1, wide_b)] = b
+        laid *= len(AFTER)
+        laid[at_a + at_b + 1 - wide_b] += AFTER.index("|")
+        laid[at_a + at_b + 1] += AFTER.index(";")
+        # Nothing follows a window's last id.
+        laid[cut[1:] - 1] += AFTER.index("") - AFTER.index(";")
+        return list(map(self.spelled.__getitem__, laid.tolist()))
+
     def keys(self, a: np.ndarray, b: np.ndarray, cut_a: np.ndarray, cut_b: np.ndarray) -> list[bytes]:
         """Each window's ids of both sequences, as bytes."""
         wide_a, wide_b = np.diff(cut_a), np.diff(cut_b)
@@ -232,11 +234,12 @@ class Aligner:
         keys = self.keys(a, b, cut_a, cut_b)
         groups = list(map(self.known.get, keys))
         if None in groups:
-            cut_a, cut_b = cut_a.tolist(), cut_b.tolist()
+            written = self.written(a, b, at_a, at_b, cut_a + cut_b)
+            cut = (cut_a + cut_b).tolist()
             for w, found in enumerate(groups):
                 if found is None:
                     key = keys[w]
-                    groups[w] = self.known.get(key) or self.window(key, a[cut_a[w]:cut_a[w + 1]], b[cut_b[w]:cut_b[w + 1]])
+                    groups[w] = self.known.get(key) or self.window(key, written[cut[w]:cut[w + 1]])
         return len(a), len(b), ";".join(groups), a[at_a] * np.int64(len(self.tokens_b)) + b[at_b]
 
     def texts(self, texts: Sequence[str | None]) -> Iterator[tuple[int, int, str, np.ndarray] | None]:

@@ -124,6 +124,24 @@ def test_windows_that_are_forgotten_give_the_same(tokenizers):
     assert len(small.known) + len(small.older) < len(large.known)
 
 
+def test_new_windows_of_a_text_are_written_together(tokenizers, monkeypatch):
+    """A text's ids are laid out once for all its windows, and not at all if every window is remembered."""
+    calls, written = [], A.Aligner.written
+    monkeypatch.setattr(A.Aligner, "written", lambda self, *given: calls.append(1) or written(self, *given))
+    aligner = A.Aligner(tokenizers)
+    text = "internationalisation of Straße, the cat's 1234 日本 whiskers and the "
+    first, again, mixed = aligner.texts([text * 2, text * 2, text + "unheard of"])
+    assert len(calls) == 2 and first[2] == again[2] and len(aligner.known) > 5
+    bytes_a, bytes_b = tokenizers.bytes_a, tokenizers.bytes_b
+    for found in (first, mixed):
+        groups = [[[int(i) for i in side.split(",")] for side in g.split("|")] for g in found[2].split(";")]
+        assert sum(len(a) for a, _ in groups) == found[0] and sum(len(b) for _, b in groups) == found[1]
+        # Both sides of a group are the same bytes, and no earlier ends meet within it.
+        for a, b in groups:
+            ends = [{sum(len(made[i]) for i in ids[:k + 1]) for k in range(len(ids))} for made, ids in ((bytes_a, a), (bytes_b, b))]
+            assert b"".join(bytes_a[i] for i in a) == b"".join(bytes_b[i] for i in b) and len(ends[0] & ends[1]) == 1
+
+
 def test_text_of_groups_and_pair_numbers(spark, tokenizers):
     docs = spark.createDataFrame([(1, "the cat's whiskers", "x", 1, "y", 2)], SCHEMA)
     row = A.alignments(docs).first()
