@@ -303,3 +303,24 @@ def test_a_batch_in_few_pieces_is_spread_before_it_is_decoded(spark, tmp_path, m
         for k, v in before.items():
             spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
     assert sum(pieces[0]) == 20_000 and len(pieces[0]) == 4 and pieces[0][-1] < 10_000
+
+
+def test_a_batch_holds_no_texts_of_usable_messages(spark, batch, tmp_path, monkeypatch):
+    """Texts are kept for dead letters only, and new rows are read from where they lie."""
+    held, letters = [], events.dead_letters
+
+    def noted(decoded):
+        held.append({(r["value"] is None, r["error"] is None) for r in decoded.select("value", "error").collect()})
+        return letters(decoded)
+
+    monkeypatch.setattr(events, "dead_letters", noted)
+    read, alerts = [], events.fraud_alerts
+    monkeypatch.setattr(events, "fraud_alerts", lambda rows: read.append(len(rows.inputFiles())) or alerts(rows))
+    tables = ingest.StreamTables(spark, f"{tmp_path}/held")
+    messages = batch([message(i) for i in range(9)] + [("junk", 0, 9)])
+    tables.write_batch(messages, 0)
+    tables.write_batch(messages, 1)
+    assert held == [{(True, True), (False, False)}] * 2 and read[0] > 0 and read[1] == 0
+    assert [r["raw_message"] for r in tables.read("dlq").collect()] == ["junk"] * 2
+    assert sorted(r["rows_written"] for r in tables.read("batches").collect()) == [0, 9]
+    assert tables.read("fraud_alerts").count() == 3
