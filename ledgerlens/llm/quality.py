@@ -2,8 +2,8 @@
 
 Two kinds of model are fitted on all documents labelled good: character trigrams, and word pairs (``words.tokens``),
 which see repeated words and characters that the trigrams' alphabet has no room for. Most pairs are rare, so a text is
-scored by the pairs of the half of these documents that it cannot be in. Trigrams are few and sent to tasks; the pairs'
-costs stay a table, which is joined to the documents by shards (``word_pairs``). Every document is scored;
+scored by the pairs of the half of these documents that it cannot be in. Trigrams are few and sent to tasks; pairs are
+counted and met by the documents' own in shards (``pair_scores``). Every document is scored;
 all labelled good rows then set, for each language, the costs that a share ``reject_good`` of them exceeds, half by
 each model. Documents above a bound of their language are rejected.
 """
@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import pickle
 from collections.abc import Callable
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -19,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ledgerlens.llm import ngrams, word_pairs
+from ledgerlens.llm import ngrams, pair_scores, word_pairs
 from ledgerlens.llm.frames import by_text, fresh, q
 from ledgerlens.llm.word_model import Model
 from ledgerlens.storage import Scratch
@@ -29,6 +30,8 @@ REJECT_GOOD = 0.005
 PRIOR_CHARS = 64
 #: Tokens likewise.
 PRIOR_TOKENS = 12
+#: Parts in which word pairs are moved; all texts are read once for each, those labelled good once more.
+SLICES = 5
 STEPS_PER_BIT = 1000
 KINDS = ("bits_per_char", "bits_per_token")
 
@@ -46,7 +49,7 @@ class Packed:
 def word_models(counted: DataFrame) -> list[Packed]:
     """The word pair models of the two halves of a small text, whole, each fitted in one task; ``counted``: a stored table of
     ``word_pairs.counts``, in which the second half is chosen. Without pairs in one of the halves both models are of
-    the whole text. The classifier keeps the same costs as a table (``word_pairs.open_costs``); its tests compare the two."""
+    the whole text. The classifier finds the same costs by shards (``pair_scores``); its tests compare the two."""
     def fit(part: pd.DataFrame) -> pd.DataFrame:
         model = Model.fitted(*(part[c].to_numpy().view(np.uint64) for c in ("v", "w")), part["n"].to_numpy())
         return pd.DataFrame({"half": part["half"].iloc[:1], "model": [pickle.dumps(model)]})
@@ -70,14 +73,22 @@ def scorer(docs: DataFrame, labels: DataFrame, into: str) -> tuple[Callable[[Dat
     of all rows labelled good."""
     spark = docs.sparkSession
     scratch = Scratch(spark, "quality")
-    good = labels.filter("quality = 1").filter("doc_id IS NOT NULL").select("doc_id").distinct()
-    trusted = scratch.keep(docs.select("doc_id", "lang", "text").join(good, "doc_id", "left_semi"), "trusted")
+    # Stored, so that Spark knows their size before it decides whether a join has to move the texts.
+    good = scratch.keep_lean(labels.filter("quality = 1").filter("doc_id IS NOT NULL").select("doc_id").distinct(), "ids")
+    # Half of the texts are moved at a time.
+    each = [docs.select("doc_id", "lang", "text").filter(F.pmod(F.xxhash64("doc_id"), F.lit(2)) == k) for k in (0, 1)]
+    trusted = reduce(DataFrame.unionByName, [
+        scratch.keep_lean(rows.join(good, "doc_id", "left_semi"), f"trusted-{k}") for k, rows in enumerate(each)
+    ])
     letters = ngrams.alphabet(trusted)
-    model = ngrams.costs(scratch.keep(ngrams.counts(trusted, letters), "counts"))
+    model = ngrams.costs(scratch.keep_lean(ngrams.counts(trusted, letters), "counts"))
     half = F.coalesce(F.crc32(F.col("text").cast("binary")) % 2 == 1, F.lit(False))
-    counted = scratch.keep(word_pairs.counts(trusted.select("text", half.alias("chosen"))), "pairs")
-    cost, first_bits = word_pairs.open_costs(counted, scratch)
-    words = scratch.keep(word_pairs.scores(docs.select("text"), cost, counted.count(), first_bits), "words")
+    part = F.when(half, 2).otherwise(1)
+    teaching = trusted.select("text", part.alias("part"))
+    both = teaching.filter(F.col("text").rlike(r"[^ \t-\r]")).select("part").distinct().count() == 2
+    words = pair_scores.scores(
+        docs.select("text", F.lit(0).alias("part")), teaching, [[1], [2]] if both else [[1, 2], [1, 2]], scratch, SLICES, other_word=True
+    )
     shared = spark.sparkContext.broadcast((ngrams.numbering(letters), model))
     letter = by_text(lambda texts: ngrams.bits(texts, shared.value[0], [shared.value[1]]), "n long, bits_0 double")
 
@@ -107,8 +118,8 @@ def scorer(docs: DataFrame, labels: DataFrame, into: str) -> tuple[Callable[[Dat
             s["tokens"].alias("n_tokens"), (F.rint(token * STEPS_PER_BIT) / STEPS_PER_BIT).alias("bits_per_token"),
         ))
 
-    own = scratch.keep(costs(trusted).drop("text"), "good")
-    scratch.drop("trusted", "counts", "pairs")
+    own = scratch.keep_lean(costs(trusted).drop("text"), "good")
+    scratch.drop("trusted-0", "trusted-1", "counts", "ids")
     sums = own.agg(*[F.sum(F.col(into)[c]).alias(c) for c in ("n", "bits", "tokens", "token_bits")]).first()
     usual = sums["bits"] / sums["n"] if sums["n"] else 0.0
     usual_token = sums["token_bits"] / sums["tokens"] if sums["tokens"] else 0.0
