@@ -19,10 +19,10 @@ _mart("staged_merchants", "merchants", "merchants")
 _mart("staged_transactions", "transactions", "transactions")
 _mart("staged_fx_rates", "fx_rates", "fx")
 _mart("staged_disputes", "disputes", "disputes")
-_mart("enriched_transactions", "enriched_rows", "enriched")
+register("enriched_transactions", lambda c: c.whole_rows.warehouse.enriched_rows, select("SELECT * FROM enriched"))
 register(
     "enriched_transactions_as_written",
-    lambda c: c.warehouse_as_written.enriched_rows,
+    lambda c: c.whole_rows.warehouse_as_written.enriched_rows,
     select("SELECT * FROM enriched_ref"),
 )
 register(

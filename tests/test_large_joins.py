@@ -130,3 +130,27 @@ def test_a_refresh_finds_flagged_rows_once(sample, monkeypatch):
     names = counted(monkeypatch, risk)
     assert table(risk.refresh_fraud_events(early, w.enriched, w.disputes).select(*early.columns)) == expected
     assert names.count("flagged-now") == 1
+
+
+def test_whole_lines_pass_what_their_values_follow_from(spark, tmp_path):
+    """Transactions with all columns: fewer columns meet the orders, and rows are the same, null values too."""
+    lines = [
+        (o, part, 3, n, price, discount, tax, returned, status, day)
+        for o, day in ((1, DAY + dt.timedelta(hours=5)), (2, None), (3, DAY))
+        for n, (part, price, discount, tax, returned, status) in enumerate([
+            (5, 1005.0, 0.1, 0.0, "R", "F"), (7, 20.0, 0.09, 0.08, "R", "O"), (6, 33.33, 0.0, 0.06, "N", "O"),
+            (None, None, None, None, None, None), (10, 5.05, None, 0.065, "R", None), (11, 7.0, 0.1, None, None, "O"),
+        ])
+    ]
+    spark.createDataFrame(
+        lines, "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_extendedprice double, l_discount double, "
+        "l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz").write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.createDataFrame(
+        [(1, 9, "P"), (2, None, "F"), (3, 4, "O"), (3, 5, None)], "o_orderkey bigint, o_custkey bigint, o_orderstatus string").write.parquet(f"{tmp_path}/orders.parquet")
+    marts, whole = SampleTables(spark, str(tmp_path)), SampleTables(spark, str(tmp_path), whole_rows=True)
+    assert len(table(whole.transactions)) == 24
+    assert table(whole.transactions) == table(marts.transactions)
+    assert len(table(whole.disputes)) > 0
+    assert table(whole.disputes) == table(marts.disputes)
+    moved = plan(whole.transactions).split("Join")[1]
+    assert "l_extendedprice" in moved and "price_cents" not in moved and "at_second" not in moved
